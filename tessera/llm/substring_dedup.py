@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from .common import maybe_broadcast, scratch, stored
 
@@ -67,11 +68,9 @@ class Words:
         h *= np.uint64(0xD6E8FEB86659FD93)
         return h ^ (h >> np.uint64(32))
 
-    def anchors(self, window: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-        """(hash of each gram, place of the anchor of each window)."""
-        h = self.hashes(gram)
-        views = np.lib.stride_tricks.sliding_window_view(h, window - gram + 1)
-        return h, np.arange(len(views)) + views.argmin(axis=1)
+    def anchors(self, window: int, gram: int = GRAM) -> np.ndarray:
+        """The hash of the anchor of each window, as signed longs: the least of its grams'."""
+        return np.lib.stride_tricks.sliding_window_view(self.hashes(gram), window - gram + 1).min(axis=1).view(np.int64)
 
     def digests(self, at: np.ndarray, window: int) -> np.ndarray:
         """128-bit digests of the windows that start at `at`, as pairs of longs."""
@@ -96,6 +95,28 @@ def _arrow(docs: DataFrame, run, schema: str) -> DataFrame:
     return docs.mapInArrow(batches, schema)
 
 
+def packed(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """docs with text_col compressed (binary): what a join by document moves is mostly text."""
+    kind = StructType([StructField(f.name, BinaryType()) if f.name == text_col else f for f in docs.schema])
+    at = docs.columns.index(text_col)
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        press = zstandard.ZstdCompressor(level=3)
+        for b in it:
+            small = pa.array([press.compress(t.as_py().encode()) if t.is_valid else None for t in b.column(at)], pa.binary())
+            yield pa.RecordBatch.from_arrays([small if k == at else b.column(k) for k in range(b.num_columns)], names=b.schema.names)
+
+    return docs.mapInArrow(run, kind)
+
+
+def unpacked(data: bytes | None) -> str | None:
+    import zstandard
+
+    return None if data is None else zstandard.ZstdDecompressor().decompress(data).decode()
+
+
 def _digest_of_all(ids: pa.Array, texts: pa.Array) -> tuple:
     out: list[list] = [[], [], [], []]
     for doc, text in zip(ids.to_pylist(), texts, strict=True):
@@ -114,7 +135,7 @@ def exact_copies(docs: DataFrame, window: int) -> DataFrame:
 
 
 class FingerprintIndex:
-    """Runs of anchors (hash, doc_id, pos) of all documents added so far."""
+    """Runs of anchors (hash, doc_id) of all documents added so far."""
 
     def __init__(self, spark: SparkSession, window: int = 50, max_runs: int = 4):
         self.spark, self.window, self.max_runs = spark, window, max_runs
@@ -123,11 +144,11 @@ class FingerprintIndex:
 
     def _write_run(self, anchors: DataFrame) -> str:
         path = scratch(self.spark, "run")
-        anchors.repartition("hash").sortWithinPartitions("hash", "doc_id", "pos").write.parquet(path)
+        anchors.repartition("hash").sortWithinPartitions("hash", "doc_id").write.parquet(path)
         return path
 
     def _read(self, paths: list[str]) -> DataFrame:
-        return self.spark.read.schema("hash long, doc_id long, pos int").parquet(*paths)
+        return self.spark.read.schema("hash long, doc_id long").parquet(*paths)
 
     def compact(self) -> None:
         """Merges all runs into one. Old runs stay as they are for whoever reads them."""
@@ -138,17 +159,16 @@ class FingerprintIndex:
         window = self.window
 
         def anchor_rows(ids: pa.Array, texts: pa.Array) -> tuple:
-            found: list[list[np.ndarray]] = [[], [], []]
+            found: list[list[np.ndarray]] = [[], []]
             for doc, text in zip(ids.to_pylist(), texts, strict=True):
                 w = Words(text.as_py())
                 if w.n >= window:
-                    h, at = w.anchors(window)
-                    at = np.unique(at)
-                    for column, x in zip(found, (h[at].view(np.int64), np.full(len(at), doc), at), strict=True):
+                    h = np.unique(w.anchors(window))
+                    for column, x in zip(found, (h, np.full(len(h), doc)), strict=True):
                         column.append(x)
             return tuple(np.concatenate(x) if x else [] for x in found)
 
-        run = self._write_run(_arrow(docs, anchor_rows, "hash long, doc_id long, pos int"))
+        run = self._write_run(_arrow(docs, anchor_rows, "hash long, doc_id long"))
         before = self.runs
         self.runs = [*before, run]
         now = self._read([run]).groupBy("hash").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
@@ -157,25 +177,22 @@ class FingerprintIndex:
             shared = now.join(old, "hash", "left").where("lo < hi or old is not null").select("hash")
         else:
             shared = now.where("lo < hi").select("hash")
-        first = docs.select(F.lit(True).alias("new"), "doc_id", "text")
-        all_docs = first if self.docs is None else first.unionByName(self.docs.select(F.lit(False).alias("new"), "doc_id", "text"))
+        first = docs.select("doc_id", "text", F.lit(1).alias("new"))
+        all_docs = first if self.docs is None else first.unionByName(self.docs.select("doc_id", "text", F.lit(0).alias("new")))
         self.docs = docs if self.docs is None else self.docs.unionByName(docs)
-        places = self._read(self.runs).join(shared, "hash", "left_semi").groupBy("doc_id").agg(F.collect_set("pos").alias("at"))
-        places = stored(places, "shared-anchors")
-        n_places = places.agg(F.sum(F.size("at"))).first()[0] or 0
+        places = self._read(self.runs).join(shared, "hash", "left_semi").groupBy("doc_id").agg(F.collect_set("hash").alias("hashes"))
 
-        def window_rows(new: pa.Array, ids: pa.Array, texts: pa.Array, places: pa.Array) -> tuple:
+        def window_rows(ids: pa.Array, texts: pa.Array, new: pa.Array, hashes: pa.Array) -> tuple:
             found: list[list[np.ndarray]] = [[], [], [], [], []]
-            for fresh, doc, text, at in zip(new.to_pylist(), ids.to_pylist(), texts, places, strict=True):
-                w = Words(text.as_py())
-                _, anchor = w.anchors(window)
-                mine = np.flatnonzero(np.isin(anchor, np.array(at.as_py())))
+            for doc, text, fresh, own in zip(ids.to_pylist(), texts, new.to_pylist(), hashes, strict=True):
+                w = Words(unpacked(text.as_py()))
+                mine = np.flatnonzero(np.isin(w.anchors(window), own.values.to_numpy()))
                 d = w.digests(mine, window)
-                for column, x in zip(found, (d[:, 0], d[:, 1], np.full(len(mine), doc), mine, np.full(len(mine), int(fresh))), strict=True):
+                for column, x in zip(found, (d[:, 0], d[:, 1], np.full(len(mine), doc), mine, np.full(len(mine), fresh)), strict=True):
                     column.append(x)
             return tuple(np.concatenate(x) if x else [] for x in found)
 
-        read = all_docs.join(maybe_broadcast(places, n_places), "doc_id").select("new", "doc_id", "text", "at")
+        read = packed(all_docs).join(places, "doc_id").select("doc_id", "text", "new", "hashes")
         windows = stored(_arrow(read, window_rows, "d1 long, d2 long, doc_id long, pos int, new int"), "windows")
         least = windows.groupBy("d1", "d2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").drop("last")
         hits = windows.where("new = 1").join(least, ["d1", "d2"]).where("doc_id > first").select("doc_id", "pos").distinct()
@@ -219,13 +236,12 @@ def _kept(text: str | None, copy: bool, at: list[int] | None, window: int) -> tu
 
 
 def _marked(docs: DataFrame, window: int, batches: int, id_col: str, text_col: str, *more: str) -> DataFrame:
-    """docs with __copy and __at: what repeated_windows says of each."""
+    """docs, text_col compressed, with __copy and __at: what repeated_windows says of each."""
     known = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
     copies, hits = repeated_windows(known, window, batches)
     runs = hits.groupBy("doc_id").agg(F.collect_set("pos").alias("__at"), F.lit(False).alias("__copy")).unionByName(copies.select("doc_id", F.lit(None).cast("array<int>").alias("__at"), F.lit(True).alias("__copy")))
     runs = stored(runs.withColumnRenamed("doc_id", "__doc"), "removals")
-    n = runs.agg(F.sum(F.greatest(F.size("__at"), F.lit(1)))).first()[0] or 0
-    return docs.join(maybe_broadcast(runs, n, 4_000_000), F.col(id_col).cast("long") == F.col("__doc"), "left").drop("__doc")
+    return packed(docs, text_col).join(runs, F.col(id_col).cast("long") == F.col("__doc"), "left").drop("__doc")
 
 
 def report(docs: DataFrame, window: int = 50, batches: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -235,7 +251,7 @@ def report(docs: DataFrame, window: int = 50, batches: int = 2, id_col: str = "d
     def run(ids: pa.Array, texts: pa.Array, copies: pa.Array, places: pa.Array) -> tuple:
         out: list[list] = [[], [], [], []]
         for doc, text, copy, at in zip(ids.to_pylist(), texts, copies.to_pylist(), places, strict=True):
-            n, stay, w = _kept(text.as_py(), bool(copy), at.as_py(), window)
+            n, stay, w = _kept(unpacked(text.as_py()), bool(copy), at.as_py(), window)
             words = w.joined.split() if not stay.all() else None
             kept = w.joined if words is None else b" ".join([words[k] for k in np.flatnonzero(stay)])
             for column, x in zip(out, (doc, n, int(n - stay.sum()), hashlib.sha256(kept).hexdigest()), strict=True):
@@ -249,7 +265,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, batches: int = 2, id_col:
     """docs with repeated words cut out of text_col; the white space around kept words stays. Documents of which nothing is left go; other columns stay."""
     marked = _marked(docs, window, batches, id_col, text_col)
     fields = marked.schema.names
-    schema = marked.schema
+    schema = StructType([StructField(f.name, StringType()) if f.name == text_col else f for f in marked.schema])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import re
@@ -258,7 +274,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, batches: int = 2, id_col:
         for b in it:
             texts, keep = [], []
             for text, copy, at in zip(b.column(fields.index(text_col)), b.column(fields.index("__copy")).to_pylist(), b.column(fields.index("__at")), strict=True):
-                text = text.as_py()
+                text = unpacked(text.as_py())
                 if copy or at.is_valid:
                     _, stay, _ = _kept(text, bool(copy), at.as_py(), window)
                     spans = [m.span() for m in word.finditer(text)]
@@ -276,7 +292,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, batches: int = 2, id_col:
                 else:
                     texts.append(text)
                     keep.append(True)
-            columns = [pa.array(texts, f.type) if f.name == text_col else b.column(k) for k, f in enumerate(b.schema)]
-            yield pa.RecordBatch.from_arrays(columns, schema=b.schema).filter(pa.array(keep))
+            columns = [pa.array(texts, pa.string()) if f.name == text_col else b.column(k) for k, f in enumerate(b.schema)]
+            yield pa.RecordBatch.from_arrays(columns, names=fields).filter(pa.array(keep, pa.bool_()))
 
     return marked.mapInArrow(run, schema).drop("__copy", "__at")
