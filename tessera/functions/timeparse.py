@@ -47,7 +47,7 @@ def epoch_to_micros(t: Column) -> Column:
     """An integer epoch of unknown unit: over 1e17 ns, over 1e14 us, over 1e11 ms, else s; 0 and below: null."""
     t = t.cast("long")
     ladder = F.when(t <= 0, F.lit(None).cast("long"))
-    ladder = ladder.when(t > 10**17, (t - F.pmod(t, F.lit(1000))) / 1000)
+    ladder = ladder.when(t > 10**17, F.floor(t.cast("decimal(20,0)") / 1000).cast("long"))  # a double would round
     return ladder.when(t > 10**14, t).when(t > 10**11, t * 1000).otherwise(t * 1_000_000).cast("long")
 
 
