@@ -1,6 +1,6 @@
 """SentencePiece encoding and decoding as a relational lattice.
 
-Texts fall into words (runs of the space mark and what follows; no piece of the model crosses a word's edge). Each distinct
+Texts fall into words (where no piece of the model crosses: at runs of the space mark, line ends, and between letters and others). Each distinct
 word is encoded once: its substrings of bounded length are exploded and equi-joined to the piece table, the matches are the
 word's edges, and edges grouped by word are folded into its pieces. The words table stays partitioned by word, so exploding,
 joining and grouping take no further shuffle.
@@ -16,10 +16,14 @@ Null and empty texts have no pieces. Repeated rows are encoded one by one.
 from __future__ import annotations
 
 import heapq
+import itertools
+import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,8 +32,8 @@ from .common import stored
 
 SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
-#: Multiplier of the digest's word places, mod 2^64.
-STEP = 0x9E3779B97F4A7C15
+#: Digests are sums of word digests times powers of STEP, mod PRIME: products of two stay in a long.
+PRIME, STEP = 2**31 - 1, 48_271
 
 
 @cache
@@ -54,30 +58,76 @@ def byte_ids(name: str = MODEL) -> tuple[int, ...]:
 
 
 @cache
-def splitter(name: str = MODEL):
-    """Cuts before each run of the space mark, and around line ends where no piece has one."""
-    import regex
+def letters() -> str:
+    """All letters, as the inside of a character class."""
+    ranges, k = [], 0
+    while k < 0x110000:
+        if chr(k).isalpha():
+            first = k
+            while k + 1 < 0x110000 and chr(k + 1).isalpha():
+                k += 1
+            ranges.append(f"\\U{first:08x}-\\U{k:08x}")
+        k += 1
+    return "".join(ranges)
 
-    rows = pieces(name)
-    if any(SPACE in p.lstrip(SPACE) for p, _, _ in rows):
+
+@cache
+def splitter(name: str = MODEL) -> re.Pattern:
+    """Cuts where no piece of the model spans: before each run of the space mark, around line ends, between letters and others."""
+    rows = [p for p, _, _ in pieces(name)]
+    if any(SPACE in p.lstrip(SPACE) for p in rows):
         raise ValueError(f"{name}: a piece has the space mark after other characters")
-    if any("\n" in p for p, _, _ in rows):
-        return regex.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-    return regex.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
+    line = "" if any("\n" in p for p in rows) else "\n"
+    if any(a.isalpha() != b.isalpha() for p in rows for a, b in itertools.pairwise(p.lstrip(SPACE))):
+        runs = f"[^{SPACE}{line}]+"
+    else:
+        runs = f"[{letters()}]+|[^{SPACE}{line}{letters()}]+"
+    return re.compile(f"{SPACE}+(?:{runs})?|{runs}" + ("|\n" if line else ""))
+
+
+class _Chunks(dict):
+    """The words of a text between spaces, kept for up to 100,000 chunks."""
+
+    def __init__(self, name: str):
+        super().__init__()
+        self.find = splitter(name).findall
+
+    def __missing__(self, chunk: str) -> list[str]:
+        found = self.find(SPACE + chunk)
+        if len(self) < 100_000 and len(chunk) < 100:
+            self[chunk] = found
+        return found
+
+
+_chunks = cache(_Chunks)
 
 
 def words_of(text: str | None, name: str = MODEL) -> list[str]:
-    return splitter(name).findall(SPACE + text.replace(" ", SPACE)) if text else []
+    if not text:
+        return []
+    if text[0] == " " or "  " in text:  # runs of spaces go with the word after them
+        return splitter(name).findall(SPACE + text.replace(" ", SPACE))
+    return list(itertools.chain.from_iterable(map(_chunks(name).__getitem__, text.split(" "))))
 
 
-def distinct_words(docs: DataFrame, text_col: str = "text", name: str = MODEL) -> DataFrame:
-    """word, n (occurrences in all documents)"""
+def distinct_words(docs: DataFrame, text_col: str = "text", name: str = MODEL, block: int = 2048) -> DataFrame:
+    """word, n (blocks of documents that it is in): one row for each distinct word of all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
+        find = splitter(name).findall
         for b in batches:
-            for t in b.column(0):
-                held.update(words_of(t.as_py(), name))
+            for at in range(0, b.num_rows, block):
+                chunks: set[str] = set()
+                found: set[str] = set()
+                for t in b.column(0)[at : at + block].to_pylist():
+                    if t and (t[0] == " " or "  " in t):
+                        found.update(words_of(t, name))
+                    elif t:
+                        chunks.update(t.split(" "))
+                for c in chunks:
+                    found.update(find(SPACE + c))
+                held.update(found)
             if len(held) > 500_000:
                 yield pa.RecordBatch.from_arrays([pa.array(list(held.keys()), pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
                 held = Counter()
@@ -91,15 +141,16 @@ def piece_table(spark: SparkSession, name: str = MODEL) -> DataFrame:
 
 
 def lattice(words: DataFrame, table: DataFrame, longest: int) -> DataFrame:
-    """word, n, edges: array<struct<start, end, id, score>> of all substrings that are pieces. words: word, n."""
+    """word, edges: array<long> of all substrings of 2 to `longest` characters that are pieces, each as start << 40 | length << 32 | id.
+
+    words is partitioned by word, and stays so. Single characters need no edge: each is a part of its own to begin with.
+    """
     size = F.length("word")
-    spans = F.explode(F.sequence(F.lit(0), size - 1))
-    at = words.select("word", "n", spans.alias("start"))
-    sub = at.select("word", "n", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), size - F.col("start")))).alias("len"))
-    sub = sub.select("word", "n", "start", "len", F.col("word").substr(F.col("start") + 1, F.col("len")).alias("piece"))
-    edges = sub.join(F.broadcast(table), "piece").select("word", "n", F.struct("start", (F.col("start") + F.col("len")).alias("end"), "id", "score").alias("e"))
-    found = edges.groupBy("word").agg(F.first("n").alias("n"), F.collect_list("e").alias("edges"))
-    return found
+    at = words.where(size >= 2).select("word", F.explode(F.sequence(F.lit(0), size - 2)).alias("start"))
+    sub = at.select("word", "start", F.explode(F.sequence(F.lit(2), F.least(F.lit(longest), size - F.col("start")))).alias("len"))
+    sub = sub.select("word", "start", "len", F.col("word").substr(F.col("start") + 1, F.col("len")).alias("piece"))
+    code = F.shiftleft(F.col("start").cast("long"), 40).bitwiseOR(F.shiftleft(F.col("len").cast("long"), 32)).bitwiseOR(F.col("id").cast("long"))
+    return sub.join(F.broadcast(table.where(F.length("piece") >= 2).select("piece", "id")), "piece").select("word", code.alias("e")).groupBy("word").agg(F.collect_list("e").alias("edges"))
 
 
 def viterbi(edges: Column, size: Column) -> Column:
@@ -114,31 +165,36 @@ def viterbi(edges: Column, size: Column) -> Column:
     return F.get(F.aggregate(ordered, state, step), size)["ids"]
 
 
-def merge_edges(word: str, edges: list[tuple[int, int, int, float]], as_bytes: tuple[int, ...]) -> list[int]:
-    """BPE over a word's edges (start, end, id, score): parts merge along the best edge over two neighbours."""
-    by_span = {(s, e): (i, score) for s, e, i, score in edges}
+def merge_edges(word: str, spans: list[int], ids: list[int], score: list[float], single: dict[str, list[int]], as_bytes: tuple[int, ...]) -> list[int]:
+    """BPE over a word's edges: parts merge along the best edge over two neighbours. spans: start << 32 | end of each edge."""
+    by_span = dict(zip(spans, ids, strict=True))
+    find = by_span.get
     n = len(word)
     right, left = list(range(1, n + 1)), list(range(-1, n - 1))  # by a part's start: its end, and the start of the part before
-    heap = [(-by_span[k, k + 2][1], k, k + 1, k + 2) for k in range(n - 1) if (k, k + 2) in by_span]
+    heap = [(-score[i], a, a + 1, a + 2) for a in range(n - 1) if (i := find(a << 32 | a + 2)) is not None]
     heapq.heapify(heap)
-    alive = [True] * n
+    pop, push = heapq.heappop, heapq.heappush
     while heap:
-        _, a, b, e = heapq.heappop(heap)
-        if not (alive[a] and b < n and alive[b] and right[a] == b and right[b] == e):
+        _, a, b, e = pop(heap)
+        if right[a] != b or right[b] != e:
             continue
-        alive[b], right[a] = False, e
+        right[a], right[b] = e, -1  # b is no start any more
         if e < n:
             left[e] = a
-            if (x := by_span.get((a, right[e]))) is not None:
-                heapq.heappush(heap, (-x[1], a, e, right[e]))
-        if (p := left[a]) >= 0 and (x := by_span.get((p, e))) is not None:
-            heapq.heappush(heap, (-x[1], p, a, e))
-    ids, at = [], 0
+            if (i := find(a << 32 | right[e])) is not None:
+                push(heap, (-score[i], a, e, right[e]))
+        if (p := left[a]) >= 0 and (i := find(p << 32 | e)) is not None:
+            push(heap, (-score[i], p, a, e))
+    out: list[int] = []
+    at = 0
     while at < n:
-        x = by_span.get((at, right[at]))
-        ids += [x[0]] if x is not None else [as_bytes[b] for b in word[at].encode()]
-        at = right[at]
-    return ids
+        end = right[at]
+        if end == at + 1:
+            out += single.get(word[at]) or [as_bytes[x] for x in word[at].encode()]
+        else:
+            out.append(by_span[at << 32 | end])
+        at = end
+    return out
 
 
 def decode_ids(ids: list[int], name: str = MODEL, first: bool = True) -> str:
@@ -153,52 +209,57 @@ def _decoder(name: str) -> dict[int, bytes]:
     return {i: p.encode() for p, i, _ in pieces(name)} | {i: bytes([b]) for b, i in enumerate(byte_ids(name))}
 
 
-def encode_words(docs: DataFrame, text_col: str = "text", name: str = MODEL) -> DataFrame:
-    """word, n, ids, round_trip (decoding gives the word back): one row for each distinct word of all documents."""
+def encode_words(docs: DataFrame, text_col: str = "text", name: str = MODEL, per_task: int = 50_000) -> DataFrame:
+    """word, n, ids, pieces, digest, round_trip (decoding gives the word back): one row for each distinct word of all documents. Stored."""
     spark = docs.sparkSession
-    table = piece_table(spark, name)
     longest = max(len(p) for p, _, _ in pieces(name))
     words = stored(distinct_words(docs, text_col, name), "words")
-    keyed = words.repartition("word")
-    found = lattice(keyed, table, longest)
-    lost = keyed.select("word", "n").join(found.select("word", "edges"), "word", "left")
+    keyed = words.repartition(max(1, math.ceil(words.count() / per_task)), "word")
+    found = keyed.join(lattice(keyed, piece_table(spark, name), longest), "word", "left").select("word", "n", "edges")
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         as_bytes = byte_ids(name)
+        single = {p: [i] for p, i, _ in pieces(name) if len(p) == 1}
+        score = [0.0] * processor(name).get_piece_size()
+        for _, i, x in pieces(name):
+            score[i] = x
         for b in batches:
-            ids, good = [], []
-            edges = b.column(2)
-            flat = edges.flatten()
-            columns = [flat.field(k).to_pylist() for k in ("start", "end", "id", "score")]
-            offsets, at = [0], 0
-            for size in edges.value_lengths().fill_null(0).to_pylist():
-                at += size
-                offsets.append(at)
-            for k, word in enumerate(b.column(0).to_pylist()):
-                lo, hi = offsets[k], offsets[k + 1]
-                got = merge_edges(word, list(zip(*[c[lo:hi] for c in columns], strict=True)), as_bytes)
-                ids.append(got)
-                good.append(decode_ids(got, name, first=False) == word.replace(SPACE, " "))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.list_(pa.int32())), pa.array(good)], names=["word", "n", "ids", "round_trip"])
-
-    return lost.select("word", "n", "edges").mapInArrow(fold, "word string, n long, ids array<int>, round_trip boolean")
+            code = b.column(2).flatten().to_numpy()
+            start = code >> 40
+            spans = (start << 32 | start + (code >> 32 & 0xFF)).tolist()
+            edge = (code & 0xFFFFFFFF).tolist()
+            ends = np.cumsum(b.column(2).value_lengths().fill_null(0).to_numpy()).tolist()
+            out: list[list] = [[], [], [], []]
+            at = 0
+            for word, end in zip(b.column(0).to_pylist(), ends, strict=True):
+                ids = merge_edges(word, spans[at:end], edge[at:end], score, single, as_bytes)
+                at = end
+                for column, x in zip(out, (ids, len(ids), word_digest(ids), decode_ids(ids, name, first=False) == word.replace(SPACE, " ")), strict=True):
+                    column.append(x)
+            columns = [pa.array(x, t) for x, t in zip(out, (pa.list_(pa.int32()), pa.int64(), pa.int64(), pa.bool_()), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *columns], names=["word", "n", "ids", "pieces", "digest", "round_trip"])
+
+    # a task has per_task words, so their groups fit the aggregate's hash table; its default goes over to sorting from 128 groups on
+    key = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(4 * per_task))
+    try:
+        return stored(found.mapInArrow(fold, "word string, n long, ids array<int>, pieces long, digest long, round_trip boolean"), "encoded-words")
+    finally:
+        spark.conf.set(key, before)
 
 
 def word_digest(ids: list[int]) -> int:
-    h = 1469598103934665603
+    """A polynomial of the ids, mod PRIME."""
+    h = len(ids)
     for i in ids:
-        h = ((h ^ i) * 1099511628211) & (2**64 - 1)
+        h = (h * 65_599 + i + 1) % PRIME
     return h
 
 
-def signed(x: int) -> int:
-    x &= 2**64 - 1
-    return x - 2**64 if x >> 63 else x
-
-
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str = MODEL) -> DataFrame:
     """doc_id, ids: all ids of each document in order. Ids meet their documents by a shuffle on the word."""
-    table = stored(encode_words(docs, text_col, name), "encoded-words")
+    table = encode_words(docs, text_col, name)
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -226,54 +287,52 @@ def decode(rows: DataFrame, name: str = MODEL) -> DataFrame:
     return rows.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str = MODEL, hot: int = 100_000) -> DataFrame:
+def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str = MODEL, hot: int = 150_000) -> DataFrame:
     """doc_id, n_words, n_pieces, ids_digest (of each word's ids and place), round_trip: the encoding without gathering ids by document.
 
     The `hot` most frequent words (a fixed number of rows) meet the documents by broadcast, all others by a shuffle on the word.
     """
     spark = docs.sparkSession
-    table = stored(encode_words(docs, text_col, name), "encoded-words")
-    top = {r["word"]: (len(r["ids"]), word_digest(r["ids"]), r["round_trip"]) for r in table.orderBy(F.desc("n"), "word").limit(hot).toLocalIterator()}
-    shared = spark.sparkContext.broadcast(top)
+    table = encode_words(docs, text_col, name)
+    top = table.orderBy(F.desc("n"), "word").limit(hot).select("word", "pieces", "digest", "round_trip").toLocalIterator()
+    rows_of = list(zip(*[tuple(r) for r in top], strict=True)) or [(), (), (), ()]
+    shared = spark.sparkContext.broadcast(({w: k for k, w in enumerate(rows_of[0])}, *(np.array(x, np.int64) for x in rows_of[1:])))
+
+    columns = ["row", "doc_id", "word", "n_words", "n", "h", "bad"]
 
     def per_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        class Known(dict):
+            def __missing__(self, word: str) -> int:
+                return -1
+
+        names_, pieces_, digest_, good_ = shared.value
+        known, places = Known(names_), np.ones(1, np.int64)
         for b in batches:
-            out: list[list] = [[] for _ in range(7)]
-            for row, doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+            whole: list[list] = [[], [], [], []]
+            rare: list[list] = [[], [], []]
+            for row, text in zip(b.column(0).to_pylist(), b.column(2), strict=True):
                 ws = words_of(text.as_py(), name)
-                n = h = bad = 0
-                place, rare = 1, {}
-                for w in ws:
-                    k = known.get(w)
-                    if k is None:
-                        c, p = rare.get(w, (0, 0))
-                        rare[w] = c + 1, (p + place) & 0xFFFFFFFFFFFFFFFF
-                    else:
-                        n += k[0]
-                        h += k[1] * place
-                        bad += not k[2]
-                    place = place * STEP & 0xFFFFFFFFFFFFFFFF
-                for values in ((row, doc, None, len(ws), n, signed(h), bad), *((row, None, w, None, c, signed(p), 0) for w, (c, p) in rare.items())):
-                    for column, x in zip(out, values, strict=True):
-                        column.append(x)
-            types = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, types, strict=True)], names=["row", "doc_id", "word", "n_words", "n", "h", "bad"])
+                while len(places) < len(ws):
+                    places = np.concatenate([places, places * pow(STEP, len(places), PRIME) % PRIME])
+                at = np.fromiter(map(known.__getitem__, ws), np.int64, len(ws))
+                hit, miss = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
+                own = at[hit]
+                for column, x in zip(whole, (len(ws), pieces_[own].sum(), (digest_[own] * places[hit] % PRIME).sum() % PRIME, len(own) - good_[own].sum()), strict=True):
+                    column.append(int(x))
+                rare[0].append(np.full(len(miss), row))
+                rare[1] += [ws[k] for k in miss.tolist()]
+                rare[2].append(places[miss])
+            n = len(rare[1])
+            far = [np.concatenate(rare[k]) if b.num_rows else [] for k in (0, 2)]
+            none, big = (lambda k, t=pa.int64(): pa.nulls(k, t)), pa.int64()
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), none(b.num_rows, pa.string()), *(pa.array(x, big) for x in whole)], names=columns)
+            yield pa.RecordBatch.from_arrays([pa.array(far[0], big), none(n), pa.array(rare[1], pa.string()), none(n), none(n), pa.array(far[1], big), none(n)], names=columns)
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(per_document, "row long, doc_id long, word string, n_words long, n long, h long, bad long")
     rows = stored(rows, "places")
-
-    def rare_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            row, n, h, ids, good = (b.column(k).to_pylist() for k in range(5))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([c * len(x) for c, x in zip(n, ids, strict=True)], pa.int64()), pa.array([signed(word_digest(x) * (p & 0xFFFFFFFFFFFFFFFF)) for p, x in zip(h, ids, strict=True)], pa.int64()), pa.array([0 if g else c for g, c in zip(good, n, strict=True)], pa.int64())], names=["row", "n", "h", "bad"])
-
-    rare = rows.where("word is not null").select("row", "word", "n", "h").join(table.select("word", "ids", "round_trip"), "word").select("row", "n", "h", "ids", "round_trip").mapInArrow(rare_digest, "row long, n long, h long, bad long")
     none = F.lit(None).cast("long")
-    both = rows.where("word is null").select("row", "doc_id", "n_words", "n", "h", "bad").unionByName(rare.select("row", none.alias("doc_id"), none.alias("n_words"), "n", "h", "bad"))
-    # sums mod 2^64: the high and low halves are summed apart, as long sums would overflow
-    low, high = F.col("h").bitwiseAND(F.lit(0xFFFFFFFF).cast("long")), F.shiftrightunsigned("h", 32)
-    got = both.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.sum("n").alias("n_pieces"), F.sum(low).alias("low"), F.sum(high).alias("high"), F.sum("bad").alias("bad"))
-    carry = (F.col("high") + F.shiftrightunsigned("low", 32)).bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
-    digest = F.shiftleft(carry, 32).bitwiseOR(F.col("low").bitwiseAND(F.lit(0xFFFFFFFF).cast("long")))
-    return got.select("doc_id", "n_words", "n_pieces", digest.alias("ids_digest"), (F.col("bad") == 0).alias("round_trip"))
+    rare = rows.where("word is not null").select("row", "word", "h").join(table.select("word", "pieces", "digest", "round_trip"), "word")
+    rare = rare.select("row", none.alias("doc_id"), none.alias("n_words"), F.col("pieces").alias("n"), F.pmod(F.col("h") * F.col("digest"), F.lit(PRIME)).alias("h"), F.when(F.col("round_trip"), 0).otherwise(1).alias("bad"))
+    both = rows.where("word is null").select("row", "doc_id", "n_words", "n", "h", "bad").unionByName(rare)
+    got = both.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.sum("n").alias("n_pieces"), F.pmod(F.sum("h"), F.lit(PRIME)).alias("ids_digest"), F.sum("bad").alias("bad"))
+    return got.select("doc_id", "n_words", "n_pieces", "ids_digest", (F.col("bad") == 0).alias("round_trip"))
