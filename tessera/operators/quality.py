@@ -100,7 +100,7 @@ def normalised_annotations(df: DataFrame) -> DataFrame:
     s, e = any_to_micros(pick("start_ts", "start")), any_to_micros(pick("end_ts", "end"))
     rows = df.withColumns({"__s": s, "__e": e}).where((F.trim("action") != "") & F.col("__s").isNotNull() & F.col("__e").isNotNull())
     blank = (F.coalesce(F.trim("object"), F.lit("")) == "") & (F.coalesce(F.trim("mark"), F.lit("")) == "")
-    return rows.withColumns({"start_us": F.least("__s", "__e"), "end_us": F.greatest("__s", "__e"), "mark": F.when(blank, F.lit("object unclear")).otherwise(F.col("mark"))}).drop("__s", "__e")
+    return rows.withColumns({"start_us": F.least("__s", "__e"), "end_us": F.greatest("__s", "__e"), "mark": F.when(blank, F.lit("object unclear")).otherwise(F.coalesce("mark", F.lit("")))}).drop("__s", "__e")
 
 
 def clip_numbers(rows: DataFrame, keys: list[str], order: str, width: int = 6) -> DataFrame:

@@ -227,13 +227,13 @@ def asof_nearest(spark, d):
 @query("""
 WITH l AS (SELECT o_orderkey, o_custkey AS cust, o_orderkey % 40 AS a0, o_orderkey % 40 + o_custkey % 5 AS a1 FROM orders),
 r AS (SELECT l_orderkey AS ok, min(l_linenumber) + l_orderkey % 30 AS b0, max(l_linenumber) + l_orderkey % 33 + 3 AS b1 FROM lineitem GROUP BY l_orderkey)
-SELECT o_orderkey, ok FROM (SELECT o_orderkey, ok, row_number() OVER (PARTITION BY o_orderkey ORDER BY (a0 = b0 AND a1 = b1) DESC, b1 - b0, ok) AS k FROM l JOIN (SELECT *, ok % 500 AS g FROM r) r ON l.o_orderkey % 500 = g AND a0 <= b1 AND b0 <= a1) WHERE k = 1""")
+SELECT o_orderkey, ok FROM (SELECT o_orderkey, ok, row_number() OVER (PARTITION BY o_orderkey ORDER BY (a0 = b0 AND a1 = b1) DESC, b1 - b0, ok) AS k FROM l JOIN (SELECT *, ok // 100 AS g FROM r) r ON l.o_orderkey // 100 = g AND a0 <= b1 AND b0 <= a1) WHERE k = 1""")
 def range_overlap_best(spark, d):
     key = F.col("o_orderkey")
-    left = table(spark, d, "orders").select(key, (key % 500).alias("g"), (key % 40).alias("a0"), (key % 40 + F.col("o_custkey") % 5).alias("a1"))
+    left = table(spark, d, "orders").select(key, F.floor(key / 100).alias("g"), (key % 40).alias("a0"), (key % 40 + F.col("o_custkey") % 5).alias("a1"))
     k = F.col("l_orderkey")
     right = table(spark, d, "lineitem").groupBy(k.alias("ok")).agg(F.min("l_linenumber").alias("lo"), F.max("l_linenumber").alias("hi"))
-    right = right.select("ok", (F.col("ok") % 500).alias("g"), (F.col("lo") + F.col("ok") % 30).alias("b0"), (F.col("hi") + F.col("ok") % 33 + 3).alias("b1"))
+    right = right.select("ok", F.floor(F.col("ok") / 100).alias("g"), (F.col("lo") + F.col("ok") % 30).alias("b0"), (F.col("hi") + F.col("ok") % 33 + 3).alias("b1"))
     return intervals.overlap_best(left, right, ["g"], ("a0", "a1"), ("b0", "b1"), "ok", 16).select("o_orderkey", "ok")
 
 

@@ -194,7 +194,7 @@ def test_sources(spark, tmp_path):
     assert files.armband(spark, str(tmp_path / "a.csv")).where("error is null").count() == 12
 
     (tmp_path / "r").mkdir()
-    (tmp_path / "r" / "x.dat").write_bytes(b"".join(struct.pack("=IIffff", k, 2, 0, 0, 0, 0) + struct.pack("=4f", 3, 0, 4, 1) for k in range(2)) + b"\0" * 30)
+    (tmp_path / "r" / "x.dat").write_bytes(b"".join(struct.pack("=IIffff", k, 2, 0, 0, 0, 0) + struct.pack("=4f", 3, 0, 4, 1) for k in range(2)) + b"\1" * 30)
     got = files.radar_packets(spark, str(tmp_path / "r")).select("no", numeric.amplitude(F.col("i"), F.col("q")).alias("a")).collect()
     assert [(r.no, r.a) for r in got] == [(0, [5.0, 1.0]), (1, [5.0, 1.0])]
 
