@@ -57,57 +57,29 @@ def byte_ids(name: str = MODEL) -> tuple[int, ...]:
     return tuple(p.piece_to_id(f"<0x{b:02X}>") for b in range(256))
 
 
-@cache
-def letters() -> str:
-    """All letters, as the inside of a character class."""
-    ranges, k = [], 0
-    while k < 0x110000:
-        if chr(k).isalpha():
-            first = k
-            while k + 1 < 0x110000 and chr(k + 1).isalpha():
-                k += 1
-            ranges.append(f"\\U{first:08x}-\\U{k:08x}")
-        k += 1
-    return "".join(ranges)
-
-
 @cache
 def splitter(name: str = MODEL) -> re.Pattern:
-    """Cuts where no piece of the model spans: before each run of the space mark, around line ends, between letters and others."""
+    """Cuts where no piece of the model spans: before each run of the space mark, around line ends, between letters and others.
+
+    Letters are the word characters but digits, the underscore and what the model's pieces have of other numerals.
+    """
     rows = [p for p, _, _ in pieces(name)]
     if any(SPACE in p.lstrip(SPACE) for p in rows):
         raise ValueError(f"{name}: a piece has the space mark after other characters")
     line = "" if any("\n" in p for p in rows) else "\n"
-    if any(a.isalpha() != b.isalpha() for p in rows for a, b in itertools.pairwise(p.lstrip(SPACE))):
+    numerals = "".join(sorted({c for p in rows for c in p if re.match(r"[^\W\d_]", c) and not c.isalpha()}))
+    letter = f"[^\\W\\d_{re.escape(numerals)}]"
+    other = f"(?:(?![{SPACE}{line}])[\\W\\d_{re.escape(numerals)}])"
+    is_letter = re.compile(letter).match
+    if any(bool(is_letter(a)) != bool(is_letter(b)) for p in rows for a, b in itertools.pairwise(p.lstrip(SPACE))):
         runs = f"[^{SPACE}{line}]+"
     else:
-        runs = f"[{letters()}]+|[^{SPACE}{line}{letters()}]+"
+        runs = f"{letter}+|{other}+"
     return re.compile(f"{SPACE}+(?:{runs})?|{runs}" + ("|\n" if line else ""))
 
 
-class _Chunks(dict):
-    """The words of a text between spaces, kept for up to 100,000 chunks."""
-
-    def __init__(self, name: str):
-        super().__init__()
-        self.find = splitter(name).findall
-
-    def __missing__(self, chunk: str) -> list[str]:
-        found = self.find(SPACE + chunk)
-        if len(self) < 100_000 and len(chunk) < 100:
-            self[chunk] = found
-        return found
-
-
-_chunks = cache(_Chunks)
-
-
 def words_of(text: str | None, name: str = MODEL) -> list[str]:
-    if not text:
-        return []
-    if text[0] == " " or "  " in text:  # runs of spaces go with the word after them
-        return splitter(name).findall(SPACE + text.replace(" ", SPACE))
-    return list(itertools.chain.from_iterable(map(_chunks(name).__getitem__, text.split(" "))))
+    return splitter(name).findall(SPACE + text.replace(" ", SPACE)) if text else []
 
 
 def distinct_words(docs: DataFrame, text_col: str = "text", name: str = MODEL, block: int = 2048) -> DataFrame:
@@ -115,18 +87,11 @@ def distinct_words(docs: DataFrame, text_col: str = "text", name: str = MODEL, b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
-        find = splitter(name).findall
         for b in batches:
             for at in range(0, b.num_rows, block):
-                chunks: set[str] = set()
                 found: set[str] = set()
                 for t in b.column(0)[at : at + block].to_pylist():
-                    if t and (t[0] == " " or "  " in t):
-                        found.update(words_of(t, name))
-                    elif t:
-                        chunks.update(t.split(" "))
-                for c in chunks:
-                    found.update(find(SPACE + c))
+                    found.update(words_of(t, name))
                 held.update(found)
             if len(held) > 500_000:
                 yield pa.RecordBatch.from_arrays([pa.array(list(held.keys()), pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
