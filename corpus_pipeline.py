@@ -23,8 +23,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component: that of the least id."""
-    return simhash_dedup.keep_first(docs)
+    """One document of each component of near duplicates (five words, similarity 0.8 or more): that of the least id."""
+    return simhash_dedup.keep_first_similar(docs)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

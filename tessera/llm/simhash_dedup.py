@@ -9,14 +9,22 @@ drops a whole group once they exceed ``most``. Groups that are already in the se
 group of copies costs no pairs. Tasks emit spanning links only; alternating large-star and small-star steps, each written
 to the shared folder, join them into components.
 
+``near_duplicates`` links by bits alone. ``similar_documents`` links documents whose shingle sets have a Jaccard similarity of
+``similarity`` or more. At 0.8 fingerprints differ in some ten bits, too many for cells of shared bits; there, cells are
+bands of min-hashes of the same shingles, and the same index searches each cell within WIDE bits. What it finds is compared
+by sketches of SKETCH min-hashes; if these come within SLACK of the bound, by the shingle sets themselves (32-bit hashes), so
+every link is a true one. A pair of similarity 0.8 shares no band with probability 0.002 (fewer for closer pairs). Equal word
+sequences are one node, so copies cost no cells; only documents that share a band with another text carry their shingles.
+
 Null and empty texts have fingerprint 0 and link like others. Repeated rows share a component. A document alone has its own id.
 """
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,28 +36,58 @@ from .common import maybe_broadcast, stored
 FAN = 8
 #: Most (query, node) pairs expanded at once.
 FRONTIER = 2_000_000
+#: Min-hashes of a sketch (a byte of each is kept), and the bands made of the first BANDS * BAND of them.
+SKETCH, BANDS, BAND = 256, 20, 6
+#: Differing bits within which the index searches for similar documents: 64 bits of two sets of similarity 0.8 differ in 10, standard deviation 3.
+WIDE = 22
+#: Four standard errors of a sketch's estimate at 0.8.
+SLACK = 0.1
+_seeds = np.random.default_rng(42).integers(1, 2**63, (2, SKETCH), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def fingerprint(text: str | None, shingle: int = 4) -> int:
-    """Majority bits of the XXH64 (seed 42) of the word shingles; words of A-Z lower-cased."""
+def shingle_hashes(w: list[bytes], shingle: int) -> Iterator[np.ndarray]:
+    """XXH64 (seed 42) of the shingles of words, in chunks."""
     import xxhash
 
-    w = (text or "").encode().lower().split()
-    if not w:
-        return 0
     n = max(1, len(w) - shingle + 1)
     ends = np.cumsum(np.fromiter(map(len, w), np.int64, len(w)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     whole, k = memoryview(b" ".join(w)), min(shingle, len(w)) - 1
-    count = np.zeros(64, np.int64)
     digest = xxhash.xxh64_intdigest
     for at in range(0, n, 1 << 16):
         m = min(n, at + (1 << 16))
-        h = np.fromiter((digest(whole[a:b], 42) for a, b in zip(starts[at:m].tolist(), ends[at + k : m + k].tolist(), strict=True)), np.uint64, m - at)
+        yield np.fromiter((digest(whole[a:b], 42) for a, b in zip(starts[at:m].tolist(), ends[at + k : m + k].tolist(), strict=True)), np.uint64, m - at)
+
+
+def fingerprint(text: str | None, shingle: int = 4) -> int:
+    """Majority bits of the XXH64 (seed 42) of the word shingles; words of A-Z lower-cased."""
+    w = (text or "").encode().lower().split()
+    return majority(shingle_hashes(w, shingle)) if w else 0
+
+
+def majority(chunks: Iterable[np.ndarray]) -> int:
+    """The bits set in over half of the hashes."""
+    count, n = np.zeros(64, np.int64), 0
+    for h in chunks:
+        n += len(h)
         count += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
     return int(np.packbits(2 * count > n, bitorder="little").view("<u8")[0])
 
 
+def min_hashes(chunks: Iterable[np.ndarray]) -> np.ndarray:
+    """SKETCH least values of the hashes under seeded mixings."""
+    out = np.full(SKETCH, np.iinfo(np.uint64).max, np.uint64)
+    for h in chunks:
+        for at in range(0, len(h), 1024):
+            out = np.minimum(out, ((h[at : at + 1024, None] ^ _seeds[0]) * _seeds[1]).min(0))
+    return out
+
+
+def resemblance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Estimated Jaccard similarity of sketches (rows of bytes), chance matches taken off."""
+    return ((a == b).mean(1) - 1 / 256) / (1 - 1 / 256)
+
+
 def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fp (the 64 bits as a signed long)."""
 
@@ -151,10 +189,18 @@ class GrayIndex:
                 yield q[hit], kid[hit]
 
 
-def spanning(cell: np.ndarray, side: np.ndarray, fp: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (fp, fp) that connect what is within `most` bits in the cells. side: -1, or the part in a cell of two parts."""
+def spanning(cell: np.ndarray, side: np.ndarray, fp: np.ndarray, most: int, node: np.ndarray | None = None, alike: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Links (node, node) that connect what is within `most` bits in the cells, and alike(places, places) if given.
+
+    side: -1, or the part in a cell of two parts. Nodes are the fingerprints themselves if not given.
+    """
     order = np.lexsort((gray_rank(fp), cell))
     cell, side, fp = cell[order], side[order], fp[order]
+    node = fp if node is None else node[order]
+
+    def linked(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.ones(len(a), bool) if alike is None else np.concatenate([alike(order[a[k : k + 65536]], order[b[k : k + 65536]]) for k in range(0, len(a), 65536)] or [np.empty(0, bool)])
+
     n = len(fp)
     label, found = np.arange(n), []
 
@@ -162,20 +208,23 @@ def spanning(cell: np.ndarray, side: np.ndarray, fp: np.ndarray, most: int) -> t
         nonlocal label
         pair = np.unique(np.stack([label[a], label[b]], 1), axis=0, return_index=True)[1]
         a, b = a[pair], b[pair]
-        found.append((fp[a], fp[b]))
+        found.append((node[a], node[b]))
         label = joined(label, a, b)
 
     for step in (1, 2, 3, 4):  # neighbours in Gray order first: dense groups join without a search
         a = np.flatnonzero((cell[step:] == cell[:-step]) & (np.bitwise_count(fp[step:] ^ fp[:-step]) <= most))
-        if len(a := a[label[a] != label[a + step]]):
+        a = a[label[a] != label[a + step]]
+        if len(a := a[linked(a, a + step)]):
             link(a, a + step)
     index = GrayIndex(cell, fp)
     for at in range(0, n, 1 << 15):
         index.label(label)
         for a, b in index.search(np.arange(at, min(n, at + (1 << 15))), side, label, most):
-            if (open_ := label[a] != label[b]).any():
-                link(a[open_], b[open_])
-    a, b = (np.concatenate([x[k] for x in found] or [np.empty(0, np.uint64)]) for k in (0, 1))
+            open_ = label[a] != label[b]
+            a, b = a[open_], b[open_]
+            if (near := linked(a, b)).any():
+                link(a[near], b[near])
+    a, b = (np.concatenate([x[k] for x in found] or [np.empty(0, node.dtype)]) for k in (0, 1))
     return a, b
 
 
@@ -187,19 +236,41 @@ def links(distinct: DataFrame, rows: int, most: int = 4, cell: int = 50_000, per
     heavy = stored(heavy.select("t", "v", F.ceil(F.col("n") / cell).cast("int").alias("parts")), "heavy-cells")
     n_heavy = heavy.count()
     if n_heavy:
-        keyed = keyed.join(maybe_broadcast(heavy, n_heavy), ["t", "v"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-        part = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
-        keyed = keyed.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        keyed = keyed.select("fp", "t", "v", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), F.when(F.col("parts") == 1, -1).when(F.col("part") == F.col("other"), -1).otherwise(F.col("part")).alias("side"))
+        keyed = _in_parts(keyed.join(maybe_broadcast(heavy, n_heavy), ["t", "v"], "left").withColumn("parts", F.coalesce("parts", F.lit(1))), "fp", "fp", "t", "v")
     else:
         keyed = keyed.select("fp", "t", "v", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(-1).alias("side"))
-    key = ["t", "v", "i", "j"]
+    return _search_cells(keyed, ["t", "v", "i", "j"], most, rows * len(masks), per_task)
+
+
+def _in_parts(keyed: DataFrame, by: str, *columns: str) -> DataFrame:
+    """keyed (with its cell's number of parts) dealt over the pairs i <= j of parts; side tells the two parts of a pair apart."""
+    keyed = keyed.withColumn("part", F.pmod(F.xxhash64(by), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    side = F.when((F.col("parts") == 1) | (F.col("part") == F.col("other")), -1).otherwise(F.col("part"))
+    return keyed.select(*columns, F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), side.alias("side"))
+
+
+def _search_cells(keyed: DataFrame, key: list[str], most: int, rows: int, per_task: int, similarity: float | None = None) -> DataFrame:
+    """a, b: spanning links in the cells of keyed (key, side, fp; with similarity also node, sketch and grams)."""
 
     def flush(held: list[pa.Table]) -> pa.RecordBatch:
         t = pa.concat_tables(held)
         cols = [t.column(c).to_numpy() for c in key]
         number = np.cumsum(np.r_[False, np.any([c[1:] != c[:-1] for c in cols], axis=0)])
-        a, b = spanning(number, t.column("side").to_numpy().astype(np.int64), t.column("fp").to_numpy().view(np.uint64), most)
+        node = alike = None
+        if similarity is not None:
+            node = t.column("node").to_numpy()
+            sketches = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
+            grams = [np.frombuffer(g, "<u4") for g in t.column("grams").to_pylist()]
+
+            def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+                near = resemblance(sketches[a], sketches[b]) >= similarity - SLACK
+                for k in np.flatnonzero(near):
+                    x, y = grams[a[k]], grams[b[k]]
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    near[k] = both >= similarity * (len(x) + len(y) - both)
+                return near
+
+        a, b = spanning(number, t.column("side").to_numpy().astype(np.int64), t.column("fp").to_numpy().view(np.uint64), most, node, alike)
         return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,7 +292,7 @@ def links(distinct: DataFrame, rows: int, most: int = 4, cell: int = 50_000, per
         if held:
             yield flush(held)
 
-    tasks = max(1, math.ceil(rows * len(masks) / per_task))
+    tasks = max(1, math.ceil(rows / per_task))
     return keyed.repartition(tasks, *key).sortWithinPartitions(*key).mapInArrow(run, "a long, b long").where("a <> b").distinct()
 
 
@@ -261,3 +332,71 @@ def keep_first(docs: DataFrame, most: int = 4, shingle: int = 4, id_col: str = "
     gone = near_duplicates(docs, most, shingle, id_col, text_col).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
     gone = stored(gone, "near-duplicates")
     return docs.join(maybe_broadcast(gone, gone.count()), F.col(id_col) == F.col("__gone"), "left_anti")
+
+
+def sketches(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, d1 and d2 (digest of the lower-cased word sequence), fp, sketch, bands. A text without words has no bands."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for b in batches:
+            out: list[list] = [[], [], [], [], []]
+            for text in b.column(1):
+                w = (text.as_py() or "").encode().lower().split()
+                chunks = list(shingle_hashes(w, shingle)) if w else []
+                least = min_hashes(chunks)
+                bands = [xxhash.xxh64_intdigest(least[k * BAND : (k + 1) * BAND].tobytes(), k) - (1 << 63) for k in range(BANDS)] if w else []
+                d = np.frombuffer(hashlib.md5(b" ".join(w)).digest(), "<i8").tolist()
+                fp = majority(chunks) if w else 0
+                for column, x in zip(out, (*d, fp - (1 << 64) if fp >> 63 else fp, (least >> np.uint64(20)).astype(np.uint8).tobytes(), bands), strict=True):
+                    column.append(x)
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x, t) for x, t in zip(out, kinds, strict=True))], names=["doc_id", "d1", "d2", "fp", "sketch", "bands"])
+
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col)).mapInArrow(run, "doc_id long, d1 long, d2 long, fp long, sketch binary, bands array<long>")
+
+
+def gram_sets(docs: DataFrame, shingle: int, text_col: str = "text") -> DataFrame:
+    """d1, d2, grams: the sorted distinct 32-bit hashes of the shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[list] = [[], [], []]
+            for text in b.column(0):
+                w = (text.as_py() or "").encode().lower().split()
+                grams = np.unique(np.concatenate([h.astype("<u4") for h in shingle_hashes(w, shingle)])) if w else np.empty(0, "<u4")
+                for column, x in zip(out, (*np.frombuffer(hashlib.md5(b" ".join(w)).digest(), "<i8").tolist(), grams.tobytes()), strict=True):
+                    column.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["d1", "d2", "grams"])
+
+    return docs.select(F.col(text_col)).mapInArrow(run, "d1 long, d2 long, grams binary")
+
+
+def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", cell: int = 20_000, per_task: int = 20_000) -> DataFrame:
+    """doc_id, component_id: the least doc_id reachable over links of at least `similarity`. Documents of null id are passed by."""
+    marks = stored(sketches(docs, shingle, id_col, text_col).where("doc_id is not null"), "sketches")
+    one = ["d1", "d2"]
+    nodes = stored(marks.groupBy(*one).agg(F.min("doc_id").alias("node")), "word-sequences")
+    mine = marks.join(nodes, one).where("doc_id = node").dropDuplicates(one)
+    mine = stored(mine.select(*one, "node", "fp", "sketch", "bands"), "sequence-sketches")
+    keyed = mine.select(*one, "node", F.explode("bands").alias("v"))
+    shared = keyed.groupBy("v").agg(F.count("*").alias("n")).where("n > 1").select("v", F.ceil(F.col("n") / cell).cast("int").alias("parts"))
+    cells = stored(keyed.join(shared, "v"), "shared-bands")
+    asked = stored(cells.select("node", *one).distinct(), "band-sharers")
+    n_asked = asked.count()
+    texts = docs.join(maybe_broadcast(asked.select(F.col("node").alias("__node")).distinct(), n_asked), F.col(id_col).cast("long") == F.col("__node"), "left_semi")
+    grams = gram_sets(texts, shingle, text_col).dropDuplicates(one)
+    sharers = stored(maybe_broadcast(asked.drop("node"), n_asked).join(mine.drop("bands"), one).join(grams, one), "sharers")
+    members = _in_parts(cells.drop("node").join(sharers, one), "d1", "node", "fp", "sketch", "grams", "v")
+    rows = cells.agg(F.sum("parts")).first()[0] or 0
+    links_ = _search_cells(members, ["v", "i", "j"], WIDE, rows, per_task, similarity)
+    named = nodes.join(components(links_), "node", "left").select(*one, F.coalesce("root", "node").alias("component_id"))
+    return marks.select("doc_id", *one).join(named, one).groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
+
+
+def keep_first_similar(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one document of each component of similar_documents: the one with the least id (repeated rows of it stay). Columns as they were."""
+    gone = similar_documents(docs, similarity, shingle, id_col, text_col).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone"))
+    gone = stored(gone, "similar-documents")
+    return docs.join(maybe_broadcast(gone, gone.count()), F.col(id_col) == F.col("__gone"), "left_anti")

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import re
 import zlib
 
@@ -315,6 +316,40 @@ def test_simhash(docs, texts, empty):
     assert simhash_dedup.near_duplicates(empty).count() == 0
 
 
+def grams_of(t, n=5):
+    w = [x.translate({c: c + 32 for c in range(65, 91)}) for x in words(t)]
+    return {" ".join(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
+
+
+@pytest.mark.parametrize("cell", [20_000, 7])
+def test_similar_documents(spark, cell):
+    rng = np.random.default_rng(3)
+    rows, k = [(0, None), (1, ""), (2, " "), (3, "a"), (4, "A\n"), (5, "a b c"), (5, "a b c"), (None, "a b c")], 10
+    for group in range(12):
+        base = [f"w{x}" for x in rng.integers(0, 3000, rng.integers(60, 900))]
+        for copy in range(14):
+            w = list(base)
+            for at in rng.integers(0, len(w), int(len(w) * 0.003 * copy)):
+                w[at] = f"v{rng.integers(0, 10**6)}"
+            rows.append((k, ("  " if copy % 2 else " ").join(w).upper() if copy % 3 == 0 else " ".join(w)))
+            k += 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("node", F.lit("x")).withColumn("fp", F.lit(1))
+    got = {r.doc_id: r.component_id for r in simhash_dedup.similar_documents(docs, cell=cell, per_task=50).collect()}
+    texts = {i: t for i, t in rows if i is not None}
+    sets = {i: grams_of(t) for i, t in texts.items()}
+    label = {i: i for i in texts}
+    for a, b in itertools.combinations(sorted(texts), 2):
+        x, y = sets[a], sets[b]
+        if x == y if not (x and y) else len(x & y) >= 0.8 * len(x | y):
+            lo, hi = sorted((label[a], label[b]))
+            label = {i: lo if c == hi else c for i, c in label.items()}
+    assert got == label
+    kept = simhash_dedup.keep_first_similar(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == sorted(i for i, _ in rows if i is not None and label[i] == i)
+    assert simhash_dedup.similar_documents(docs.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("cell", [50_000, 40])
 def test_simhash_dense_groups(spark, cell):
     rng = np.random.default_rng(5)

@@ -17,7 +17,7 @@ def test_stages(spark, sf001):
     ids = [{x.doc_id for x in o.select("doc_id").collect()} for o in (docs, q, n, r, s, p)]
     assert all(b <= a for a, b in zip(ids, ids[1:])) and ids[3] == ids[4] == ids[5]
     assert ids[1] == {x.doc_id for x in quality_rules.apply_policy(quality_rules.ledger(docs)).where("kept").collect()}
-    assert ids[2] == {x.component_id for x in simhash_dedup.near_duplicates(q).collect()}
+    assert ids[2] == {x.component_id for x in simhash_dedup.similar_documents(q).collect()}
     assert substring_dedup.report(r).agg({"n_removed": "sum"}).first()[0] <= substring_dedup.report(n).agg({"n_removed": "sum"}).first()[0]
     assert secret_scans.scan(s).where("size(base) > 0").count() == 0
     assert s.where("n_chars <> length(text)").count() == 0
