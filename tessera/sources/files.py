@@ -1,7 +1,8 @@
 """Recordings on any file system that Spark reads: folder trees, time-stamped frames, CSVs, manifests, radar packets.
 
 All listings select only path and length of ``binaryFile``, so no content is read; contents are decoded by Spark's readers or,
-for binary packets, in Arrow batches. Formats that need libraries absent here (HDF5, XDF, event-camera RAW) raise ImportError.
+for binary packets, in Arrow batches. HDF5 needs a library that is absent here and raises ImportError. XDF, event-camera RAW and images
+are in ``recordings``.
 """
 
 from __future__ import annotations
