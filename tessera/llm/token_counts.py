@@ -2,7 +2,7 @@
 
 First pass: corpus frequencies of pre-tokens. Each distinct pre-token goes once through the BPE model of the tokeniser
 file, which gives its number of pieces. Second pass: per-document pre-token frequencies join that table and are summed.
-The ``hot`` most frequent pre-tokens (a fixed number of rows) are joined by broadcast; all others by a shuffle on the
+The most frequent pre-tokens (no more than ``hot`` rows) are joined by broadcast; all others by a shuffle on the
 pre-token, where no key is hot any more. Special tokens inside texts count as one, as the library has it by default.
 
 Null and empty texts have no tokens. Repeated rows of one id each get their own count.
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import most_frequent, stored
 
 
 class PreTokens:
@@ -104,9 +104,9 @@ def count_tokens(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", id_col:
     """doc_id, n_bytes, n_tokens."""
     spark = docs.sparkSession
     vocab = stored(vocabulary(docs, tokenizer, text_col), "pre-tokens")
-    top = {r["token"]: r["pieces"] for r in vocab.orderBy(F.desc("n"), "token").limit(hot).select("token", "pieces").toLocalIterator()}
+    top = {r["token"]: r["pieces"] for r in most_frequent(vocab, "n", hot).select("token", "pieces").collect()}
     shared = spark.sparkContext.broadcast(top)
-    split = len(top) == hot
+    split = len(top) < vocab.count()
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for the document (token null) and one for each of its pre-tokens outside the broadcast."""

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import lm_scoring, packing, quality_rules, queries, secret_scans, sentencepiece_lattice, sharding, simhash_dedup, substring_dedup, token_counts, topk_search
+from tessera.llm import common, lm_scoring, packing, quality_rules, queries, secret_scans, sentencepiece_lattice, sharding, simhash_dedup, substring_dedup, token_counts, topk_search
 from tessera.llm.common import scratch
 
 PASSAGE = " ".join(f"word{i}" for i in range(60))
@@ -299,6 +299,16 @@ def components(fps, most):
         label = new
 
 
+@pytest.mark.parametrize("most", [0, 1, 7, 100, 1000])
+def test_most_frequent(spark, most):
+    df = spark.range(300).selectExpr("id", "1 + floor(300 / (id + 1)) AS n")
+    got = sorted(r.n for r in common.most_frequent(df, "n", most).collect())
+    every = sorted(r.n for r in df.collect())
+    assert len(got) <= most and got == every[len(every) - len(got) :]
+    assert len(got) >= min(most, 5) or most < 7
+    assert common.most_frequent(df.limit(0), "n", most).count() == 0
+
+
 def test_simhash(docs, texts, empty):
     import xxhash
 
