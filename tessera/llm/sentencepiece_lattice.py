@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import most_frequent, stored
 
 SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
@@ -82,17 +82,14 @@ def words_of(text: str | None, name: str = MODEL) -> list[str]:
     return splitter(name).findall(SPACE + text.replace(" ", SPACE)) if text else []
 
 
-def distinct_words(docs: DataFrame, text_col: str = "text", name: str = MODEL, block: int = 2048) -> DataFrame:
-    """word, n (blocks of documents that it is in): one row for each distinct word of all documents."""
+def distinct_words(docs: DataFrame, text_col: str = "text", name: str = MODEL) -> DataFrame:
+    """word, n (occurrences): one row for each distinct word of all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
         for b in batches:
-            for at in range(0, b.num_rows, block):
-                found: set[str] = set()
-                for t in b.column(0)[at : at + block].to_pylist():
-                    found.update(words_of(t, name))
-                held.update(found)
+            for t in b.column(0):
+                held.update(words_of(t.as_py(), name))
             if len(held) > 500_000:
                 yield pa.RecordBatch.from_arrays([pa.array(list(held.keys()), pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
                 held = Counter()
@@ -255,11 +252,11 @@ def decode(rows: DataFrame, name: str = MODEL) -> DataFrame:
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str = MODEL, hot: int = 150_000) -> DataFrame:
     """doc_id, n_words, n_pieces, ids_digest (of each word's ids and place), round_trip: the encoding without gathering ids by document.
 
-    The `hot` most frequent words (a fixed number of rows) meet the documents by broadcast, all others by a shuffle on the word.
+    The most frequent words (no more than `hot` rows) meet the documents by broadcast, all others by a shuffle on the word.
     """
     spark = docs.sparkSession
     table = encode_words(docs, text_col, name)
-    top = table.orderBy(F.desc("n"), "word").limit(hot).select("word", "pieces", "digest", "round_trip").toLocalIterator()
+    top = most_frequent(table, "n", hot).select("word", "pieces", "digest", "round_trip").toLocalIterator()
     rows_of = list(zip(*[tuple(r) for r in top], strict=True)) or [(), (), (), ()]
     shared = spark.sparkContext.broadcast(({w: k for k, w in enumerate(rows_of[0])}, *(np.array(x, np.int64) for x in rows_of[1:])))
 
