@@ -1,6 +1,6 @@
 """SentencePiece encoding and decoding as a relational lattice.
 
-Texts fall into words (where no piece of the model crosses: at runs of the space mark, line ends, and between letters and others). Each distinct
+Texts fall into words (where no piece of the model crosses: at runs of spaces, line ends, and between letters and others). Each distinct
 word is encoded once: its substrings of bounded length are exploded and equi-joined to the piece table, the matches are the
 word's edges, and edges grouped by word are folded into its pieces. The words table stays partitioned by word, so exploding,
 joining and grouping take no further shuffle.
@@ -58,28 +58,40 @@ def byte_ids(name: str = MODEL) -> tuple[int, ...]:
 
 
 @cache
-def splitter(name: str = MODEL) -> re.Pattern:
-    """Cuts where no piece of the model spans: before each run of the space mark, around line ends, between letters and others.
+def splitters(name: str = MODEL) -> tuple[re.Pattern, re.Pattern]:
+    """Cuts where no piece of the model spans: before each run of spaces, around line ends, between letters and others.
 
-    Letters are the word characters but digits, the underscore and what the model's pieces have of other numerals.
+    Letters are the word characters but digits, the underscore and what the model's pieces have of other numerals. The first
+    pattern lists the letters up to U+FFFF, which makes the class one table look-up; the second is for texts with others.
     """
     rows = [p for p, _, _ in pieces(name)]
     if any(SPACE in p.lstrip(SPACE) for p in rows):
         raise ValueError(f"{name}: a piece has the space mark after other characters")
     line = "" if any("\n" in p for p in rows) else "\n"
-    numerals = "".join(sorted({c for p in rows for c in p if re.match(r"[^\W\d_]", c) and not c.isalpha()}))
-    letter = f"[^\\W\\d_{re.escape(numerals)}]"
-    other = f"(?:(?![{SPACE}{line}])[\\W\\d_{re.escape(numerals)}])"
-    is_letter = re.compile(letter).match
-    if any(bool(is_letter(a)) != bool(is_letter(b)) for p in rows for a, b in itertools.pairwise(p.lstrip(SPACE))):
-        runs = f"[^{SPACE}{line}]+"
-    else:
-        runs = f"{letter}+|{other}+"
-    return re.compile(f"{SPACE}+(?:{runs})?|{runs}" + ("|\n" if line else ""))
+    numerals = re.escape("".join(sorted({c for p in rows for c in p if re.match(r"[^\W\d_]", c) and not c.isalpha()})))
+    is_letter = re.compile(f"[^\\W\\d_{numerals}]").match
+    mixed = any(bool(is_letter(a)) != bool(is_letter(b)) for p in rows for a, b in itertools.pairwise(p.lstrip(SPACE)))
+    listed = [[c for c, _ in run] for k, run in itertools.groupby(((c, bool(is_letter(chr(c)))) for c in range(0x10000)), lambda x: x[1]) if k]
+    ranges = "".join(f"\\u{r[0]:04x}-\\u{r[-1]:04x}" for r in listed)
+
+    def pattern(letter: str, other: str) -> re.Pattern:
+        runs = f"[^ {line}]+" if mixed else f"{letter}+|{other}+"
+        return re.compile(f" +(?:{runs})?|{runs}" + ("|\n" if line else ""))
+
+    return pattern(f"[{ranges}]", f"[^{ranges} {line}]"), pattern(f"[^\\W\\d_{numerals}]", f"(?:(?![ {line}])[\\W\\d_{numerals}])")
+
+
+_beyond = re.compile("[\U00010000-\U0010ffff]").search
 
 
 def words_of(text: str | None, name: str = MODEL) -> list[str]:
-    return splitter(name).findall(SPACE + text.replace(" ", SPACE)) if text else []
+    """The words of a text, spaces as they are (the model's mark for them, where a text has it, is a space)."""
+    if not text:
+        return []
+    listed, general = splitters(name)
+    if text.isascii():
+        return listed.findall(" " + text)
+    return (general if _beyond(text) else listed).findall(" " + text.replace(SPACE, " "))
 
 
 def distinct_words(docs: DataFrame, text_col: str = "text", name: str = MODEL) -> DataFrame:
@@ -99,7 +111,8 @@ def distinct_words(docs: DataFrame, text_col: str = "text", name: str = MODEL) -
 
 
 def piece_table(spark: SparkSession, name: str = MODEL) -> DataFrame:
-    return spark.createDataFrame(list(pieces(name)), "piece string, id int, score double")
+    """The normal pieces, with spaces for the model's mark as words have them."""
+    return spark.createDataFrame([(p.replace(SPACE, " "), i, x) for p, i, x in pieces(name)], "piece string, id int, score double")
 
 
 def lattice(words: DataFrame, table: DataFrame, longest: int) -> DataFrame:
@@ -181,7 +194,7 @@ def encode_words(docs: DataFrame, text_col: str = "text", name: str = MODEL, per
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         as_bytes = byte_ids(name)
-        single = {p: [i] for p, i, _ in pieces(name) if len(p) == 1}
+        single = {p.replace(SPACE, " "): [i] for p, i, _ in pieces(name) if len(p) == 1}
         score = [0.0] * processor(name).get_piece_size()
         for _, i, x in pieces(name):
             score[i] = x
@@ -196,7 +209,7 @@ def encode_words(docs: DataFrame, text_col: str = "text", name: str = MODEL, per
             for word, end in zip(b.column(0).to_pylist(), ends, strict=True):
                 ids = merge_edges(word, spans[at:end], edge[at:end], score, single, as_bytes)
                 at = end
-                for column, x in zip(out, (ids, len(ids), word_digest(ids), decode_ids(ids, name, first=False) == word.replace(SPACE, " ")), strict=True):
+                for column, x in zip(out, (ids, len(ids), word_digest(ids), decode_ids(ids, name, first=False) == word), strict=True):
                     column.append(x)
             columns = [pa.array(x, t) for x, t in zip(out, (pa.list_(pa.int32()), pa.int64(), pa.int64(), pa.bool_()), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *columns], names=["word", "n", "ids", "pieces", "digest", "round_trip"])
