@@ -196,18 +196,20 @@ def coarse_fine_offsets(df: DataFrame, keys: list[str], **options) -> DataFrame:
     return per_run(df, keys, kernel, "offset double, corr double, second double, margin double, width double, is_reliable boolean")
 
 
-def piecewise_offsets(df: DataFrame, keys: list[str], size: float = 15.0, hop: float = 10.0, most: float = 2.0, step: float = 0.01, least: int = 80, **options) -> DataFrame:
-    """Window scans, the single-or-piecewise decision, final correlations and the drift (least squares over windows) of each run."""
+def piecewise_offsets(df: DataFrame, keys: list[str], size: float = 15.0, hop: float = 10.0, most: float = 2.0, step: float = 0.01, least: int = 80, cuts: int = 2, min_seg: int = 3, **options) -> DataFrame:
+    """Window scans, the single-or-piecewise decision, final correlations and the drift (least squares over windows) of each run.
+    With fewer than 2 * min_seg + 1 windows the whole run is scanned instead."""
 
     def kernel(t, a, b):
         za, zb = zscore(a), zscore(b)
         dt = float(np.median(np.diff(t)))
         got = [(c, *scan(t[i], za[i], zb[i], most, step, 0.0, min(least, len(i)))) for c, i in windows(t, size, hop, least)]
-        if not got:
-            raise ValueError("no window has enough points")
-        c, d, r = (np.array(x) for x in zip(*got, strict=True))
+        c, d, r = np.array(got, float).reshape(-1, 3).T
         d = np.where(r > NONE_VALID, d, np.nan)
-        choice = decide(c, d, r, **options)
+        if len(got) < 2 * min_seg + 1:
+            choice = {"mode": "single", "reason": "few windows, whole run scanned", "offsets": [scan(t, za, zb, most, step, 0.8, min(least, 80))[0]], "changes": []}
+        else:
+            choice = decide(c, d, r, most=cuts, min_seg=min_seg, **options)
         each, whole = final_corrs(t, za, zb, choice["offsets"], choice["changes"])
         ok = np.isfinite(d)
         slope, base = np.polyfit(c[ok], d[ok], 1) if ok.sum() >= 2 else (0.0, float(d[ok][0]) if ok.any() else 0.0)
@@ -216,6 +218,30 @@ def piecewise_offsets(df: DataFrame, keys: list[str], size: float = 15.0, hop: f
     return per_run(df, keys, kernel, "mode string, reason string, offsets array<double>, changes array<double>, n_windows int, corrs array<double>, corr double, drift double, drift_base double, dt double")
 
 
+def mean_edge(x: np.ndarray, w: int) -> np.ndarray:
+    """Centred mean of w values, the end values repeated beyond the ends; (w - 1) // 2 reach back."""
+    if w <= 1 or not len(x):
+        return x
+    back = (w - 1) // 2
+    return np.lib.stride_tricks.sliding_window_view(np.pad(x, (back, w - 1 - back), mode="edge"), w).mean(-1)
+
+
+def smoothed(df: DataFrame, keys: list[str], t: str, seconds: dict[str, float], least: int = 3, step: str | None = None) -> DataFrame:
+    """df with the columns of `seconds` smoothed by mean_edge over so many seconds, in rows of the run's median step (of column step
+    or of t). The width differs by run, which a window frame can't express. Runs of fewer than `least` rows stay as they are."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(t)
+        if len(pdf) >= least:
+            dt = float(np.median(pdf[step])) if step else float(np.median(np.diff(pdf[t])))
+            for c, s in seconds.items():
+                if s > 0:
+                    pdf[c] = mean_edge(pdf[c].to_numpy(float), max(1, round(s / max(dt, 1e-6))))
+        return pdf
+
+    return df.groupBy(*keys).applyInPandas(run, df.schema) if any(s > 0 for s in seconds.values()) else df
+
+
 def manual_offsets(df: DataFrame, keys: list[str], shift: float) -> DataFrame:
     """The given offset for each run; nothing is scanned, so corr is null."""
     from pyspark.sql import functions as F

@@ -12,11 +12,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import names, numeric, timeparse
-from tessera.operators import align, dsp, hierarchy, intervals, packing, quality, signals, split
+from tessera.operators import align, dsp, frames, hierarchy, intervals, packing, quality, signals, split
+from tessera.plans import motion
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 HOUR = 3_600_000_000
+#: Frames of a recording, where embeddings stand for frames.
+RECORDING = 1000
 
 
 def query(sql: str | None = None):
@@ -460,11 +463,11 @@ def manual_shift(spark, d):
 WITH v AS (SELECT vec_id, list_filter(list_transform(embedding, lambda x: abs(x::DOUBLE)), lambda x: x <= 0.3) AS v FROM embeddings),
 b AS (SELECT vec_id, v, list_transform(v, lambda x: least(floor(x / (0.3 / 8)), 7)::INT) AS c FROM v),
 h AS (SELECT vec_id, list_transform(range(0, 8), lambda k: CASE WHEN len(v) > 0 THEN len(list_filter(c, lambda x: x = k)) / (len(v) * (0.3 / 8)) ELSE 0.0 END) AS h FROM b),
-l AS (SELECT vec_id, h, lag(h) OVER (ORDER BY vec_id) AS p FROM h)
+l AS (SELECT vec_id, h, lag(h) OVER (PARTITION BY vec_id // 1000 ORDER BY vec_id) AS p FROM h)
 SELECT vec_id, round(h[1], 6) AS h0, round(h[8], 6) AS h7, round(list_sum(list_transform(range(1, 9), lambda i: abs(h[i] - p[i]))), 6) AS motion FROM l""")
 def histogram_motion(spark, d):
-    h = table(spark, d, "embeddings").select("vec_id", F.lit(0).alias("one"), numeric.histogram(F.transform("embedding", lambda x: F.abs(x.cast("double"))), 0.3, 8).alias("h"))
-    prev = F.lag("h").over(Window.partitionBy("one").orderBy("vec_id"))
+    h = table(spark, d, "embeddings").select("vec_id", F.floor(F.col("vec_id") / RECORDING).alias("rec"), numeric.histogram(F.transform("embedding", lambda x: F.abs(x.cast("double"))), 0.3, 8).alias("h"))
+    prev = F.lag("h").over(Window.partitionBy("rec").orderBy("vec_id"))
     return h.withColumn("p", prev).select("vec_id", r6(F.get("h", F.lit(0))).alias("h0"), r6(F.get("h", F.lit(7))).alias("h7"), F.when(F.col("p").isNotNull(), r6(numeric.l1(F.col("h"), F.col("p")))).alias("motion"))
 
 
@@ -763,3 +766,90 @@ def json_polymorphic_path(spark, d):
 def segment_summary(spark, d):
     df = table(spark, d, "lineitem").where(F.col("l_shipdate") <= F.lit("1998-09-02").cast("timestamp_ntz"))
     return df.groupBy("l_returnflag", "l_linestatus").agg(F.round(F.sum("l_quantity"), 2).alias("sum_qty"), F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"), F.count("*").alias("n"))
+
+
+def _edge_mean(source: str, x: str, keys: str, order: str, back: int, ahead: int) -> str:
+    """SQL of source with m, the centred mean of x with the end values repeated."""
+    whole = f"(PARTITION BY {keys} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+    return f"""(SELECT *, (s + greatest(0, {back} - (rn - 1)) * f + greatest(0, {ahead} - (n - rn)) * l) / {back + ahead + 1} AS m FROM (
+ SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {order}) AS rn, count(*) OVER {whole} AS n, first_value({x}) OVER {whole} AS f, last_value({x}) OVER {whole} AS l,
+ sum({x}) OVER (PARTITION BY {keys} ORDER BY {order} ROWS BETWEEN {back} PRECEDING AND {ahead} FOLLOWING) AS s FROM {source}))"""
+
+
+@query(f"""
+WITH e AS (SELECT vec_id // {RECORDING} AS rec, (vec_id % {RECORDING}) * 0.002::DOUBLE AS t, list_sum(list_transform(embedding[1:8], lambda x: abs(x::DOUBLE))) / 8 AS v FROM embeddings),
+d AS (SELECT rec, (t + lag(t) OVER w) / 2 AS t, abs(v - lag(v) OVER w) AS x FROM e WINDOW w AS (PARTITION BY rec ORDER BY t)),
+x AS (SELECT * FROM d WHERE x IS NOT NULL)
+SELECT rec, round(t, 6) AS t, round(m, 6) AS motion FROM {_edge_mean("x", "x", "rec", "t", 1, 2)}""")
+def armband_motion(spark, d):
+    e = table(spark, d, "embeddings").select(F.floor(F.col("vec_id") / RECORDING).alias("rec"), ((F.col("vec_id") % RECORDING) * F.lit(0.002)).alias("board_ts"), *[F.get("embedding", F.lit(k)).cast("double").alias(c) for k, c in enumerate([*(f"emg{k}" for k in range(1, 9)), *(f"gyro_{c}" for c in "xyz")])])
+    return motion.armband_motion(e, ["rec"], mode="emg", emg_s=0.008).select("rec", r6("t").alias("t"), r6("motion").alias("motion"))
+
+
+_HIST = ", ".join(f"count(*) FILTER (b = {k})" for k in range(8))
+
+
+@query(f"""
+WITH p AS (SELECT vec_id // {RECORDING} AS rec, vec_id, CASE WHEN sqrt(x * x + y * y + z * z) <= 0.5 THEN least(floor(sqrt(x * x + y * y + z * z) / 0.0625), 7)::INT END AS b FROM {POINTS}),
+c AS (SELECT rec, vec_id, count(b) AS n, [{_HIST}] AS h FROM p GROUP BY ALL),
+h AS (SELECT rec, vec_id, CASE WHEN n >= 5 THEN list_transform(h, lambda x: (x / (n * 0.0625::DOUBLE))::FLOAT::DOUBLE) END AS h FROM c),
+l AS (SELECT rec, vec_id - 0.5 AS t, h, lag(h) OVER (PARTITION BY rec ORDER BY vec_id) AS p FROM h),
+x AS (SELECT rec, t::DOUBLE AS t, list_sum(list_transform(list_zip(h, p), lambda z: abs(z[1] - z[2]))) AS x FROM l WHERE h IS NOT NULL AND p IS NOT NULL)
+SELECT rec, t, round(m, 5) AS motion FROM {_edge_mean("x", "x", "rec", "t", 1, 1)}""")
+def cloud_motion(spark, d):
+    p = _points(spark, d).withColumns({"rec": F.floor(F.col("vec_id") / RECORDING), "t": F.col("vec_id").cast("double")})
+    return motion.cloud_motion(p, ["rec"], bins=8, top=0.5, least=5, smooth_s=3.0).select("rec", "t", F.round("motion", 5).alias("motion"))
+
+
+def _motions(spark, d):
+    """Click and view events as motion signals (t in hours) of runs of one user each."""
+    rows = events(spark, d, "click", "view").select(F.col("user_id").alias("run"), "event_type", ((F.col("us") - BASE) / HOUR).alias("t"), F.col("value").alias("motion"))
+    return [rows.where(F.col("event_type") == k).drop("event_type") for k in ("click", "view")]
+
+
+@query()
+def piecewise_run_offsets(spark, d):
+    return motion.piecewise_run_offsets(*_motions(spark, d), ["run"], dt=1.0, warmup=0.0, size=96.0, hop=48.0, most=4.0, step=0.5, least_n=40)
+
+
+@query()
+def event_run_offsets(spark, d):
+    return motion.event_run_offsets(*_motions(spark, d), ["run"], dt=1.0, warmup=0.0, tail=0.0, least_n=40, event_s=5.0, most=6.0, coarse=0.5, fine=0.1, half=0.5)
+
+
+@query()
+def peak_table(spark, d):
+    a, b = _motions(spark, d)
+    points, _ = motion.on_grid(a, b, ["run"], 1.0, 0.0, 0.0, 8.0, 40, score_first=False)
+    return motion.peak_table(points, a.select("run", "t"), ["run"], height=1.0, apart=6.0)
+
+
+@query(f"""
+WITH n AS (SELECT event_id, user_id, us, CASE WHEN event_id % 10 = 0 THEN 'frame_' || event_id ELSE strftime(make_timestamp(us), '%Y%m%d_%H%M%S_%f') || '.jpg' END AS name FROM {EV})
+SELECT event_id, (row_number() OVER (PARTITION BY user_id ORDER BY event_id % 10 = 0, CASE WHEN event_id % 10 <> 0 THEN us END, name) - 1)::INT AS place FROM n""")
+def frame_order(spark, d):
+    name = F.when(F.col("event_id") % 10 == 0, F.concat(F.lit("frame_"), F.col("event_id"))).otherwise(F.concat(timeparse.format_stamp(F.col("us")), F.lit(".jpg")))
+    return frames.numbered_frames(events(spark, d).withColumn("name", name), ["user_id"], "name").select("event_id", "place")
+
+
+@query("""
+SELECT vec_id, round(list_sum(list_transform(flatten(list_transform([1, 2, 3, 4], lambda y: embedding[y * 8 + 3:y * 8 + 6])), lambda x: x::DOUBLE)), 6) AS box,
+ len(list_filter(embedding, lambda x: x < 0 OR x > 0.1)) AS background,
+ round(list_sum(list_transform(embedding, lambda x: CASE WHEN x BETWEEN 0 AND 0.1 THEN x::DOUBLE ELSE 0 END)), 6) AS near FROM embeddings""")
+def crop_and_depth(spark, d):
+    """Embeddings as depth images of 8 x 8."""
+    e = table(spark, d, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("p"))
+    cut = frames.without_background(F.col("p"), F.col("p"), 0.1)
+    return e.select("vec_id", r6(numeric.total(frames.crop(F.col("p"), 8, 2, 1, 6, 5))).alias("box"), F.size(F.filter(cut, lambda x: x == 153.0)).cast("long").alias("background"), r6(numeric.total(frames.within_distance(F.col("p"), 0.0, 0.1))).alias("near"))
+
+
+@query(f"SELECT vec_id, point FROM (SELECT vec_id, vec_id * 16 + k AS point, row_number() OVER (PARTITION BY vec_id ORDER BY md5('42:' || (vec_id * 16 + k)), vec_id * 16 + k) AS n FROM {POINTS}) WHERE n <= 5")
+def thinned_points(spark, d):
+    return frames.thinned(_points(spark, d).select("vec_id", (F.col("vec_id") * 16 + F.col("k")).alias("point")), ["vec_id"], "point", 5)
+
+
+@query("""
+SELECT 'l_quantity' AS name, l_quantity::DOUBLE AS value, min(l_orderkey) AS first_at, count(*) AS n FROM lineitem GROUP BY 2
+UNION ALL SELECT 'l_discount', l_discount::DOUBLE, min(l_orderkey), count(*) FROM lineitem GROUP BY 2""")
+def parameter_sets(spark, d):
+    return frames.parameter_sets(table(spark, d, "lineitem"), ["l_quantity", "l_discount"], "l_orderkey")

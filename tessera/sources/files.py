@@ -14,6 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from tessera.functions import names, timeparse
 
@@ -207,6 +208,26 @@ def npy_arrays(spark: SparkSession, path: str) -> DataFrame:
     return raw.mapInPandas(run, "file string, shape array<int>, dtype string, values array<double>")
 
 
+def numeric_rows(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """file, row, values of CSVs of numbers alone: a first line that isn't numbers is a header and goes; any other such line fails."""
+    lines = spark.read.text(path).where(F.trim("value") != "").select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("__s"), F.monotonically_increasing_id().alias("__o"), F.split("value", F.lit(sep)).alias("f"))
+    numbers = F.transform("f", lambda x: F.trim(x).try_cast("double"))
+    order = Window.partitionBy("file").orderBy("__s", "__o")
+    rows = lines.select("file", F.row_number().over(order).alias("row"), numbers.alias("values"))
+    bad = F.exists("values", lambda x: x.isNull())
+    rows = rows.where((F.col("row") > 1) | ~bad)
+    return rows.withColumn("values", F.when(bad, F.raise_error(F.concat(F.lit("not numbers: "), "file", F.lit(" line "), F.col("row").cast("string")))).otherwise(F.col("values")))
+
+
+def numeric_columns(spark: SparkSession, path: str) -> DataFrame:
+    """The columns of CSVs with a header that hold numbers throughout; none is an error."""
+    df = spark.read.option("header", "true").option("inferSchema", "true").csv(path)
+    kept = [f.name for f in df.schema if isinstance(f.dataType, NumericType)]
+    if not kept:
+        raise ValueError(f"{path}: no column of numbers")
+    return df.select(*[F.col(f"`{c}`") for c in kept])
+
+
 def review_log(spark: SparkSession, path: str, style: str = "csv") -> DataFrame:
     """key, status, comment of review logs: csv, tsv, or fixed (columns of white space); a missing status is SKIP."""
     if style == "fixed":
