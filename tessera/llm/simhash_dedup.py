@@ -13,8 +13,9 @@ to the shared folder, join them into components.
 ``similarity`` or more. At 0.8 fingerprints differ in some ten bits, too many for cells of shared bits; there, cells are
 bands of min-hashes of the same shingles, and the same index searches each cell within WIDE bits. What it finds is compared
 by sketches of SKETCH min-hashes; if these come within SLACK of the bound, by the shingle sets themselves (32-bit hashes), so
-every link is a true one. A pair of similarity 0.8 shares no band with probability 0.002 (fewer for closer pairs). Equal word
-sequences are one node, so copies cost no cells; only documents that share a band with another text carry their shingles.
+every link is a true one. A pair of similarity 0.8 shares no band with probability 3e-6, is over WIDE bits apart with 2e-7 and
+falls below the sketches' bound with 3e-5; all are less for closer pairs. Equal word sequences are one node, so copies cost no
+cells; only documents that share a band with another text carry their shingles.
 
 Null and empty texts have fingerprint 0 and link like others. Repeated rows share a component. A document alone has its own id.
 """
@@ -37,9 +38,9 @@ FAN = 8
 #: Most (query, node) pairs expanded at once.
 FRONTIER = 2_000_000
 #: Min-hashes of a sketch (a byte of each is kept), and the bands made of the first BANDS * BAND of them.
-SKETCH, BANDS, BAND = 256, 20, 6
+SKETCH, BANDS, BAND = 256, 32, 5
 #: Differing bits within which the index searches for similar documents: 64 bits of two sets of similarity 0.8 differ in 10, standard deviation 3.
-WIDE = 22
+WIDE = 26
 #: Four standard errors of a sketch's estimate at 0.8.
 SLACK = 0.1
 _seeds = np.random.default_rng(42).integers(1, 2**63, (2, SKETCH), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
