@@ -201,13 +201,18 @@ def piecewise_offsets(df: DataFrame, keys: list[str], size: float = 15.0, hop: f
     With fewer than 2 * min_seg + 1 windows the whole run is scanned instead."""
 
     def kernel(t, a, b):
+        if len(t) < 2:
+            raise ValueError("too few points to scan")
         za, zb = zscore(a), zscore(b)
         dt = float(np.median(np.diff(t)))
         got = [(c, *scan(t[i], za[i], zb[i], most, step, 0.0, min(least, len(i)))) for c, i in windows(t, size, hop, least)]
         c, d, r = np.array(got, float).reshape(-1, 3).T
         d = np.where(r > NONE_VALID, d, np.nan)
         if len(got) < 2 * min_seg + 1:
-            choice = {"mode": "single", "reason": "few windows, whole run scanned", "offsets": [scan(t, za, zb, most, step, 0.8, min(least, 80))[0]], "changes": []}
+            offset, found = scan(t, za, zb, most, step, 0.8, min(least, 80))
+            if found <= NONE_VALID:
+                raise ValueError("too few points to scan")
+            choice = {"mode": "single", "reason": "few windows, whole run scanned", "offsets": [offset], "changes": []}
         else:
             choice = decide(c, d, r, most=cuts, min_seg=min_seg, **options)
         each, whole = final_corrs(t, za, zb, choice["offsets"], choice["changes"])
