@@ -360,6 +360,26 @@ def test_similar_documents(spark, cell):
     assert simhash_dedup.similar_documents(docs.limit(0)).count() == 0
 
 
+def test_similar_documents_repeated_shingles(spark):
+    """A shingle repeated some 40-80 times outweighs all others by number, but is one of the set."""
+    rng = np.random.default_rng(11)
+    rows, k = [], 0
+    for pair in range(60):
+        base = [f"w{x}" for x in rng.integers(0, 10**6, 120)]
+        other, run = list(base), ["....."] * int(rng.integers(40, 81))
+        if pair % 3:
+            other[int(rng.integers(0, 120))] = "changed"
+        for w in (base + (run if pair % 2 else []), [*other[:60], *run, *other[60:]]):
+            rows.append((k, " ".join(w)))
+            k += 1
+    sets = [grams_of(t) for _, t in rows]
+    alike = [(a, b) for a, b in itertools.combinations(range(len(rows)), 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert len(alike) > 50 and all(a % 2 == 0 and b == a + 1 for a, b in alike)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash_dedup.similar_documents(docs).collect()}
+    assert got == {i: i for i, _ in rows} | {b: a for a, b in alike}
+
+
 @pytest.mark.parametrize("cell", [50_000, 40])
 def test_simhash_dense_groups(spark, cell):
     rng = np.random.default_rng(5)
