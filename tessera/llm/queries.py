@@ -39,7 +39,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_sentencepiece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentencepiece_lattice.digests(table(spark, sf_dir, "documents"))
+    return sentencepiece_lattice.round_trips(table(spark, sf_dir, "documents"))
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,7 @@ Null and empty texts have no pieces. Repeated rows are encoded one by one.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import itertools
 import math
@@ -311,3 +312,94 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", nam
     both = rows.where("word is null").select("row", "doc_id", "n_words", "n", "h", "bad").unionByName(rare)
     got = both.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.sum("n").alias("n_pieces"), F.pmod(F.sum("h"), F.lit(PRIME)).alias("ids_digest"), F.sum("bad").alias("bad"))
     return got.select("doc_id", "n_words", "n_pieces", "ids_digest", (F.col("bad") == 0).alias("round_trip"))
+
+
+def round_trips(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str = MODEL, hot: int = 150_000) -> DataFrame:
+    """doc_id, n_words, n_pieces, ids (all ids in order), decoded_sha256 (of the text decoded from them), round_trip (it is the text; null is empty).
+
+    The most frequent words (no more than `hot` rows) get their ids where their documents are, by broadcast; the ids of all others
+    come by a shuffle on the word and are filled in by row. The texts are read twice rather than stored: docs has to give the same
+    partitions each time, as a stored table does. A document whose words are not all there is an error.
+    """
+    spark = docs.sparkSession
+    table = encode_words(docs, text_col, name)
+    kind = "<u2" if processor(name).get_piece_size() <= 1 << 16 else "<u4"
+    top = [(r["word"], r["ids"]) for r in most_frequent(table, "n", hot).select("word", "ids").toLocalIterator()]
+    sizes = np.array([0, *(len(i) for _, i in top)], np.int64)
+    shared = spark.sparkContext.broadcast(({w: k for k, (w, _) in enumerate(top)}, np.cumsum(sizes), np.array([x for _, i in top for x in i], kind)))
+
+    def placed(text: str | None) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """(words, place of each among the broadcast ones or -1, number of its ids)"""
+        known, ends, _ = shared.value
+        ws = words_of(text, name)
+        at = np.fromiter((known.get(w, -1) for w in ws), np.int64, len(ws))
+        return ws, at, np.where(at >= 0, ends[at + 1] - ends[at], 0)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, ends, flat = shared.value
+        for b in batches:
+            out: list[list] = [[], [], [], []]
+            for text in b.column(2):
+                ws, at, n = placed(text.as_py())
+                own = flat[np.repeat(ends[at] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+                sha = hashlib.sha256((text.as_py() or "").encode()).digest()
+                for column, x in zip(out, (len(ws), int((at < 0).sum()), own.tobytes(), sha), strict=True):
+                    column.append(x)
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(x, t) for x, t in zip(out, kinds, strict=True))], names=["row", "doc_id", "n_words", "missing", "part", "sha"])
+
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows, pos, into, rare = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)], []
+            for row, text in zip(b.column(0).to_pylist(), b.column(2), strict=True):
+                ws, at, n = placed(text.as_py())
+                miss = np.flatnonzero(at < 0)
+                rows.append(np.full(len(miss), row))
+                pos.append(miss)
+                into.append((np.cumsum(n) - n)[miss])
+                rare += [ws[k] for k in miss.tolist()]
+            yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(x), pa.int64()) for x in (rows, pos, into)), pa.array(rare, pa.string())], names=["row", "pos", "into", "word"])
+
+    def full(t: pa.Table) -> pa.RecordBatch:
+        t = t.combine_chunks()
+        column = {c: t.column(c).combine_chunks() for c in t.column_names}
+        row, pos = column["row"].to_numpy(), column["pos"].to_numpy()
+        first, other = np.flatnonzero(pos < 0), np.flatnonzero(pos >= 0)
+        doc = np.cumsum(pos < 0) - 1
+        heads = t.take(pa.array(first))
+        if not (doc[:1] == 0).all() or (row[first][doc] != row).any() or (np.bincount(doc[other], minlength=len(first)) != heads.column("missing").to_numpy()).any():
+            raise ValueError("the words of a document are not all there: docs gave other partitions when read again")
+        parts = heads.column("part").to_pylist()
+        held = np.frombuffer(b"".join(parts), kind).astype(np.int32)
+        n = np.array([len(p) for p in parts], np.int64) // np.dtype(kind).itemsize
+        more = column["ids"].take(pa.array(other))
+        m = more.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        at = (np.cumsum(n) - n)[doc[other]] + column["into"].take(pa.array(other)).to_numpy(zero_copy_only=False).astype(np.int64)
+        ids = np.insert(held, np.repeat(at, m), more.flatten().to_numpy())  # in order where places are equal
+        n += np.bincount(doc[other], m, minlength=len(first)).astype(np.int64)
+        ends = np.r_[0, np.cumsum(n)]
+        decoded = [hashlib.sha256(decode_ids(ids[a:b].tolist(), name).encode()).digest() for a, b in itertools.pairwise(ends.tolist())]
+        same = [a == b for a, b in zip(decoded, heads.column("sha").to_pylist(), strict=True)]
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+        out = [heads.column("doc_id").combine_chunks(), heads.column("n_words").combine_chunks(), pa.array(n), lists, pa.array([x.hex() for x in decoded], pa.string()), pa.array(same, pa.bool_())]
+        return pa.RecordBatch.from_arrays(out, names=["doc_id", "n_words", "n_pieces", "ids", "decoded_sha256", "round_trip"])
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        for b in batches:  # sorted by row: whole documents go together
+            t = pa.Table.from_batches([b])
+            last = int(np.flatnonzero(b.column("pos").to_numpy() < 0).max(initial=-1))
+            if last >= 0:
+                held.append(t.slice(0, last))
+                if sum(x.num_rows for x in held):
+                    yield full(pa.concat_tables(held))
+                held, t = [], t.slice(last)
+            held.append(t)
+        if sum(x.num_rows for x in held):
+            yield full(pa.concat_tables(held))
+
+    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    heads = texts.mapInArrow(whole, "row long, doc_id long, n_words long, missing long, part binary, sha binary").withColumn("pos", F.lit(-1).cast("long"))
+    rare = texts.mapInArrow(others, "row long, pos long, into long, word string").join(table.select("word", "ids"), "word").drop("word")
+    both = heads.unionByName(rare, allowMissingColumns=True).repartition("row").sortWithinPartitions("row", "pos")
+    return both.mapInArrow(fill, "doc_id long, n_words long, n_pieces long, ids array<int>, decoded_sha256 string, round_trip boolean")

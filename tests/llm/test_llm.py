@@ -226,6 +226,23 @@ def test_sentencepiece(docs, texts, empty):
     assert sentencepiece_lattice.digests(empty).count() == 0
 
 
+@pytest.mark.parametrize("hot", [100_000, 50, 0])
+def test_sentencepiece_round_trips(spark, sf001, docs, texts, empty, hot):
+    p = sentencepiece_lattice.processor()
+    rows = sentencepiece_lattice.round_trips(docs, hot=hot).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    for r in rows:
+        text = texts[r.doc_id] or ""
+        back = p.decode(p.encode(text))
+        assert (list(r.ids), r.n_pieces, r.n_words) == (p.encode(text), len(r.ids), len(sentencepiece_lattice.words_of(text)))
+        assert (r.decoded_sha256, r.round_trip) == (hashlib.sha256(back.encode()).hexdigest(), back == text)
+    assert [texts[r.doc_id] for r in rows if not r.round_trip] == [t for t in ODD if t and "▁" in t]
+    assert sentencepiece_lattice.round_trips(empty, hot=hot).count() == 0
+    twice = docs.where("doc_id > 10000").union(docs.where("doc_id > 10000"))
+    assert sentencepiece_lattice.round_trips(twice, hot=hot).count() == twice.count()
+    assert {"ids", "decoded_sha256"} <= set(queries.op7_sentencepiece_lattice(spark, sf001).columns)
+
+
 def test_viterbi_fold(spark):
     edges = [(0, 1, 1, -1.0), (1, 2, 2, -1.0), (2, 3, 3, -1.0), (0, 2, 4, -1.5), (1, 3, 5, -2.5)]
     df = spark.createDataFrame([(edges,)], "edges array<struct<start:int,end:int,id:int,score:double>>")
