@@ -2,9 +2,11 @@
 
 Words are counted over all documents. The ``frequent`` most frequent are tokens of their own, the rest share ``buckets``
 tokens by hash. The network takes the two words before and the two after, embeds them, and gives a softmax over tokens
-(tanh layer between). It is trained in numpy on every word of every document: each partition starts from the same weights
+(tanh layer between). A word that shares its token also adds log P(word | bucket), its share of the bucket's occurrences in the
+whole corpus: a table of one row a distinct word, which grows with the input and is joined, so every word is predicted as
+itself. The network is trained in numpy on every word of every document: each partition starts from the same weights
 and makes one pass over its documents, and the weights are averaged by Spark, weighted by tokens. Partitions follow the
-input, so what training gathers grows with the corpus, while the driver gets one set of weights.
+input, so what training gathers grows with the corpus, while the driver gets one set of weights and the commonest words.
 
 Null and empty texts score 0 over 0 words. Repeated rows are scored one by one.
 """
@@ -20,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import words
+from .common import most_frequent, stored, words
 
 
 @dataclass(frozen=True)
@@ -117,10 +119,55 @@ def _ids_of(texts, ids: Ids, shape: Shape) -> tuple[np.ndarray, np.ndarray, np.n
     return whole, real, own[real]
 
 
+def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """w, n: occurrences of each distinct word of all documents."""
+    return docs.select(F.explode(words(F.col(text_col))).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+
+
+def most_counted(counts: DataFrame, shape: Shape) -> list[str]:
+    return [r["w"] for r in counts.orderBy(F.desc("n"), "w").limit(shape.frequent).collect()]
+
+
 def frequent_words(docs: DataFrame, shape: Shape = Shape(), text_col: str = "text") -> list[str]:  # noqa: B008
     """The most frequent words of all documents: as many rows as the shape says."""
-    counts = docs.select(F.explode(words(F.col(text_col))).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
-    return [r["w"] for r in counts.orderBy(F.desc("n"), "w").limit(shape.frequent).collect()]
+    return most_counted(word_counts(docs, text_col), shape)
+
+
+def shares(counts: DataFrame, frequent: list[str], shape: Shape = Shape()) -> DataFrame:  # noqa: B008
+    """w, n, inside (log P(w | bucket)) of each word that shares its token."""
+    bucket = F.crc32(F.col("w").cast("binary")) % shape.buckets
+    rest = counts.where(~F.col("w").isin(frequent)).withColumn("b", bucket)
+    whole = F.broadcast(rest.groupBy("b").agg(F.sum("n").alias("of")))
+    return rest.join(whole, "b").select("w", "n", F.log(F.col("n") / F.col("of")).alias("inside"))
+
+
+def inside_buckets(docs: DataFrame, table: DataFrame, frequent: list[str], hot: int = 150_000, text_col: str = "text") -> DataFrame:
+    """row, inside: parts of the sum of log P(word | bucket) over the words of each row (by monotonically_increasing_id).
+
+    The most frequent words of table (no more than `hot` rows) are looked up where the documents are, all others by a shuffle on the word.
+    """
+    top = most_frequent(table, "n", hot).select("w", "inside").toLocalIterator()
+    shared = docs.sparkSession.sparkContext.broadcast({r["w"].encode(): r["inside"] for r in top} | {w.encode(): 0.0 for w in frequent})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value.get
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                rows, sums, far, rare = [], [], [], []
+                for row, t in zip(b.column(0)[at : at + 256].to_pylist(), b.column(1)[at : at + 256], strict=True):
+                    w = (t.as_py() or "").encode().split()
+                    got = list(map(known, w))
+                    miss = [x for x, g in zip(w, got, strict=True) if g is None]
+                    rows.append(row)
+                    sums.append(float(sum(g for g in got if g is not None)))
+                    far += [row] * len(miss)
+                    rare += miss
+                yield pa.RecordBatch.from_arrays([pa.array(rows + far, pa.int64()), pa.array([None] * len(rows) + rare, pa.binary()).cast(pa.string()), pa.array(sums + [None] * len(far), pa.float64())], names=["row", "w", "inside"])
+
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(text_col)).mapInArrow(run, "row long, w string, inside double")
+    rows = stored(rows, "inside-buckets")
+    far = rows.where("w is not null").select("row", "w").join(table.select("w", "inside"), "w").select("row", "inside")
+    return rows.where("w is null").select("row", "inside").unionByName(far)
 
 
 def train(docs: DataFrame, frequent: list[str], shape: Shape = Shape(), text_col: str = "text", batch: int = 2048, rate: float = 0.1) -> np.ndarray:  # noqa: B008
@@ -147,27 +194,40 @@ def train(docs: DataFrame, frequent: list[str], shape: Shape = Shape(), text_col
 
 
 def score(docs: DataFrame, frequent: list[str], weights: np.ndarray, shape: Shape = Shape(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:  # noqa: B008
-    """doc_id, n_words, log_probability (sum over all words of the document)."""
+    """doc_id, n_words, log_probability (sum over all words of the document, each by its token)."""
+    return _score(docs, frequent, weights, shape, id_col, text_col).drop("row")
+
+
+def _score(docs: DataFrame, frequent: list[str], weights: np.ndarray, shape: Shape, id_col: str, text_col: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net, ids = Network(shape, weights), Ids(frequent, shape)
         for b in batches:
             total, count = np.zeros(b.num_rows), np.zeros(b.num_rows, np.int64)
             for at in range(0, b.num_rows, 256):
-                whole, real, own = _ids_of(b.column(1)[at : at + 256], ids, shape)
+                whole, real, own = _ids_of(b.column(2)[at : at + 256], ids, shape)
                 context, target = net.contexts(whole), whole[shape.reach : len(whole) - shape.reach]
                 for k in range(0, len(real), 8192):
                     part = real[k : k + 8192]
                     lp = net.log_probabilities(context[part], target[part])
                     total += np.bincount(own[k : k + 8192] + at, lp, minlength=b.num_rows)
                     count += np.bincount(own[k : k + 8192] + at, minlength=b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(count), pa.array(total)], names=["doc_id", "n_words", "log_probability"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(count), pa.array(total)], names=["row", "doc_id", "n_words", "log_probability"])
+
+    return docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col)).mapInArrow(run, "row long, doc_id long, n_words long, log_probability double")
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col)).mapInArrow(run, "doc_id long, n_words long, log_probability double")
 
+def pseudo_likelihood(docs: DataFrame, shape: Shape = Shape(), id_col: str = "doc_id", text_col: str = "text", hot: int = 150_000) -> DataFrame:  # noqa: B008
+    """Trains on docs and scores them: doc_id, n_words, log_probability (of the words themselves), per_word.
 
-def pseudo_likelihood(docs: DataFrame, shape: Shape = Shape(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:  # noqa: B008
-    """Trains on docs and scores them: doc_id, n_words, log_probability, per_word."""
-    frequent = frequent_words(docs, shape, text_col)
+    The texts are read several times: docs has to give the same partitions each time, as a stored table does.
+    """
+    counts = stored(word_counts(docs, text_col), "word-counts")
+    frequent = most_counted(counts, shape)
     weights = train(docs, frequent, shape, text_col)
-    return score(docs, frequent, weights, shape, id_col, text_col).withColumn("per_word", F.col("log_probability") / F.greatest(F.col("n_words"), F.lit(1)))
+    tokens = _score(docs, frequent, weights, shape, id_col, text_col)
+    inside = inside_buckets(docs, shares(counts, frequent, shape), frequent, hot, text_col)
+    none = F.lit(None).cast("long")
+    both = tokens.unionByName(inside.select("row", none.alias("doc_id"), none.alias("n_words"), F.col("inside").alias("log_probability")))
+    got = both.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.sum("log_probability").alias("log_probability")).drop("row")
+    return got.withColumn("per_word", F.col("log_probability") / F.greatest(F.col("n_words"), F.lit(1)))

@@ -167,6 +167,24 @@ def test_lm(spark, docs, texts, empty):
     assert lm_scoring.pseudo_likelihood(empty).count() == 0
 
 
+@pytest.mark.parametrize("hot", [100_000, 50, 0])
+def test_lm_words_of_a_bucket(docs, texts, empty, hot):
+    """Every word is predicted as itself: its token's probability times its share of the bucket."""
+    shape = lm_scoring.Shape()
+    count = collections.Counter(w for t in texts.values() for w in words(t))
+    frequent = [w for w, _ in sorted(count.items(), key=lambda x: (-x[1], x[0]))[: shape.frequent]]
+    ids, of = lm_scoring.Ids(frequent, shape), collections.Counter()
+    for w, n in count.items():
+        of[ids[w.encode()]] += n
+    tokens = {r.doc_id: r for r in lm_scoring.score(docs, frequent, lm_scoring.train(docs, frequent, shape), shape).collect()}
+    got = lm_scoring.pseudo_likelihood(docs, hot=hot).collect()
+    assert sorted(r.doc_id for r in got) == sorted(texts)
+    for r in got:
+        want = tokens[r.doc_id].log_probability + sum(np.log(count[w] / of[ids[w.encode()]]) for w in words(texts[r.doc_id]))
+        assert r.n_words == len(words(texts[r.doc_id])) and abs(r.log_probability - want) < 1e-6 * max(1, abs(want))
+    assert lm_scoring.pseudo_likelihood(empty, hot=hot).count() == 0
+
+
 @pytest.mark.parametrize("batches", [1, 3])
 def test_substrings(docs, texts, batches):
     rows = {r.doc_id: r for r in substring_dedup.report(docs, batches=batches).collect()}
