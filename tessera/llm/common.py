@@ -1,12 +1,16 @@
-"""What the operators of this subpackage share: word rules, let-bindings, scratch tables, blocks of text."""
+"""What the operators of this subpackage share: word rules, let-bindings, scratch tables, Arrow kernels of bounded memory."""
 
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,10 +25,12 @@ _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset (local tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset and Spark runs on this machine alone."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if at:
         return at.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     if "dir" not in _own:
         _own["dir"] = tempfile.mkdtemp(prefix="tessera-")
         atexit.register(shutil.rmtree, _own["dir"], ignore_errors=True)
@@ -36,12 +42,60 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tessera/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Writes df to the shared folder and reads it back: cuts lineage and survives lost executors."""
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, path) of a path."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+@contextlib.contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """SQL settings (dots as __) for the plans that start inside, put back afterwards."""
+    names = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def stored(df: DataFrame, name: str, *done: DataFrame) -> DataFrame:
+    """Writes df to the shared folder and reads it back: cuts lineage and survives lost executors.
+
+    What the plan shuffled is deleted once it is written, and so are the stored tables in `done`, which nothing reads any more.
+    """
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    with settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+        df.write.parquet(path)
+    dropped(*done)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes stored tables that nothing reads any more."""
+    for t in tables:
+        fs, at = file_system(t.sparkSession, t._stored_at)
+        fs.delete(at, True)
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, rows: int | None = 512) -> DataFrame:
+    """df.mapInArrow(run, schema) over batches of at most `rows` rows; workers give their free memory back after each task."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(part for b in batches for part in ([b] if rows is None else (b.slice(at, rows) for at in range(0, b.num_rows, rows))))
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # glibc only
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return df.mapInArrow(task, schema)
 
 
 def let(value: Column, body) -> Column:

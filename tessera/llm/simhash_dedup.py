@@ -34,11 +34,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import maybe_broadcast, stored
+from .common import map_arrow, maybe_broadcast, stored
 
 FAN = 8
 #: Most (query, node) pairs expanded at once.
-FRONTIER = 2_000_000
+FRONTIER = 200_000
 #: Min-hashes of a sketch (a byte of each is kept), and the bands made of the first BANDS * BAND of them.
 SKETCH, BANDS, BAND = 256, 32, 5
 #: Differing bits within which the index searches for similar documents: 64 bits of two sets of similarity 0.8 differ in 10, standard deviation 3.
@@ -105,7 +105,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text
             fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(1)), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return map_arrow(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), run, "doc_id long, fp long")
 
 
 def tables(most: int, rows: int) -> list[int]:
@@ -258,23 +258,32 @@ def _in_parts(keyed: DataFrame, by: str, *columns: str) -> DataFrame:
     return keyed.select(*columns, F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), side.alias("side"))
 
 
+def _bytes_of(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """(all bytes of a binary column without nulls, where each row's begin and end), without a copy."""
+    chunk = column.combine_chunks() if column.num_chunks != 1 else column.chunk(0)
+    ends = np.frombuffer(chunk.buffers()[1], np.int32)[chunk.offset : chunk.offset + len(chunk) + 1]
+    data = chunk.buffers()[2]
+    return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data is not None else np.empty(0, np.uint8), (ends - ends[0]).astype(np.int64)
+
+
 def _search_cells(keyed: DataFrame, key: list[str], most: int, rows: int, per_task: int, similarity: float | None = None) -> DataFrame:
     """a, b: spanning links in the cells of keyed (key, side, fp; with similarity also node, sketch and grams)."""
 
     def flush(held: list[pa.Table]) -> pa.RecordBatch:
-        t = pa.concat_tables(held)
+        t = pa.concat_tables(held).combine_chunks()
+        held.clear()
         cols = [t.column(c).to_numpy() for c in key]
         number = np.cumsum(np.r_[False, np.any([c[1:] != c[:-1] for c in cols], axis=0)])
         node = alike = None
         if similarity is not None:
             node = t.column("node").to_numpy()
-            sketches = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
-            grams = [np.frombuffer(g, "<u4") for g in t.column("grams").to_pylist()]
+            sketches = _bytes_of(t.column("sketch"))[0].reshape(-1, SKETCH)
+            grams, ends = _bytes_of(t.column("grams"))
 
             def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
                 near = resemblance(sketches[a], sketches[b]) >= similarity - SLACK
                 for k in np.flatnonzero(near):
-                    x, y = grams[a[k]], grams[b[k]]
+                    x, y = (grams[ends[i] : ends[i + 1]].view("<u4") for i in (a[k], b[k]))
                     both = len(np.intersect1d(x, y, assume_unique=True))
                     near[k] = both >= similarity * (len(x) + len(y) - both)
                 return near
@@ -294,7 +303,7 @@ def _search_cells(keyed: DataFrame, key: list[str], most: int, rows: int, per_ta
                     t = t.slice(k)
                 if t.num_rows:
                     yield flush(held)
-                    held, n = [], 0
+                    n = 0
             if t.num_rows:
                 held.append(t)
                 n += t.num_rows
@@ -302,20 +311,24 @@ def _search_cells(keyed: DataFrame, key: list[str], most: int, rows: int, per_ta
             yield flush(held)
 
     tasks = max(1, math.ceil(rows / per_task))
-    return keyed.repartition(tasks, *key).sortWithinPartitions(*key).mapInArrow(run, "a long, b long").where("a <> b").distinct()
+    return map_arrow(keyed.repartition(tasks, *key).sortWithinPartitions(*key), run, "a long, b long", None).where("a <> b").distinct()
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """node, root: alternating large-star and small-star; root is the least node of the component."""
+    """node, root: alternating large-star and small-star; root is the least node of the component.
+
+    The least neighbours are written before they are joined, so that both sides of a join are plain shuffles, which AQE splits
+    where one node has very many links.
+    """
     edges = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
     state = None
     for _ in range(rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "centres")
+        large = stored(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large-stars", least)
+        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), "centres")
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u <> v").distinct()
-        edges = stored(small, "stars")
+        edges = stored(small, "stars", edges, large, least)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.max("v")).first()
         if now == state:
             break
@@ -363,7 +376,7 @@ def sketches(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: st
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x, t) for x, t in zip(out, kinds, strict=True))], names=["doc_id", "d1", "d2", "fp", "sketch", "bands"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col)).mapInArrow(run, "doc_id long, d1 long, d2 long, fp long, sketch binary, bands array<long>")
+    return map_arrow(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col)), run, "doc_id long, d1 long, d2 long, fp long, sketch binary, bands array<long>")
 
 
 def gram_sets(docs: DataFrame, shingle: int, text_col: str = "text") -> DataFrame:
@@ -379,10 +392,10 @@ def gram_sets(docs: DataFrame, shingle: int, text_col: str = "text") -> DataFram
                     column.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["d1", "d2", "grams"])
 
-    return docs.select(F.col(text_col)).mapInArrow(run, "d1 long, d2 long, grams binary")
+    return map_arrow(docs.select(F.col(text_col)), run, "d1 long, d2 long, grams binary")
 
 
-def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", cell: int = 20_000, per_task: int = 20_000) -> DataFrame:
+def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", cell: int = 10_000, per_task: int = 10_000) -> DataFrame:
     """doc_id, component_id: the least doc_id reachable over links of at least `similarity`. Documents of null id are passed by."""
     marks = stored(sketches(docs, shingle, id_col, text_col).where("doc_id is not null"), "sketches")
     one = ["d1", "d2"]
@@ -399,13 +412,13 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = 5
     sharers = stored(maybe_broadcast(asked.drop("node"), n_asked).join(mine.drop("bands"), one).join(grams, one), "sharers")
     members = _in_parts(cells.drop("node").join(sharers, one), "d1", "node", "fp", "sketch", "grams", "v")
     rows = cells.agg(F.sum("parts")).first()[0] or 0
-    links_ = _search_cells(members, ["v", "i", "j"], WIDE, rows, per_task, similarity)
-    named = nodes.join(components(links_), "node", "left").select(*one, F.coalesce("root", "node").alias("component_id"))
-    return marks.select("doc_id", *one).join(named, one).groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
+    links_ = stored(_search_cells(members, ["v", "i", "j"], WIDE, rows, per_task, similarity), "similar-links", mine, cells, asked, sharers)
+    named = stored(nodes.join(components(links_), "node", "left").select(*one, F.coalesce("root", "node").alias("component_id")), "named-sequences", nodes, links_)
+    out = marks.select("doc_id", *one).join(named, one).groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
+    return stored(out, "similar-documents", marks, named)
 
 
 def keep_first_similar(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one document of each component of similar_documents: the one with the least id (repeated rows of it stay). Columns as they were."""
     gone = similar_documents(docs, similarity, shingle, id_col, text_col).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone"))
-    gone = stored(gone, "similar-documents")
     return docs.join(maybe_broadcast(gone, gone.count()), F.col(id_col) == F.col("__gone"), "left_anti")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
-from .common import maybe_broadcast, scratch, stored
+from .common import map_arrow, maybe_broadcast, scratch, stored
 
 GRAM = 16
 B = 0x9E3779B97F4A7C15 | 1
@@ -92,7 +92,7 @@ def _arrow(docs: DataFrame, run, schema: str) -> DataFrame:
             columns = run(*[b.column(k) for k in range(b.num_columns)])
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields, strict=True)], names=names)
 
-    return docs.mapInArrow(batches, schema)
+    return map_arrow(docs, batches, schema)
 
 
 def packed(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -108,7 +108,7 @@ def packed(docs: DataFrame, text_col: str = "text") -> DataFrame:
             small = pa.array([press.compress(t.as_py().encode()) if t.is_valid else None for t in b.column(at)], pa.binary())
             yield pa.RecordBatch.from_arrays([small if k == at else b.column(k) for k in range(b.num_columns)], names=b.schema.names)
 
-    return docs.mapInArrow(run, kind)
+    return map_arrow(docs, run, kind)
 
 
 def unpacked(data: bytes | None) -> str | None:
@@ -295,4 +295,4 @@ def remove_repeats(docs: DataFrame, window: int = 50, batches: int = 2, id_col:
             columns = [pa.array(texts, pa.string()) if f.name == text_col else b.column(k) for k, f in enumerate(b.schema)]
             yield pa.RecordBatch.from_arrays(columns, names=fields).filter(pa.array(keep, pa.bool_()))
 
-    return marked.mapInArrow(run, schema).drop("__copy", "__at")
+    return map_arrow(marked, run, schema).drop("__copy", "__at")
