@@ -18,6 +18,7 @@ import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import map_arrow, stored
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
@@ -57,6 +58,24 @@ def byte_bpe(name: str = "byte_bpe_50k.tiktoken", special: tuple[tuple[str, int]
     return _encodings[name]
 
 
+@cache
+def _library(name: str):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(public_tokenizers.path(name))
+
+
+def token_ids(text: str | None, name: str = "byte_bpe_50k") -> np.ndarray:
+    """The ids of a text. Texts that the quick way refuses (blanks by the hundred thousand in one run) go to the library itself."""
+    if not text:
+        return np.empty(0, np.uint32)
+    try:
+        return byte_bpe(f"{name}.tiktoken").encode_to_numpy(text, allowed_special="all")
+    except ValueError:
+        return np.array(_library(f"{name}.json").encode(text, add_special_tokens=False).ids, np.uint32)
+
+
 def cut(n: int, most: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of n tokens; only the first may be shorter than most."""
     first = n % most or most
@@ -67,20 +86,19 @@ def pieces(docs: DataFrame, most: int = 2048, separator: int = 0, id_col: str =
     """PIECES: each document's ids and the separator, cut into pieces of at most `most` tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = byte_bpe()
         schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 text = text.as_py()
-                ids = np.empty(0, np.uint32) if not text else enc.encode_to_numpy(text, allowed_special="all")
+                ids = token_ids(text)
                 ids = np.append(ids, separator).astype("<u4")
                 for k, (s, n) in enumerate(cut(len(ids), most)):
                     for column, x in zip(out, (doc, k, s, n, zlib.crc32(ids[s : s + n].tobytes())), strict=True):
                         column.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(out, schema, strict=True)], schema=schema)
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, PIECES)
+    return map_arrow(docs.select(F.col(id_col).cast("long"), F.col(text_col)), run, PIECES)
 
 
 def best_fit(lengths: np.ndarray, capacity: Capacity) -> tuple[np.ndarray, np.ndarray]:
@@ -131,7 +149,7 @@ def pack(rows: DataFrame, capacity: Capacity = Capacity(), per_task: int = 20_00
         all_ = all_.append_column("sequence_id", pa.array((TaskContext.get().partitionId() << 32) + bins)).append_column("offset", pa.array(offsets))
         yield from all_.to_batches()
 
-    return rows.repartition(tasks, F.xxhash64("doc_id", "piece")).mapInArrow(run, PACKED)
+    return map_arrow(rows.repartition(tasks, F.xxhash64("doc_id", "piece")), run, PACKED, None)
 
 
 def pack_documents(docs: DataFrame, capacity: Capacity = Capacity(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:  # noqa: B008

@@ -295,6 +295,11 @@ def test_packing(docs, texts, empty):
     assert packing.pack_documents(empty).count() == 0
 
 
+@pytest.mark.parametrize("text", [" " * 1_000_000, "\n" * 1_000_000 + "x", "a" + " \n" * 400_000, "x" * 1_000_000, " " * 800_000 + "<|endoftext|>" + "\t" * 800_000 + " é"], ids=["spaces", "lines", "mixed", "letters", "special"])
+def test_packing_very_long_runs(text):
+    assert packing.token_ids(text).tolist() == packing._library("byte_bpe_50k.json").encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("choose", ["norm", "dot"])
 def test_packing_capacities(choose):
     c = packing.Capacity(tokens=100, documents=3, cost=6000, weights=(1.0, 0.5, 0.5), choose=choose)
