@@ -23,7 +23,9 @@ def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scans.scan(table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
-    return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(secret_scans.digest(F.col("base")), 256).alias("base_sha256"), secret_scans.digest(F.col("spans")).alias("spans"))
+    base = (count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(secret_scans.digest(F.col("base")), 256).alias("base_sha256"), secret_scans.digest(F.col("spans")).alias("spans"))
+    more = (F.size("runs").cast("long").alias("n_judged"), (F.size("spans") - F.size("base")).cast("long").alias("n_markov"), F.round(F.array_max(F.transform("runs", lambda r: r["ratio"])), 3).alias("max_ratio"))
+    return found.select("doc_id", *base, *more)
 
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
