@@ -171,7 +171,7 @@ def test_secret_query(spark, sf001):
 
 def test_secret_models_on_held_out(spark, sf001):
     """Held-out tokens: made by rule, and of the documents (one half trains, the other is judged; runs of digits alone look like ordinary numbers)."""
-    docs = common.table(spark, sf001.replace("0.001", "0.01"), "documents")
+    docs = common.table(spark, sf001.replace("0.001", "0.1"), "documents")
     model = secret_scans.train(docs)
     made = secret_scans.samples(spark, 6000).subtract(secret_scans.samples(spark, 4000))
     for held, recall in ((made, 0.97), (secret_scans.labelled(docs).where("held and token rlike '[A-Za-z]'"), 0.97)):
