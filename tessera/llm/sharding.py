@@ -1,25 +1,42 @@
 """Shards of a growing table: arrivals are appended as small immutable files, files of similar size are merged into
-target-sized ones, and every state is a versioned manifest that is committed by one atomic rename.
+target-sized ones, and every state is a versioned manifest that is committed by one atomic step.
 
-A store is a folder of the shared file system: ``data/`` has Parquet files that never change, ``manifest/`` has one JSON file
-a version. Readers follow the newest manifest and never see half a write. A writer that loses the race for a version fails and
-leaves only files that no manifest names. Files of old versions stay until ``vacuum``.
+A store is a folder of the shared file system. ``data/`` has Parquet files that never change: each write has a new folder named
+by a uuid, so no writer can touch what another wrote. ``manifest/`` has one JSON file a version: the shards it adds and removes,
+and every SNAPSHOT versions the whole list, so a commit writes no more than its own change. A manifest is written aside and then
+put in place by a step that fails if the version is there: a hard link on a local file system, elsewhere a rename without
+overwriting (atomic on HDFS; on object stores without such a rename, one writer at a time). Readers follow the newest manifest
+and never see half a write. A writer that loses the race for a version gets ConflictError and leaves only files that no manifest
+names; the versions committed by others, and what they read, stay as they are.
+
+``vacuum`` deletes what no kept version names, but nothing younger than an age, so neither readers of recent versions nor
+unfinished writers lose files.
 
 Compaction is by size tiers: tier t holds files of target / fan^(t+1) up to target / fan^t. Files of one tier are grouped in
 order until a group fills the target; each group is merged by one task, without a shuffle, many groups a job.
+
+Null, empty and repeated rows, null ids included, are stored as they are; an empty table is a version without shards or with one
+empty shard. Columns may have any names but ``__shard``, which ``read`` adds, and the one named as arrival_col, which is not kept.
 """
 
 from __future__ import annotations
 
 import json
 import math
+import os
+import time
+import uuid
 from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from .common import settings
 
-MANIFEST = "shard string, path string, bytes long, rows long, tier int, arrival string"
+#: Every so many versions a manifest has the whole list of shards.
+SNAPSHOT = 16
 
 
 def _name():
@@ -34,41 +51,80 @@ class ConflictError(RuntimeError):
 class ShardStore:
     def __init__(self, spark: SparkSession, root: str, target: int = 128 << 20, fan: int = 4):
         self.spark, self.root, self.target, self.fan = spark, root.rstrip("/"), target, fan
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
+        self._jvm = spark.sparkContext._jvm
+        self._path = self._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         self._fs.mkdirs(self._path(f"{self.root}/manifest"))
 
     # --- manifests
+    def versions(self) -> list[int]:
+        found = [f.getPath().getName() for f in self._fs.listStatus(self._path(f"{self.root}/manifest"))]
+        return sorted(int(n[1:9]) for n in found if n.endswith(".json") and n[0] == "v")
+
     def version(self) -> int:
         """The newest committed version; 0 for an empty store."""
-        found = [f.getPath().getName() for f in self._fs.listStatus(self._path(f"{self.root}/manifest"))]
-        return max((int(n[1:9]) for n in found if n.endswith(".json") and n[0] == "v"), default=0)
+        return max(self.versions(), default=0)
 
-    def manifest(self, version: int | None = None) -> dict:
-        version = self.version() if version is None else version
-        if not version:
-            return {"version": 0, "schema": None, "shards": []}
+    def _load(self, version: int) -> dict:
         stream = self._fs.open(self._path(f"{self.root}/manifest/v{version:08d}.json"))
         try:
             return json.loads(bytes(stream.readAllBytes()).decode())
         finally:
             stream.close()
 
-    def commit(self, before: int, shards: list[dict], schema: str) -> int:
-        """Version before + 1, or ConflictError if it is there already."""
-        version = before + 1
-        part = self._path(f"{self.root}/manifest/.v{version:08d}.{self.spark.sparkContext.applicationId}.part")
-        stream = self._fs.create(part, True)
+    def manifest(self, version: int | None = None) -> dict:
+        """version, schema, shards of a version: its nearest snapshot and the changes since."""
+        version = self.version() if version is None else version
+        if not version:
+            return {"version": 0, "schema": None, "shards": []}
+        changes = [self._load(version)]
+        while "shards" not in changes[-1] and changes[-1]["version"] > 1:
+            changes.append(self._load(changes[-1]["version"] - 1))
+        shards: dict[str, dict] = {}
+        for c in reversed(changes):
+            for s in c["shards"] if "shards" in c else c["add"]:
+                shards[s["path"]] = s
+            for path in c.get("remove", ()) if "shards" not in c else ():
+                del shards[path]
+        return {"version": version, "schema": changes[0]["schema"], "shards": list(shards.values())}
+
+    def _place(self, part: str, final: str) -> bool:
+        """Makes `part` also known as `final`, unless that exists; False if it does."""
+        at = self._path(final)
+        if at.toUri().getScheme() in (None, "file") and self._fs.getScheme() == "file":
+            try:
+                os.link(self._path(part).toUri().getPath(), at.toUri().getPath())
+            except FileExistsError:
+                return False
+            return True
+        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        options = self.spark.sparkContext._gateway.new_array(self._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        try:
+            context.rename(self._path(part), at, options)
+        except Exception:
+            if self._fs.exists(at):
+                return False
+            raise
+        return True
+
+    def commit(self, before: dict, add: list[dict], remove: list[str], schema: str) -> dict:
+        """The manifest of version before + 1, or ConflictError if another writer has committed that version."""
+        version = before["version"] + 1
+        gone = set(remove)
+        shards = [s for s in before["shards"] if s["path"] not in gone] + add
+        body = {"version": version, "schema": schema} | ({"shards": shards} if version % SNAPSHOT == 0 else {"add": add, "remove": remove})
+        part = f"{self.root}/manifest/.{uuid.uuid4().hex}.part"
+        stream = self._fs.create(self._path(part), False)
         try:
-            stream.write(json.dumps({"version": version, "schema": schema, "shards": shards}).encode())
+            stream.write(json.dumps(body).encode())
         finally:
             stream.close()
-        final = self._path(f"{self.root}/manifest/v{version:08d}.json")
-        if self._fs.exists(final) or not self._fs.rename(part, final):
-            self._fs.delete(part, False)
-            raise ConflictError(f"version {version} is committed already")
-        return version
+        try:
+            if not self._place(part, f"{self.root}/manifest/v{version:08d}.json"):
+                raise ConflictError(f"version {version} is committed already")
+        finally:
+            self._fs.delete(self._path(part), False)
+        return {"version": version, "schema": schema, "shards": shards}
 
     # --- data
     def _files(self, folder: str) -> list[tuple[str, int]]:
@@ -90,22 +146,26 @@ class ShardStore:
         names = [p.rpartition("/data/")[2] for p, _ in files]
         return [{"shard": name, "path": p, "bytes": size, "rows": rows.get(unquote(name), 0), "tier": self.tier(size), "arrival": arrival} for name, (p, size) in zip(names, files, strict=True)]
 
-    def append(self, arrivals: DataFrame, arrival_col: str | None = None) -> list[int]:
-        """Writes arrivals as small shards, in one pass; commits a version for each value of arrival_col (or one)."""
-        before = self.manifest()
-        folder = f"{self.root}/data/arrival-{before['version'] + 1:08d}"
-        writer = arrivals.write.mode("overwrite")
-        (writer.partitionBy(arrival_col) if arrival_col else writer).parquet(folder)
+    def _folder(self, kind: str) -> str:
+        return f"{self.root}/data/{kind}-{uuid.uuid4().hex}"
+
+    def append(self, arrivals: DataFrame, arrival_col: str | None = None, before: dict | None = None) -> list[int]:
+        """Writes arrivals as small shards, in one pass; commits a version for each value of arrival_col (or one).
+
+        before: the manifest that the writer has read (else the newest). If others have committed since, ConflictError.
+        """
+        now = before or self.manifest()
+        folder = self._folder("arrival")
+        (arrivals.write.partitionBy(arrival_col) if arrival_col else arrivals.write).parquet(folder)
         schema = arrivals.drop(arrival_col).schema.json() if arrival_col else arrivals.schema.json()
         fresh: dict[str, list[dict]] = {}
         for s in self._shards(folder, ""):
             name = next((x.partition("=")[2] for x in s["path"].split("/") if arrival_col and x.startswith(f"{arrival_col}=")), "0")
             fresh.setdefault(name, []).append(s | {"arrival": name})
-        shards, version, done = before["shards"], before["version"], []
+        done = []
         for name in sorted(fresh) or [None]:
-            shards = shards + fresh.get(name, [])
-            version = self.commit(version, shards, schema)
-            done.append(version)
+            now = self.commit(now, fresh.get(name, []), [], schema)
+            done.append(now["version"])
         return done
 
     def plan(self, shards: list[dict]) -> list[list[dict]]:
@@ -126,41 +186,27 @@ class ShardStore:
             groups.append(group)
         return [g for g in groups if len(g) >= 2]
 
-    def _write_groups(self, parts: list[DataFrame], folder: str) -> None:
-        """One task and one file for each part. A union of one-partition inputs would otherwise be zipped into one partition."""
-        key = "spark.sql.unionOutputPartitioning"
-        before = self.spark.conf.get(key, "true")
-        self.spark.conf.set(key, "false")
-        try:
-            reduce(DataFrame.unionAll, parts).write.mode("overwrite").parquet(folder)
-        finally:
-            self.spark.conf.set(key, before)
-
-    def compact(self, per_job: int = 200) -> int:
+    def compact(self, per_job: int = 200, before: dict | None = None) -> int:
         """Merges until no tier has two files that fit together, a version a round; returns the version."""
         while True:
-            now = self.manifest()
+            now, before = before or self.manifest(), None
             groups = self.plan(now["shards"])
             if not groups:
                 return now["version"]
-            from pyspark.sql.types import StructType
-
             schema, fresh = StructType.fromJson(json.loads(now["schema"])), []
             for at in range(0, len(groups), per_job):
-                folder = f"{self.root}/data/merged-{now['version'] + 1:08d}-{at:06d}"
+                folder = self._folder("merged")
                 parts = [self.spark.read.schema(schema).parquet(*[s["path"] for s in g]).coalesce(1) for g in groups[at : at + per_job]]
-                self._write_groups(parts, folder)
+                # one task and one file for each part: a union of one-partition inputs would otherwise be zipped into one partition
+                with settings(self.spark, spark__sql__unionOutputPartitioning="false"):
+                    reduce(DataFrame.unionAll, parts).write.parquet(folder)
                 fresh += self._shards(folder, "")
-            gone = {s["path"] for g in groups for s in g}
-            rest = [s for s in now["shards"] if s["path"] not in gone]
             if sum(s["rows"] for s in fresh) != sum(s["rows"] for g in groups for s in g):
                 raise RuntimeError("merged files don't hold the rows of their sources")
-            self.commit(now["version"], rest + fresh, now["schema"])
+            self.commit(now, fresh, [s["path"] for g in groups for s in g], now["schema"])
 
     def read(self, version: int | None = None) -> DataFrame:
         """The rows of a version with __shard, the name of their file."""
-        from pyspark.sql.types import StructType
-
         m = self.manifest(version)
         if not m["shards"]:
             schema = StructType.fromJson(json.loads(m["schema"])) if m["schema"] else StructType()
@@ -168,10 +214,16 @@ class ShardStore:
         df = self.spark.read.schema(StructType.fromJson(json.loads(m["schema"]))).parquet(*[s["path"] for s in m["shards"]])
         return df.withColumn("__shard", _name())
 
-    def vacuum(self) -> int:
-        """Deletes data files that the newest manifest doesn't name; returns how many."""
-        named = {s["path"] for s in self.manifest()["shards"]}
-        gone = [p for p, _ in self._files(f"{self.root}/data") if p not in named]
-        for p in gone:
-            self._fs.delete(self._path(p), False)
-        return len(gone)
+    def vacuum(self, keep: int = 10, age: float = 7 * 24 * 3600) -> int:
+        """Deletes data files that none of the newest `keep` versions names and that are older than `age` seconds; returns how many.
+
+        Older manifests stay: they are small, and later ones build on them.
+        """
+        named = {s["path"] for v in self.versions()[-keep:] for s in self.manifest(v)["shards"]}
+        gone = 0
+        for p, _ in self._files(f"{self.root}/data"):
+            at = self._path(p)
+            if p not in named and time.time() * 1000 - self._fs.getFileStatus(at).getModificationTime() >= age * 1000:
+                self._fs.delete(at, False)
+                gone += 1
+        return gone
