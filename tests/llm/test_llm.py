@@ -99,13 +99,44 @@ def test_topk(spark):
     assert set(m) == {*range(380), 1060}
     for per_block in (4096, 64):
         got = collections.defaultdict(list)
-        for r in topk_search.top_k(v, v.where("vec_id % 20 = 0"), 20, per_block=per_block, per_query_block=8).orderBy("query_id", "rank").collect():
+        for r in topk_search.top_k(v, v.where("vec_id % 20 = 0"), 20, per_block=per_block, per_round=8).orderBy("query_id", "rank").collect():
             got[r.query_id].append((r.vec_id, r.score))
         for q in (x for x in m if x % 20 == 0):
             assert got[q] == sorted(((c, int(m[c] @ m[q])) for c in m if c != q), key=lambda x: (-x[1], x[0]))[:20]
     assert topk_search.top_k(v.limit(0), v.limit(0)).count() == 0
 
 
+def test_topk_repeated_and_clashing_queries(spark):
+    rng = np.random.default_rng(3)
+    base = [(i, rng.integers(-60, 60, 8).tolist()) for i in range(60)]
+    rows = [*base, base[20], base[20], (40, rng.integers(-60, 60, 8).tolist())]
+    v = spark.createDataFrame([(*r, 1, 1) for r in rows], "vec_id long, v array<long>, rank int, score long")
+    got = collections.defaultdict(list)
+    for r in topk_search.top_k(v, v.where("vec_id % 20 = 0"), 20).collect():
+        got[r.query_id, r.rank].append((r.vec_id, r.score))
+    for q, vectors in itertools.groupby(sorted({(i, tuple(x)) for i, x in rows if i % 20 == 0}), lambda x: x[0]):
+        want = [sorted(((c, int(np.dot(x, y))) for c, y in rows if c != q), key=lambda z: (-z[1], z[0]))[:20] for _, x in vectors]
+        for rank in range(20):
+            assert sorted(got[q, rank + 1]) == sorted(w[rank] for w in want)
+
+
+def test_topk_segments_left_out():
+    """On skewed vectors most segments are not read, and the result is still exact."""
+    rng = np.random.default_rng(5)
+    m = np.round(rng.pareto(1.2, (4000, 24)) * 20 * rng.choice([-1, 1], (4000, 24))).astype(np.int64)
+    ids, q = np.arange(4000), m[::20]
+    block = topk_search.Block.of(ids, m)
+    best = topk_search.Best(len(q), 20)
+    a, v, score, done = topk_search.search_block(topk_search.Block.read(*block.row()), ids[::20], q, best.certain, 20)
+    assert done <= len(block.segments) / 2
+    assert (score == (q[a] * m[v]).sum(1)).all()
+    best.add(a, ids[v], score)
+    whole = q @ m.T
+    for k in range(len(q)):
+        whole[k, 20 * k] = np.iinfo(np.int64).min
+        assert best.ids[k].tolist() == np.lexsort((ids, -whole[k]))[:20].tolist()
+
+
 def test_topk_large_values(spark):
     v = spark.createDataFrame([(i, [2_000_000_000 + i, -i]) for i in range(40)], "vec_id long, v array<long>")
     best = topk_search.top_k(v, v.where("vec_id = 0"), 1).first()
