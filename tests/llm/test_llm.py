@@ -218,41 +218,69 @@ def test_secret_positions_of_many_matches(spark):
     assert [(s.start, s.kind, s.end) for s in row.base] == spans(t)
 
 
-def test_lm(spark, docs, texts, empty):
-    shape = lm_scoring.Shape()
-    frequent = lm_scoring.frequent_words(docs, shape)
-    count = collections.Counter(w for t in texts.values() for w in words(t))
+SMALL = lm_scoring.Shape(classes=4, size=16, buckets=8)
+
+
+def lm_parts(spark, docs, shape, hot=100_000):
+    counts = common.stored(lm_scoring.word_counts(docs), "word-counts")
+    frequent, each = lm_scoring.frequent_words(counts, shape)
+    return frequent, lm_scoring.unigrams(each, shape), common.stored(lm_scoring.tokens(docs, lm_scoring.shares(counts, frequent, shape), frequent, shape, hot), "token-ids")
+
+
+def test_lm(spark, docs, texts):
+    """Better than unigrams on documents left out, the same however the input is partitioned, and equal to a plain sum over words."""
+    shape = lm_scoring.Shape(classes=8, size=64, buckets=16)
+    big = common.table(spark, "/root/testdata/sf0.01", "documents")
+    frequent, start, rows = lm_parts(spark, big, shape)
+    count = collections.Counter(w for t in big.select("text").toPandas()["text"] for w in words(t))
     assert frequent == [w for w, _ in sorted(count.items(), key=lambda x: (-x[1], x[0]))[: shape.frequent]]
-    train, held = docs.where("doc_id % 5 <> 0"), docs.where("doc_id % 5 = 0 and doc_id < 10000")
-    weights = lm_scoring.train(train, frequent, shape)
-    each = lambda d, w: d.groupBy().agg((F.sum("log_probability") / F.sum("n_words")).alias("x")).first().x
-    scored = lm_scoring.score(held, frequent, weights, shape)
-    start = lm_scoring.score(held, frequent, lm_scoring.Network(shape).flat, shape)
-    assert each(scored, 0) > each(start, 0) + 0.3
-    whole = {r.doc_id: r for r in lm_scoring.score(docs, frequent, weights, shape).collect()}
-    net, ids = lm_scoring.Network(shape, weights), lm_scoring.Ids(frequent, shape)
-    for k, t in texts.items():
-        seq = [shape.tokens] * 2 + [ids[w.encode()] for w in words(t)] + [shape.tokens] * 2
-        lp = sum(float(net.log_probabilities(np.array([[seq[i - 2], seq[i - 1], seq[i + 1], seq[i + 2]]]), np.array([seq[i]]))[0]) for i in range(2, len(seq) - 2)) if len(seq) < 400 else None
-        assert whole[k].n_words == len(words(t)) and (lp is None or abs(lp - whole[k].log_probability) < 1e-2)
-    assert lm_scoring.pseudo_likelihood(empty).count() == 0
+    train, held = rows.where("doc_id % 5 <> 0"), rows.where("doc_id % 5 = 0")
+    weights = lm_scoring.train(train, shape, start, group=50_000)
+    each = lm_scoring.score(held, weights, shape).groupBy().agg((F.sum("log_probability") / F.sum("n_words")).alias("x")).first().x
+    seen, left = (np.bincount(np.concatenate([np.frombuffer(x["ids"], "<u2") for x in part.select("ids").collect()]), minlength=shape.tokens) for part in (train, held))
+    assert each > (left * np.log((seen + 0.5) / seen.sum())).sum() / left.sum() + 0.2
+    again = lm_scoring.train(common.stored(train.repartition(7), "token-ids"), shape, start, group=50_000)
+    assert (again == weights).all()
+
+
+def test_lm_network():
+    """All tokens' probabilities sum to 1, and a step follows the gradient."""
+    rng = np.random.default_rng(0)
+    net = lm_scoring.Network(SMALL, seed=3)
+    net.flat[:] = rng.normal(0, 0.5, len(net.flat))
+    context, every = rng.integers(0, SMALL.tokens + 1, (5, 4)), np.arange(SMALL.tokens)
+    for c in context:
+        assert abs(np.exp(net.log_probabilities(np.tile(c, (SMALL.tokens, 1)), every)).sum() - 1) < 1e-4
+    target = rng.integers(0, SMALL.tokens, 5)
+    before, flat = net.log_probabilities(context, target).mean(), net.flat.copy()
+    net.speed[:] = 1e12
+    net.step(context, target, 1e6)  # so large a sum of squares makes the step the plain gradient
+    grad, net.flat[:] = flat - net.flat, flat
+    for k in rng.choice(np.flatnonzero(np.abs(grad) > 1e-3), 20):
+        net.flat[k] += 1e-2
+        slope = (net.log_probabilities(context, target).mean() - before) / 1e-2
+        net.flat[k] = flat[k]
+        assert abs(slope + grad[k]) < 0.02 * max(1, abs(grad[k]))
 
 
 @pytest.mark.parametrize("hot", [100_000, 50, 0])
-def test_lm_words_of_a_bucket(docs, texts, empty, hot):
-    """Every word is predicted as itself: its token's probability times its share of the bucket."""
-    shape = lm_scoring.Shape()
+def test_lm_words_of_a_bucket(spark, docs, texts, empty, hot):
+    """Every word is predicted as itself, from both sides: its token's probability times its share of the bucket."""
     count = collections.Counter(w for t in texts.values() for w in words(t))
-    frequent = [w for w, _ in sorted(count.items(), key=lambda x: (-x[1], x[0]))[: shape.frequent]]
-    ids, of = lm_scoring.Ids(frequent, shape), collections.Counter()
+    frequent, start, rows = lm_parts(spark, docs, SMALL, hot)
+    ids, of = lm_scoring.Ids(frequent, SMALL), collections.Counter()
     for w, n in count.items():
         of[ids[w.encode()]] += n
-    tokens = {r.doc_id: r for r in lm_scoring.score(docs, frequent, lm_scoring.train(docs, frequent, shape), shape).collect()}
-    got = lm_scoring.pseudo_likelihood(docs, hot=hot).collect()
+    net = lm_scoring.Network(SMALL, lm_scoring.train(rows, SMALL, start))
+    got = lm_scoring.pseudo_likelihood(docs, SMALL, hot=hot).collect()
     assert sorted(r.doc_id for r in got) == sorted(texts)
     for r in got:
-        want = tokens[r.doc_id].log_probability + sum(np.log(count[w] / of[ids[w.encode()]]) for w in words(texts[r.doc_id]))
-        assert r.n_words == len(words(texts[r.doc_id])) and abs(r.log_probability - want) < 1e-6 * max(1, abs(want))
+        w = words(texts[r.doc_id])
+        seq = np.array([SMALL.tokens] * 2 + [ids[x.encode()] for x in w] + [SMALL.tokens] * 2)
+        want = sum(np.log(count[x] / of[ids[x.encode()]]) for x in w)
+        if w:
+            want += net.log_probabilities(np.array([[seq[i - 2], seq[i - 1], seq[i + 1], seq[i + 2]] for i in range(2, len(seq) - 2)]), seq[2:-2]).sum(dtype=float)
+        assert r.n_words == len(w) and abs(r.log_probability - want) < 1e-4 * max(1, abs(want))
     assert lm_scoring.pseudo_likelihood(empty, hot=hot).count() == 0
 
 
