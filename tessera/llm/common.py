@@ -5,12 +5,14 @@ from __future__ import annotations
 import atexit
 import contextlib
 import ctypes
+import os
 import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,6 +79,55 @@ def stored(df: DataFrame, name: str, *done: DataFrame) -> DataFrame:
     return out
 
 
+def put_new(spark: SparkSession, path: str, data: bytes) -> bool:
+    """Writes a file whole, unless it exists; False if it does. Of several writers one succeeds.
+
+    The data are written aside and put in place by a hard link on a local file system, elsewhere by a rename that doesn't
+    overwrite: atomic on HDFS; object stores without such a rename need one writer at a time.
+    """
+    jvm = spark.sparkContext._jvm
+    fs, final = file_system(spark, path)
+    part = jvm.org.apache.hadoop.fs.Path(f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}.part")
+    stream = fs.create(part, False)
+    try:
+        stream.write(data)
+    finally:
+        stream.close()
+    try:
+        if fs.getScheme() == "file":
+            os.link(part.toUri().getPath(), final.toUri().getPath())
+        else:
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+            context.rename(part, final, spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
+    except FileExistsError:
+        return False
+    except Py4JJavaError:
+        if fs.exists(final):
+            return False
+        raise
+    finally:
+        if fs.exists(part):
+            fs.delete(part, False)
+    return True
+
+
+def get(spark: SparkSession, path: str) -> bytes:
+    """A whole small file."""
+    fs, at = file_system(spark, path)
+    stream = fs.open(at)
+    try:
+        return bytes(stream.readAllBytes())
+    finally:
+        stream.close()
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder, which is made if it isn't there."""
+    fs, at = file_system(spark, path)
+    fs.mkdirs(at)
+    return sorted(f.getPath().getName() for f in fs.listStatus(at))
+
+
 def dropped(*tables: DataFrame) -> None:
     """Deletes stored tables that nothing reads any more."""
     for t in tables:

@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import json
 import math
-import os
 import time
 import uuid
 from functools import reduce
@@ -33,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import settings
+from .common import file_system, get, names_in, put_new, settings
 
 #: Every so many versions a manifest has the whole list of shards.
 SNAPSHOT = 16
@@ -51,26 +50,20 @@ class ConflictError(RuntimeError):
 class ShardStore:
     def __init__(self, spark: SparkSession, root: str, target: int = 128 << 20, fan: int = 4):
         self.spark, self.root, self.target, self.fan = spark, root.rstrip("/"), target, fan
-        self._jvm = spark.sparkContext._jvm
-        self._path = self._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        self._fs.mkdirs(self._path(f"{self.root}/manifest"))
+        self._fs, at = file_system(spark, f"{self.root}/manifest")
+        self._fs.mkdirs(at)
+        self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
 
     # --- manifests
     def versions(self) -> list[int]:
-        found = [f.getPath().getName() for f in self._fs.listStatus(self._path(f"{self.root}/manifest"))]
-        return sorted(int(n[1:9]) for n in found if n.endswith(".json") and n[0] == "v")
+        return [int(n[1:9]) for n in names_in(self.spark, f"{self.root}/manifest") if n.endswith(".json") and n[0] == "v"]
 
     def version(self) -> int:
         """The newest committed version; 0 for an empty store."""
         return max(self.versions(), default=0)
 
     def _load(self, version: int) -> dict:
-        stream = self._fs.open(self._path(f"{self.root}/manifest/v{version:08d}.json"))
-        try:
-            return json.loads(bytes(stream.readAllBytes()).decode())
-        finally:
-            stream.close()
+        return json.loads(get(self.spark, f"{self.root}/manifest/v{version:08d}.json").decode())
 
     def manifest(self, version: int | None = None) -> dict:
         """version, schema, shards of a version: its nearest snapshot and the changes since."""
@@ -88,42 +81,14 @@ class ShardStore:
                 del shards[path]
         return {"version": version, "schema": changes[0]["schema"], "shards": list(shards.values())}
 
-    def _place(self, part: str, final: str) -> bool:
-        """Makes `part` also known as `final`, unless that exists; False if it does."""
-        at = self._path(final)
-        if at.toUri().getScheme() in (None, "file") and self._fs.getScheme() == "file":
-            try:
-                os.link(self._path(part).toUri().getPath(), at.toUri().getPath())
-            except FileExistsError:
-                return False
-            return True
-        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
-        options = self.spark.sparkContext._gateway.new_array(self._jvm.org.apache.hadoop.fs.Options.Rename, 0)
-        try:
-            context.rename(self._path(part), at, options)
-        except Exception:
-            if self._fs.exists(at):
-                return False
-            raise
-        return True
-
     def commit(self, before: dict, add: list[dict], remove: list[str], schema: str) -> dict:
         """The manifest of version before + 1, or ConflictError if another writer has committed that version."""
         version = before["version"] + 1
         gone = set(remove)
         shards = [s for s in before["shards"] if s["path"] not in gone] + add
         body = {"version": version, "schema": schema} | ({"shards": shards} if version % SNAPSHOT == 0 else {"add": add, "remove": remove})
-        part = f"{self.root}/manifest/.{uuid.uuid4().hex}.part"
-        stream = self._fs.create(self._path(part), False)
-        try:
-            stream.write(json.dumps(body).encode())
-        finally:
-            stream.close()
-        try:
-            if not self._place(part, f"{self.root}/manifest/v{version:08d}.json"):
-                raise ConflictError(f"version {version} is committed already")
-        finally:
-            self._fs.delete(self._path(part), False)
+        if not put_new(self.spark, f"{self.root}/manifest/v{version:08d}.json", json.dumps(body).encode()):
+            raise ConflictError(f"version {version} is committed already")
         return {"version": version, "schema": schema, "shards": shards}
 
     # --- data

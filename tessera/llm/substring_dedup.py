@@ -5,11 +5,19 @@ with a smaller id. Every window has an anchor: of its word grams the one with th
 windows have equal anchors at equal places, so comparing windows of shared anchors loses nothing, and only about one gram
 in (window - gram) / 2 is an anchor.
 
-``FingerprintIndex`` keeps the anchors of all documents so far as immutable Parquet runs, each sorted by hash. ``add`` takes
-a batch of documents with larger ids than all before: it writes the batch's run, merge-joins the runs to find hashes that
-the batch shares, and verifies: the windows of shared anchors are read from the documents themselves and compared by a
-128-bit digest of their words, each keeping its least document. Where there are too many runs they are compacted to one.
-Exact copies (whole word sequences) are settled first, by one digest a document, so that a group of copies costs one row each.
+``FingerprintIndex`` is a folder that later jobs open again. It holds immutable runs, each bucketed and sorted by its key, and a
+manifest a version that names them:
+
+- anchors (hash, first, verified): the least document that has an anchor, and whether a second one has had it;
+- digests (d1, d2, first): the least document of each window whose anchor was shared, and of each whole word sequence;
+- texts (doc_id, z): the words of documents of at least a window, compressed.
+
+``add`` takes a batch of documents with larger ids than all before. Whole copies are settled first, by one digest a document. The
+batch's anchors are then merge-joined with the runs, which takes no shuffle of the runs. For anchors that two documents share,
+windows are compared by 128-bit digests of their words: those of the batch's documents, and, where an anchor had one document so far,
+those of this document, whose text comes from the index by a bucketed join. Where an anchor was shared before, its windows' digests
+are in the index, so no old text is asked for twice. The batch's results go into new runs; where there are more than ``max_runs``,
+the smaller half is merged to one.
 
 Null and empty texts have no words; texts of fewer words than a window stay whole. Windows are judged on the input, not on
 what is left. Repeated rows of one id are one document: they get the same result. Documents of null id are passed by.
@@ -18,6 +26,9 @@ what is left. Repeated rows of one id are one document: they get the same result
 from __future__ import annotations
 
 import hashlib
+import json
+import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
-from .common import map_arrow, maybe_broadcast, scratch, stored
+from .common import dropped, file_system, get, map_arrow, maybe_broadcast, names_in, put_new, scratch, settings, stored
 
 GRAM = 16
 B = 0x9E3779B97F4A7C15 | 1
@@ -117,108 +128,171 @@ def unpacked(data: bytes | None) -> str | None:
     return None if data is None else zstandard.ZstdDecompressor().decompress(data).decode()
 
 
-def _digest_of_all(ids: pa.Array, texts: pa.Array) -> tuple:
-    out: list[list] = [[], [], [], []]
-    for doc, text in zip(ids.to_pylist(), texts, strict=True):
-        w = Words(text.as_py())
-        d = np.frombuffer(hashlib.md5(w.joined).digest(), "<i8")
-        for column, x in zip(out, (doc, int(d[0]), int(d[1]), w.n), strict=True):
-            column.append(x)
-    return tuple(out)
-
+def prepared(docs: DataFrame, window: int) -> DataFrame:
+    """doc_id, d1 and d2 (digest of the whole word sequence), z (the words, compressed), hashes (of the distinct anchors), of documents of a window or more."""
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
 
-def exact_copies(docs: DataFrame, window: int) -> DataFrame:
-    """doc_id of every document of at least `window` words whose whole word sequence a smaller id has."""
-    digests = stored(_arrow(docs, _digest_of_all, "doc_id long, d1 long, d2 long, n long").where(F.col("n") >= window).select("doc_id", "d1", "d2"), "word-digests")
-    least = digests.groupBy("d1", "d2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").drop("last")
-    return stored(digests.join(least, ["d1", "d2"]).where("doc_id > first").select("doc_id").distinct(), "exact-copies")
-
-
-class FingerprintIndex:
-    """Runs of anchors (hash, doc_id) of all documents added so far."""
-
-    def __init__(self, spark: SparkSession, window: int = 50, max_runs: int = 4):
-        self.spark, self.window, self.max_runs = spark, window, max_runs
-        self.runs: list[str] = []
-        self.docs: DataFrame | None = None
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
 
-    def _write_run(self, anchors: DataFrame) -> str:
-        path = scratch(self.spark, "run")
-        anchors.repartition("hash").sortWithinPartitions("hash", "doc_id").write.parquet(path)
-        return path
+        press = zstandard.ZstdCompressor(level=3)
+        for b in batches:
+            out: list[list] = [[], [], [], [], []]
+            for doc, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                w = Words(text.as_py())
+                if w.n >= window:
+                    d = np.frombuffer(hashlib.md5(w.joined).digest(), "<i8").tolist()
+                    for column, x in zip(out, (doc, *d, press.compress(w.joined), np.unique(w.anchors(window))), strict=True):
+                        column.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], names=["doc_id", "d1", "d2", "z", "hashes"])
 
-    def _read(self, paths: list[str]) -> DataFrame:
-        return self.spark.read.schema("hash long, doc_id long").parquet(*paths)
+    return map_arrow(docs.select("doc_id", "text"), run, "doc_id long, d1 long, d2 long, z binary, hashes array<long>", 256)
 
-    def compact(self) -> None:
-        """Merges all runs into one. Old runs stay as they are for whoever reads them."""
-        self.runs = [self._write_run(self._read(self.runs).distinct())]
 
-    def add(self, docs: DataFrame) -> DataFrame:
-        """docs: doc_id, text, with ids above all before. Returns doc_id, pos of every window of docs that starts in a document of smaller id too."""
+class FingerprintIndex:
+    #: Columns and bucket key of each kind of run.
+    KINDS = {"anchors": ("hash BIGINT, first BIGINT, verified BOOLEAN", "hash"), "digests": ("d1 BIGINT, d2 BIGINT, first BIGINT", "d1"), "texts": ("doc_id BIGINT, z BINARY", "doc_id")}
+
+    def __init__(self, spark: SparkSession, root: str, window: int = 50, max_runs: int = 4, buckets: int = 8):
+        """window and buckets are those that an index at root was made with, if there is one."""
+        self.spark, self.root, self.max_runs = spark, root.rstrip("/"), max_runs
+        self._tables: dict[str, str] = {}
+        versions = [n for n in names_in(spark, f"{self.root}/manifest") if n.startswith("v") and n.endswith(".json")]
+        self.state = json.loads(get(spark, f"{self.root}/manifest/{versions[-1]}").decode()) if versions else {"version": 0, "window": window, "buckets": buckets, "highest": None, **{k: [] for k in self.KINDS}}
+        self.window, self.buckets = self.state["window"], self.state["buckets"]
+
+    def _commit(self, **changes) -> None:
+        state = self.state | changes | {"version": self.state["version"] + 1}
+        if not put_new(self.spark, f"{self.root}/manifest/v{state['version']:08d}.json", json.dumps(state).encode()):
+            raise RuntimeError(f"another writer has committed version {state['version']}")
+        self.state = state
+
+    def _write(self, kind: str, rows: DataFrame) -> dict:
+        """A run of a kind: one file a bucket, sorted by the key."""
+        key = self.KINDS[kind][1]
+        path, name = f"{self.root}/{kind}/{uuid.uuid4().hex}", f"tessera_{uuid.uuid4().hex}"
+        dealt = rows.repartitionById(self.buckets, F.pmod(F.hash(key), F.lit(self.buckets)).cast("int"))
+        with settings(self.spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+            dealt.write.format("parquet").bucketBy(self.buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+        self._tables[path] = name
+        return {"path": path, "rows": self.spark.table(name).count()}
+
+    def _read(self, kind: str, runs: list[dict] | None = None) -> DataFrame | None:
+        """The rows of runs of a kind (else of all), each still bucketed."""
+        columns, key = self.KINDS[kind]
+        out = None
+        for run in self.state[kind] if runs is None else runs:
+            if run["path"] not in self._tables:
+                name = f"tessera_{uuid.uuid4().hex}"
+                self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) INTO {self.buckets} BUCKETS LOCATION '{run['path']}'")
+                self._tables[run["path"]] = name
+            part = self.spark.table(self._tables[run["path"]])
+            out = part if out is None else out.unionAll(part)
+        return self.spark.createDataFrame([], ", ".join(columns.lower().replace("bigint", "long").split(", "))) if out is None else out
+
+    def _merged(self, kind: str, runs: list[dict] | None = None) -> DataFrame:
+        """One row for each key of runs."""
+        rows = self._read(kind, runs)
+        if kind == "anchors":
+            return rows.groupBy("hash").agg(F.min("first").alias("first"), F.max("verified").alias("verified"))
+        return rows.groupBy("d1", "d2").agg(F.min("first").alias("first"))
+
+    def compact(self, kind: str, runs: list[dict]) -> None:
+        """Merges runs of a kind into one. Their files stay for whoever reads an older version."""
+        paths = {r["path"] for r in runs}
+        rest = [r for r in self.state[kind] if r["path"] not in paths]
+        self._commit(**{kind: [*rest, self._write(kind, self._merged(kind, runs))]})
+
+    def _windows(self, places: DataFrame, texts: DataFrame) -> DataFrame:
+        """d1, d2, doc_id, pos of the windows of texts whose anchors are in places (doc_id, hashes)."""
         window = self.window
 
-        def anchor_rows(ids: pa.Array, texts: pa.Array) -> tuple:
-            found: list[list[np.ndarray]] = [[], []]
-            for doc, text in zip(ids.to_pylist(), texts, strict=True):
-                w = Words(text.as_py())
-                if w.n >= window:
-                    h = np.unique(w.anchors(window))
-                    for column, x in zip(found, (h, np.full(len(h), doc)), strict=True):
-                        column.append(x)
-            return tuple(np.concatenate(x) if x else [] for x in found)
-
-        run = self._write_run(_arrow(docs, anchor_rows, "hash long, doc_id long"))
-        before = self.runs
-        self.runs = [*before, run]
-        now = self._read([run]).groupBy("hash").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-        if before:
-            old = self._read(before).groupBy("hash").agg(F.min("doc_id").alias("old"))
-            shared = now.join(old, "hash", "left").where("lo < hi or old is not null").select("hash")
-        else:
-            shared = now.where("lo < hi").select("hash")
-        first = docs.select("doc_id", "text", F.lit(1).alias("new"))
-        all_docs = first if self.docs is None else first.unionByName(self.docs.select("doc_id", "text", F.lit(0).alias("new")))
-        self.docs = docs if self.docs is None else self.docs.unionByName(docs)
-        places = self._read(self.runs).join(shared, "hash", "left_semi").groupBy("doc_id").agg(F.collect_set("hash").alias("hashes"))
-
-        def window_rows(ids: pa.Array, texts: pa.Array, new: pa.Array, hashes: pa.Array) -> tuple:
-            found: list[list[np.ndarray]] = [[], [], [], [], []]
-            for doc, text, fresh, own in zip(ids.to_pylist(), texts, new.to_pylist(), hashes, strict=True):
+        def run(ids: pa.Array, texts: pa.Array, hashes: pa.Array) -> tuple:
+            found: list[list[np.ndarray]] = [[], [], [], []]
+            for doc, text, own in zip(ids.to_pylist(), texts, hashes, strict=True):
                 w = Words(unpacked(text.as_py()))
                 mine = np.flatnonzero(np.isin(w.anchors(window), own.values.to_numpy()))
                 d = w.digests(mine, window)
-                for column, x in zip(found, (d[:, 0], d[:, 1], np.full(len(mine), doc), mine, np.full(len(mine), fresh)), strict=True):
+                for column, x in zip(found, (d[:, 0], d[:, 1], np.full(len(mine), doc), mine), strict=True):
                     column.append(x)
             return tuple(np.concatenate(x) if x else [] for x in found)
 
-        read = packed(all_docs).join(places, "doc_id").select("doc_id", "text", "new", "hashes")
-        windows = stored(_arrow(read, window_rows, "d1 long, d2 long, doc_id long, pos int, new int"), "windows")
-        least = windows.groupBy("d1", "d2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").drop("last")
-        hits = windows.where("new = 1").join(least, ["d1", "d2"]).where("doc_id > first").select("doc_id", "pos").distinct()
-        if len(self.runs) > self.max_runs:
-            self.compact()
-        return hits
+        return _arrow(texts.join(places, "doc_id").select("doc_id", "z", "hashes"), run, "d1 long, d2 long, doc_id long, pos int")
 
-
-def repeated_windows(docs: DataFrame, window: int = 50, batches: int = 2) -> tuple[DataFrame, DataFrame]:
-    """(doc_id of exact copies; doc_id, pos of the repeated windows of the others), for doc_id, text. Documents go in by batches of ascending id."""
+    def add(self, docs: DataFrame) -> DataFrame:
+        """docs: doc_id, text, with ids above all before. Returns doc_id, pos of every window of docs that starts in a document of smaller id too; pos -1: the whole document is a copy. Stored."""
+        batch = stored(prepared(docs, self.window), "batch")
+        lowest, highest = batch.agg(F.min("doc_id"), F.max("doc_id")).first()
+        if lowest is None:
+            dropped(batch)
+            return self.spark.createDataFrame([], "doc_id long, pos int")
+        if self.state["highest"] is not None and lowest <= self.state["highest"]:
+            raise ValueError("ids have to be above those of the batches before")
+        # whole copies
+        known = self._merged("digests")
+        whole = batch.groupBy("d1", "d2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+        whole = stored(whole.join(known, ["d1", "d2"], "left").select("d1", "d2", F.coalesce("first", "lo").alias("first"), "hi", F.col("first").isNull().alias("fresh")), "wholes")
+        copies = batch.select("doc_id", "d1", "d2").join(whole.where("hi > first"), ["d1", "d2"]).where("doc_id > first").select("doc_id").distinct()
+        copies = stored(copies, "whole-copies")
+        n_copies = copies.count()
+        rest = batch.join(maybe_broadcast(copies, n_copies), "doc_id", "left_anti")
+        texts = self._write("texts", rest.select("doc_id", "z").dropDuplicates(["doc_id"]))
+        # anchors that two documents share
+        anchors = stored(rest.select(F.explode("hashes").alias("hash"), "doc_id"), "batch-anchors", batch)
+        now = anchors.groupBy("hash").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+        now = stored(self._merged("anchors").join(now, "hash", "right").select("hash", "lo", "hi", "first", F.coalesce("verified", F.lit(False)).alias("old")), "met-anchors")
+        shared = now.where("lo < hi or first is not null")
+        mine = anchors.join(shared.select("hash"), "hash", "left_semi").groupBy("doc_id").agg(F.collect_set("hash").alias("hashes"))
+        theirs = shared.where("first is not null and not old").select(F.col("first").alias("doc_id"), "hash").groupBy("doc_id").agg(F.collect_set("hash").alias("hashes"))
+        fresh = stored(self._windows(mine, self._read("texts", [texts])), "windows")
+        earlier = stored(self._windows(theirs, self._read("texts")).groupBy("d1", "d2").agg(F.min("doc_id").alias("first")), "earlier-windows")
+        # the least document of each window
+        least = fresh.groupBy("d1", "d2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+        old = earlier.unionByName(known).groupBy("d1", "d2").agg(F.min("first").alias("old"))
+        least = stored(least.join(old, ["d1", "d2"], "left").select("d1", "d2", F.coalesce("old", "lo").alias("first"), "hi", F.col("old").isNull().alias("fresh")), "least-windows")
+        hits = fresh.join(least.where("hi > first").select("d1", "d2", "first"), ["d1", "d2"]).where("doc_id > first").select("doc_id", "pos").distinct()
+        out = stored(hits.unionByName(copies.select("doc_id", F.lit(-1).alias("pos"))), "hits")
+        # what is new goes into runs
+        verified = F.col("first").isNotNull() | (F.col("lo") < F.col("hi"))
+        run = self._write("anchors", now.where("first is null or not old").select("hash", F.coalesce("first", "lo").alias("first"), verified.alias("verified")))
+        new = [x.where("fresh").select("d1", "d2", "first") for x in (whole, least)]
+        digests = self._write("digests", new[0].unionByName(new[1]).unionByName(earlier))
+        self._commit(anchors=[*self.state["anchors"], run], digests=[*self.state["digests"], digests], texts=[*self.state["texts"], texts], highest=highest)
+        dropped(whole, copies, anchors, now, fresh, earlier, least)
+        for kind in ("anchors", "digests"):
+            if len(self.state[kind]) > self.max_runs:
+                self.compact(kind, sorted(self.state[kind], key=lambda r: r["rows"])[: len(self.state[kind]) // 2 + 1])
+        return out
+
+    def close(self, delete: bool = False) -> None:
+        """Forgets the tables that stand for the runs; deletes the index if asked to."""
+        for name in self._tables.values():
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self._tables = {}
+        if delete:
+            fs, at = file_system(self.spark, self.root)
+            fs.delete(at, True)
+
+
+def repeated_windows(docs: DataFrame, window: int = 50, batches: int = 6) -> DataFrame:
+    """doc_id, pos of the repeated windows (-1: a whole copy) for doc_id, text. Documents go by batches of ascending id into an index of its own."""
     spark = docs.sparkSession
-    copies = exact_copies(docs, window)
-    rest = docs.join(maybe_broadcast(copies, copies.count()), "doc_id", "left_anti")
     cuts = docs.agg(F.percentile_approx("doc_id", [k / batches for k in range(1, batches)], 1000).alias("c")).first()["c"] or [] if batches > 1 else []
     edges = [None, *sorted(set(cuts)), None]
-    index = FingerprintIndex(spark, window)
-    hits = None
+    index = FingerprintIndex(spark, scratch(spark, "index"), window, buckets=max(8, math.ceil(docs.count() / 20_000)))
+    hits = []
     for low, high in zip(edges, edges[1:], strict=False):
-        part = rest
+        part = docs
         if low is not None:
             part = part.where(F.col("doc_id") > low)
         if high is not None:
             part = part.where(F.col("doc_id") <= high)
-        got = index.add(part)
-        hits = got if hits is None else hits.unionByName(got)
-    return copies, hits
+        hits.append(index.add(part))
+    index.close(delete=True)
+    out = hits[0]
+    for h in hits[1:]:
+        out = out.unionByName(h)
+    return stored(out, "repeats", *(h for h in hits if hasattr(h, "_stored_at")))
 
 
 def _kept(text: str | None, copy: bool, at: list[int] | None, window: int) -> tuple[int, np.ndarray, Words]:
@@ -238,13 +312,13 @@ def _kept(text: str | None, copy: bool, at: list[int] | None, window: int) -> tu
 def _marked(docs: DataFrame, window: int, batches: int, id_col: str, text_col: str, *more: str) -> DataFrame:
     """docs, text_col compressed, with __copy and __at: what repeated_windows says of each."""
     known = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
-    copies, hits = repeated_windows(known, window, batches)
-    runs = hits.groupBy("doc_id").agg(F.collect_set("pos").alias("__at"), F.lit(False).alias("__copy")).unionByName(copies.select("doc_id", F.lit(None).cast("array<int>").alias("__at"), F.lit(True).alias("__copy")))
-    runs = stored(runs.withColumnRenamed("doc_id", "__doc"), "removals")
+    hits = repeated_windows(known, window, batches)
+    runs = hits.groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_set("pos").alias("__at"), (F.min("pos") < 0).alias("__copy"))
+    runs = stored(runs, "removals", hits)
     return packed(docs, text_col).join(runs, F.col(id_col).cast("long") == F.col("__doc"), "left").drop("__doc")
 
 
-def report(docs: DataFrame, window: int = 50, batches: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def report(docs: DataFrame, window: int = 50, batches: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by single spaces)."""
     marked = _marked(docs.select(id_col, text_col), window, batches, id_col, text_col)
 
@@ -261,7 +335,7 @@ def report(docs: DataFrame, window: int = 50, batches: int = 2, id_col: str = "d
     return _arrow(marked.select(F.col(id_col).cast("long"), text_col, "__copy", "__at"), run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
-def remove_repeats(docs: DataFrame, window: int = 50, batches: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 50, batches: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with repeated words cut out of text_col; the white space around kept words stays. Documents of which nothing is left go; other columns stay."""
     marked = _marked(docs, window, batches, id_col, text_col)
     fields = marked.schema.names

@@ -305,13 +305,29 @@ def test_substrings(docs, texts, batches):
     assert all(words(t) == left[k] for k, t in got.items())
 
 
-def test_substring_compaction_and_empty(spark, docs, empty):
-    index = substring_dedup.FingerprintIndex(spark, 50, max_runs=2)
-    parts = [docs.where(f"doc_id % 1 = 0 and doc_id >= {a} and doc_id < {b}").select("doc_id", "text") for a, b in ((0, 60), (60, 120), (120, 180), (180, 99_999))]
-    hits = [tuple(r) for p in parts for r in index.add(p).collect()]
-    assert len(index.runs) <= 2
-    one = substring_dedup.FingerprintIndex(spark, 50)
-    assert sorted(hits) == sorted(tuple(r) for r in one.add(docs.select("doc_id", "text")).collect())
+def test_substring_index_reopened(spark, docs, texts, empty):
+    """Batches into an index that every batch opens anew give what one batch gives; runs are compacted; stale writers fail."""
+    plain = docs.select("doc_id", "text")
+    cuts = [0, 40, 90, 120, 150, 10_009, 20_000]
+    root = scratch(spark, "index")
+    hits = []
+    for a, b in itertools.pairwise(cuts):
+        index = substring_dedup.FingerprintIndex(spark, root, 50, max_runs=2, buckets=3)
+        hits += [tuple(r) for r in index.add(plain.where((F.col("doc_id") >= a) & (F.col("doc_id") < b))).collect()]
+        index.close()
+    again = substring_dedup.FingerprintIndex(spark, root)
+    assert len(again.state["anchors"]) <= 2 and len(again.state["texts"]) == len(cuts) - 1 and again.buckets == 3
+    plan = again._merged("anchors")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+    with pytest.raises(ValueError):
+        again.add(plain.where("doc_id = 10010"))
+    stale, fresh = (substring_dedup.FingerprintIndex(spark, root) for _ in range(2))
+    fresh.add(spark.createDataFrame([(30_000, PASSAGE)], "doc_id long, text string"))
+    with pytest.raises(RuntimeError):
+        stale.add(spark.createDataFrame([(30_000, PASSAGE)], "doc_id long, text string"))
+    one = substring_dedup.FingerprintIndex(spark, scratch(spark, "index"))
+    covered = lambda rows: {(d, w) for d, p in rows for w in (range(p, p + 50) if p >= 0 else range(len(words(texts[d]))))}
+    assert covered(hits) == covered(tuple(r) for r in one.add(plain).collect())
     assert substring_dedup.report(empty).count() == 0
 
 
