@@ -9,7 +9,8 @@ in (window - gram) / 2 is an anchor.
 manifest a version that names them:
 
 - anchors (hash, first, verified): the least document that has an anchor, and whether a second one has had it;
-- digests (d1, d2, first): the least document of each window whose anchor was shared, and of each whole word sequence;
+- wholes (d1, d2, first): the least document of each whole word sequence;
+- digests (d1, d2, first): the least document of each window whose anchor was shared;
 - texts (doc_id, z): the words of documents of at least a window, compressed.
 
 ``add`` takes a batch of documents with larger ids than all before. Whole copies are settled first, by one digest a document. The
@@ -151,7 +152,12 @@ def prepared(docs: DataFrame, window: int) -> DataFrame:
 
 class FingerprintIndex:
     #: Columns and bucket key of each kind of run.
-    KINDS = {"anchors": ("hash BIGINT, first BIGINT, verified BOOLEAN", "hash"), "digests": ("d1 BIGINT, d2 BIGINT, first BIGINT", "d1"), "texts": ("doc_id BIGINT, z BINARY", "doc_id")}
+    KINDS = {
+        "anchors": ("hash BIGINT, first BIGINT, verified BOOLEAN", ["hash"]),
+        "wholes": ("d1 BIGINT, d2 BIGINT, first BIGINT", ["d1", "d2"]),
+        "digests": ("d1 BIGINT, d2 BIGINT, first BIGINT", ["d1", "d2"]),
+        "texts": ("doc_id BIGINT, z BINARY", ["doc_id"]),
+    }
 
     def __init__(self, spark: SparkSession, root: str, window: int = 50, max_runs: int = 4, buckets: int = 8):
         """window and buckets are those that an index at root was made with, if there is one."""
@@ -171,9 +177,9 @@ class FingerprintIndex:
         """A run of a kind: one file a bucket, sorted by the key."""
         key = self.KINDS[kind][1]
         path, name = f"{self.root}/{kind}/{uuid.uuid4().hex}", f"tessera_{uuid.uuid4().hex}"
-        dealt = rows.repartitionById(self.buckets, F.pmod(F.hash(key), F.lit(self.buckets)).cast("int"))
+        dealt = rows.repartitionById(self.buckets, F.pmod(F.hash(*key), F.lit(self.buckets)).cast("int"))
         with settings(self.spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
-            dealt.write.format("parquet").bucketBy(self.buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+            dealt.write.format("parquet").bucketBy(self.buckets, *key).sortBy(*key).option("path", path).saveAsTable(name)
         self._tables[path] = name
         return {"path": path, "rows": self.spark.table(name).count()}
 
@@ -184,7 +190,7 @@ class FingerprintIndex:
         for run in self.state[kind] if runs is None else runs:
             if run["path"] not in self._tables:
                 name = f"tessera_{uuid.uuid4().hex}"
-                self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) INTO {self.buckets} BUCKETS LOCATION '{run['path']}'")
+                self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({', '.join(key)}) SORTED BY ({', '.join(key)}) INTO {self.buckets} BUCKETS LOCATION '{run['path']}'")
                 self._tables[run["path"]] = name
             part = self.spark.table(self._tables[run["path"]])
             out = part if out is None else out.unionAll(part)
@@ -229,9 +235,8 @@ class FingerprintIndex:
         if self.state["highest"] is not None and lowest <= self.state["highest"]:
             raise ValueError("ids have to be above those of the batches before")
         # whole copies
-        known = self._merged("digests")
         whole = batch.groupBy("d1", "d2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-        whole = stored(whole.join(known, ["d1", "d2"], "left").select("d1", "d2", F.coalesce("first", "lo").alias("first"), "hi", F.col("first").isNull().alias("fresh")), "wholes")
+        whole = stored(self._merged("wholes").join(whole, ["d1", "d2"], "right").select("d1", "d2", F.coalesce("first", "lo").alias("first"), "hi", F.col("first").isNull().alias("fresh")), "wholes")
         copies = batch.select("doc_id", "d1", "d2").join(whole.where("hi > first"), ["d1", "d2"]).where("doc_id > first").select("doc_id").distinct()
         copies = stored(copies, "whole-copies")
         n_copies = copies.count()
@@ -248,18 +253,18 @@ class FingerprintIndex:
         earlier = stored(self._windows(theirs, self._read("texts")).groupBy("d1", "d2").agg(F.min("doc_id").alias("first")), "earlier-windows")
         # the least document of each window
         least = fresh.groupBy("d1", "d2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-        old = earlier.unionByName(known).groupBy("d1", "d2").agg(F.min("first").alias("old"))
-        least = stored(least.join(old, ["d1", "d2"], "left").select("d1", "d2", F.coalesce("old", "lo").alias("first"), "hi", F.col("old").isNull().alias("fresh")), "least-windows")
+        least = self._merged("digests").withColumnRenamed("first", "old").join(least, ["d1", "d2"], "right").join(earlier, ["d1", "d2"], "left")
+        least = stored(least.select("d1", "d2", F.coalesce("old", "first", "lo").alias("first"), "hi", F.col("old").isNull().alias("fresh")), "least-windows")
         hits = fresh.join(least.where("hi > first").select("d1", "d2", "first"), ["d1", "d2"]).where("doc_id > first").select("doc_id", "pos").distinct()
         out = stored(hits.unionByName(copies.select("doc_id", F.lit(-1).alias("pos"))), "hits")
         # what is new goes into runs
         verified = F.col("first").isNotNull() | (F.col("lo") < F.col("hi"))
         run = self._write("anchors", now.where("first is null or not old").select("hash", F.coalesce("first", "lo").alias("first"), verified.alias("verified")))
-        new = [x.where("fresh").select("d1", "d2", "first") for x in (whole, least)]
-        digests = self._write("digests", new[0].unionByName(new[1]).unionByName(earlier))
-        self._commit(anchors=[*self.state["anchors"], run], digests=[*self.state["digests"], digests], texts=[*self.state["texts"], texts], highest=highest)
+        wholes = self._write("wholes", whole.where("fresh").select("d1", "d2", "first"))
+        digests = self._write("digests", least.where("fresh").select("d1", "d2", "first").unionByName(earlier.join(least, ["d1", "d2"], "left_anti")))
+        self._commit(anchors=[*self.state["anchors"], run], wholes=[*self.state["wholes"], wholes], digests=[*self.state["digests"], digests], texts=[*self.state["texts"], texts], highest=highest)
         dropped(whole, copies, anchors, now, fresh, earlier, least)
-        for kind in ("anchors", "digests"):
+        for kind in ("anchors", "wholes", "digests"):
             if len(self.state[kind]) > self.max_runs:
                 self.compact(kind, sorted(self.state[kind], key=lambda r: r["rows"])[: len(self.state[kind]) // 2 + 1])
         return out
@@ -274,7 +279,7 @@ class FingerprintIndex:
             fs.delete(at, True)
 
 
-def repeated_windows(docs: DataFrame, window: int = 50, batches: int = 6) -> DataFrame:
+def repeated_windows(docs: DataFrame, window: int = 50, batches: int = 5) -> DataFrame:
     """doc_id, pos of the repeated windows (-1: a whole copy) for doc_id, text. Documents go by batches of ascending id into an index of its own."""
     spark = docs.sparkSession
     cuts = docs.agg(F.percentile_approx("doc_id", [k / batches for k in range(1, batches)], 1000).alias("c")).first()["c"] or [] if batches > 1 else []
@@ -318,7 +323,7 @@ def _marked(docs: DataFrame, window: int, batches: int, id_col: str, text_col: s
     return packed(docs, text_col).join(runs, F.col(id_col).cast("long") == F.col("__doc"), "left").drop("__doc")
 
 
-def report(docs: DataFrame, window: int = 50, batches: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def report(docs: DataFrame, window: int = 50, batches: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by single spaces)."""
     marked = _marked(docs.select(id_col, text_col), window, batches, id_col, text_col)
 
@@ -335,7 +340,7 @@ def report(docs: DataFrame, window: int = 50, batches: int = 6, id_col: str = "d
     return _arrow(marked.select(F.col(id_col).cast("long"), text_col, "__copy", "__at"), run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
-def remove_repeats(docs: DataFrame, window: int = 50, batches: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 50, batches: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with repeated words cut out of text_col; the white space around kept words stays. Documents of which nothing is left go; other columns stay."""
     marked = _marked(docs, window, batches, id_col, text_col)
     fields = marked.schema.names
