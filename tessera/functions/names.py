@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Verbs, action phrases and conditions of the annotation vocabulary.
-TIER1_VERBS = ("adjust", "cap", "close", "cut", "insert", "label", "measure", "move", "open", "position", "press", "pull_out", "put", "remove", "take", "tear", "wrap")
+# Action phrases and conditions of the annotation vocabulary.
 TIER2_ACTIONS = (
     "adjust_slider", "cap_pen", "close_wire_cutter", "cut_wire", "cut_tape", "insert_wire_into_lug", "label_sample", "measure_wire_length", "move_ruler", "move_wire",
     "move_wire_cutter", "move_lug", "move_plier", "move_pen", "move_scissor", "move_tape", "open_wire_cutter", "position_wire", "press_wire_cutter", "pull_out_tape",
@@ -24,15 +23,15 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
 
-def norm_name(c: Column) -> Column:
+def one_form(c: Column) -> Column:
     return F.regexp_replace(F.replace(F.lower(strip(c)), F.lit(" "), F.lit("_")), "_+", "_")
 
 
 def tokens(c: Column) -> Column:
-    return F.filter(F.split(norm_name(c), "_"), lambda t: t != "")
+    return F.filter(F.split(one_form(c), "_"), lambda t: t != "")
 
 
-def is_subsequence(needle: Column, hay: Column) -> Column:
+def runs_through(needle: Column, hay: Column) -> Column:
     """needle's items occur in hay in order, not necessarily side by side. An empty needle does."""
     last = F.aggregate(hay, F.lit(0), lambda j, t: F.when(F.get(needle, j) == t, j + 1).otherwise(j))
     return last == F.size(needle)
@@ -52,7 +51,7 @@ def tier2(c: Column, vocabulary: tuple[str, ...] = TIER2_ACTIONS) -> Column:
     verb = lambda w: "pull_out" if w[:2] == ["pull", "out"] else w[0]
     split = sorted(([w for w in v.split("_") if w] for v in vocabulary), key=lambda w: (-len(w), "_".join(w)))
     phrases = F.array(*[F.struct(F.lit("_".join(w)).alias("name"), F.lit(verb(w)).alias("verb"), F.array(*map(F.lit, w)).alias("tokens")) for w in split])
-    found = F.get(F.filter(phrases, lambda p: (p["verb"] == tier1(c)) & is_subsequence(p["tokens"], tokens(c))), F.lit(0))
+    found = F.get(F.filter(phrases, lambda p: (p["verb"] == tier1(c)) & runs_through(p["tokens"], tokens(c))), F.lit(0))
     return F.coalesce(found["name"], F.lit("UNMAPPED_T2"))
 
 
@@ -82,8 +81,9 @@ def first_run(segment: Column) -> Column:
 
 
 def run_token(segment: Column) -> Column:
-    found = F.regexp_extract(strip(segment), r"(?i)^run_(\d+(?:-\d+)?)", 1)
-    return F.when(found == "", F.lit("run_UNKNOWN")).otherwise(F.concat(F.lit("run_"), found))
+    """run_ and the number or range that a name begins with, as it is or else in its one form ("Run 3 ..."); run_UNKNOWN if neither has one."""
+    number = lambda c: F.nullif(F.regexp_extract(c, r"(?i)^run_(\d+(?:-\d+)?)", 1), F.lit(""))
+    return F.concat(F.lit("run_"), F.coalesce(number(strip(segment)), number(one_form(segment)), F.lit("UNKNOWN")))
 
 
 def without_npy(c: Column) -> Column:

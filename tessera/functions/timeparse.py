@@ -34,6 +34,12 @@ def name_to_epoch(name: Column, zone: str | None = None) -> Column:
     return micros(F.convert_timezone(F.lit(zone), F.lit("UTC"), local) if zone else local) / F.lit(1e6)
 
 
+def strict_epoch(text: Column, zone: str | None = None) -> Column:
+    """Epoch seconds of a text that is a stamp and nothing else; any other text is an error, null stays null."""
+    wrong = F.raise_error(F.concat(F.lit("not a stamp: "), text)).cast("double")
+    return F.when(text.isNull(), F.lit(None)).when(text.rlike(f"^(?:{STAMP})$") & stamp(text).isNotNull(), name_to_epoch(text, zone)).otherwise(wrong)
+
+
 def plausible(seconds: Column) -> Column:
     return seconds.isNotNull() & ~F.isnan(seconds) & (seconds >= PLAUSIBLE_S) & (seconds < float("inf"))
 

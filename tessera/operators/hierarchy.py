@@ -13,7 +13,7 @@ def blank(c: Column) -> Column:
 
 
 def with_tiers(segments: DataFrame, action: str) -> DataFrame:
-    return segments.withColumns({"tier1": names.tier1(F.col(action)), "tier2": names.tier2(F.col(action)), "tier3": names.norm_name(F.col(action))})
+    return segments.withColumns({"tier1": names.tier1(F.col(action)), "tier2": names.tier2(F.col(action)), "tier3": names.one_form(F.col(action))})
 
 
 def joint_counts(df: DataFrame, key: str, light: str, pos: str, lights: tuple[str, ...] = names.LIGHTS, positions: tuple[str, ...] = names.POSITIONS) -> DataFrame:

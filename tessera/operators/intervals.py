@@ -64,21 +64,33 @@ def expand_strict(samples: DataFrame, spans: DataFrame, keys: list[str], t: str,
 MODES = {"closed": closed, "expand_clamp": expand_clamp, "expand_strict": expand_strict}
 
 
-def asof(left: DataFrame, right: DataFrame, keys: list[str], t: str, direction: str = "backward") -> DataFrame:
-    """left with match_t: t of right's last row at or before (backward), first at or after (forward), or nearest (ties: the earlier)."""
+def asof(left: DataFrame, right: DataFrame, keys: list[str], t: str, direction: str = "backward", within: float | None = None) -> DataFrame:
+    """left with match_t: t of right's last row at or before (backward), first at or after (forward), or nearest (ties: the earlier).
+
+    Matches further away than `within` are null.
+    """
     got = _neighbours(right, left, keys, t, t)
     b, a = F.col("__before"), F.col("__after")
     nearest = F.when(b.isNull(), a).when(a.isNull(), b).when(F.col(t) - b <= a - F.col(t), b).otherwise(a)
-    return got.withColumn("match_t", {"backward": b, "forward": a, "nearest": nearest}[direction]).drop("__before", "__after", "__first", "__last")
+    match = {"backward": b, "forward": a, "nearest": nearest}[direction]
+    match = match if within is None else F.when(F.abs(match - F.col(t)) <= within, match)
+    return got.withColumn("match_t", match).drop("__before", "__after", "__first", "__last")
 
 
 def overlap_best(left: DataFrame, right: DataFrame, keys: list[str], a: tuple[str, str], b: tuple[str, str], name: str, width: int) -> DataFrame:
-    """For each left row the right row whose range overlaps: an equal range first, then the shortest, then by name."""
+    """For each left row the right row whose range overlaps: an equal range first, then the shortest, then by name.
+
+    Of right rows with one range only the least by name can win, so these alone are joined; the best of a left row is a running
+    minimum, so pairs are neither sorted nor kept. Equal left rows are one. All columns need an order.
+    """
+    more = [c for c in right.columns if c not in {*keys, *b, name}]
+    other = right.groupBy(*keys, *b).agg(F.min(F.struct(name, *more)).alias("__r")).withColumn("__b", _buckets(F.col(b[0]), F.col(b[1]), width))
     rows = left.withColumn("__id", F.struct(*left.columns)).withColumn("__b", _buckets(F.col(a[0]), F.col(a[1]), width))
-    other = right.withColumn("__b", _buckets(F.col(b[0]), F.col(b[1]), width))
     pairs = rows.join(other, [*keys, "__b"]).where((F.col(a[0]) <= F.col(b[1])) & (F.col(b[0]) <= F.col(a[1])))
-    rank = Window.partitionBy("__id").orderBy(F.desc((F.col(a[0]) == F.col(b[0])) & (F.col(a[1]) == F.col(b[1]))), F.col(b[1]) - F.col(b[0]), F.col(name), F.col("__b"))
-    return pairs.withColumn("__n", F.row_number().over(rank)).where("__n = 1").drop("__n", "__b", "__id")
+    equal = (F.col(a[0]) == F.col(b[0])) & (F.col(a[1]) == F.col(b[1]))
+    rank = F.struct((~equal).alias("x"), (F.col(b[1]) - F.col(b[0])).alias("n"), F.col(f"__r.{name}").alias("name"), F.struct(*b, "__r").alias("r"))
+    best = pairs.groupBy("__id").agg(F.min(rank).alias("__best"))
+    return best.select("__id.*", *[F.col(f"__best.r.{c}") for c in b], F.col(f"__best.r.__r.{name}"), *[F.col(f"__best.r.__r.{c}") for c in more])
 
 
 def positional(left: DataFrame, right: DataFrame, keys: list[str], left_order: list[str], right_order: list[str]) -> DataFrame:

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.packing import numbered
+
 
 def presence(keys: dict[str, DataFrame], key: str) -> DataFrame:
     """key and a 0/1 column for each modality: one aggregate over a union of keys, no chain of joins."""
@@ -38,7 +40,9 @@ def root_report(keys: dict[str, DataFrame], key: str) -> DataFrame:
 def two_set_columns(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """pos, only_in_a, only_in_b, common: three sorted lists side by side, shorter ones filled with ""."""
     rows = presence({"a": a, "b": b}, key).withColumn("kind", F.when(F.col("b") == 0, "only_in_a").when(F.col("a") == 0, "only_in_b").otherwise("common"))
-    rows = rows.withColumn("pos", F.row_number().over(Window.partitionBy("kind").orderBy(key)))
+    rows = numbered(rows.withColumn("__by", F.struct("kind", key)), "__by").drop("__by")
+    first = rows.groupBy("kind").agg(F.min("__pos").alias("__first"))  # three rows at most
+    rows = rows.join(F.broadcast(first), "kind").withColumn("pos", (F.col("__pos") - F.col("__first") + 1).cast("int"))
     text = F.col(key).cast("string")
     return rows.groupBy("pos").agg(*[F.coalesce(F.max(F.when(F.col("kind") == k, text)), F.lit("")).alias(k) for k in ("only_in_a", "only_in_b", "common")])
 

@@ -70,13 +70,13 @@ CELLS = ", ".join(f"count(*) FILTER (light = '{a}' AND pos = '{b}') AS {a}_{b}"
 
 @query(f"SELECT replace(lower(trim(action)), ' ', '_') AS tier3, count(*) AS total, {CELLS}, count(*) FILTER (NOT (light IN ('A','N','R') AND pos IN ('F','O'))) AS unknown_unknown FROM {SEG} GROUP BY 1")
 def tier_joint_counts(spark, d):
-    df = segments(spark, d).withColumn("tier3", names.norm_name(F.col("action")))
+    df = segments(spark, d).withColumn("tier3", names.one_form(F.col("action")))
     return hierarchy.joint_counts(df, "tier3", "light", "pos", ("A", "N", "R"), ("F", "O"))
 
 
 @query(f"SELECT 'tier1' AS tier, split_part(action, ' ', 1) AS label, count(*) AS n FROM {SEG} GROUP BY ALL UNION ALL SELECT 'tier3', replace(action, ' ', '_'), count(*) FROM {SEG} GROUP BY ALL")
 def tier_grouping_sets(spark, d):
-    df = segments(spark, d).withColumns({"tier1": names.tier1(F.col("action")), "tier3": names.norm_name(F.col("action"))})
+    df = segments(spark, d).withColumns({"tier1": names.tier1(F.col("action")), "tier3": names.one_form(F.col("action"))})
     return hierarchy.tier_counts(df, ("tier1", "tier3"))
 
 
@@ -115,9 +115,10 @@ def distinct_groups_per_label(spark, d):
     return hierarchy.groups_per_label(segments(spark, d), "action", "run")
 
 
-@query(f"WITH t AS (SELECT action, {SPLIT_SQL} AS split FROM {SEG} WHERE run % 37 = 0), l AS (SELECT DISTINCT action FROM t), s(split) AS (VALUES ('train'), ('val'), ('test')) SELECT split, action FROM l CROSS JOIN s EXCEPT SELECT split, action FROM t")
+@query(f"WITH t AS (SELECT l_partkey AS label, {SPLIT_SQL} AS split FROM (SELECT l_partkey, l_orderkey % 360 AS run FROM lineitem)), l AS (SELECT DISTINCT label FROM t), s(split) AS (VALUES ('train'), ('val'), ('test')) SELECT split, label FROM l CROSS JOIN s EXCEPT SELECT split, label FROM t")
 def missing_labels_per_split(spark, d):
-    return hierarchy.missing_labels(segments(spark, d).withColumn("split", split_of_run()).where("run % 37 = 0"), "action", "split")
+    rows = table(spark, d, "lineitem").select(F.col("l_partkey").alias("label"), (F.col("l_orderkey") % 360).alias("run"))
+    return hierarchy.missing_labels(rows.withColumn("split", split_of_run()), "label", "split")
 
 
 @query("WITH c AS (SELECT l_orderkey % 360 AS run, l_returnflag AS light, l_linestatus AS pos, count(*) AS n, min(l_orderkey * 10 + l_linenumber) AS f FROM lineitem GROUP BY ALL) SELECT run, light, pos, n FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY n DESC, f, light, pos) AS k FROM c) WHERE k = 1")
@@ -230,13 +231,13 @@ def asof_nearest(spark, d):
 @query("""
 WITH l AS (SELECT o_orderkey, o_custkey AS cust, o_orderkey % 40 AS a0, o_orderkey % 40 + o_custkey % 5 AS a1 FROM orders),
 r AS (SELECT l_orderkey AS ok, min(l_linenumber) + l_orderkey % 30 AS b0, max(l_linenumber) + l_orderkey % 33 + 3 AS b1 FROM lineitem GROUP BY l_orderkey)
-SELECT o_orderkey, ok FROM (SELECT o_orderkey, ok, row_number() OVER (PARTITION BY o_orderkey ORDER BY (a0 = b0 AND a1 = b1) DESC, b1 - b0, ok) AS k FROM l JOIN (SELECT *, ok // 100 AS g FROM r) r ON l.o_orderkey // 100 = g AND a0 <= b1 AND b0 <= a1) WHERE k = 1""")
+SELECT o_orderkey, ok FROM (SELECT o_orderkey, ok, row_number() OVER (PARTITION BY o_orderkey ORDER BY (a0 = b0 AND a1 = b1) DESC, b1 - b0, ok) AS k FROM l JOIN (SELECT *, ok % 500 AS g FROM r) r ON l.o_orderkey % 500 = g AND a0 <= b1 AND b0 <= a1) WHERE k = 1""")
 def range_overlap_best(spark, d):
     key = F.col("o_orderkey")
-    left = table(spark, d, "orders").select(key, F.floor(key / 100).alias("g"), (key % 40).alias("a0"), (key % 40 + F.col("o_custkey") % 5).alias("a1"))
+    left = table(spark, d, "orders").select(key, (key % 500).alias("g"), (key % 40).alias("a0"), (key % 40 + F.col("o_custkey") % 5).alias("a1"))
     k = F.col("l_orderkey")
     right = table(spark, d, "lineitem").groupBy(k.alias("ok")).agg(F.min("l_linenumber").alias("lo"), F.max("l_linenumber").alias("hi"))
-    right = right.select("ok", F.floor(F.col("ok") / 100).alias("g"), (F.col("lo") + F.col("ok") % 30).alias("b0"), (F.col("hi") + F.col("ok") % 33 + 3).alias("b1"))
+    right = right.select("ok", (F.col("ok") % 500).alias("g"), (F.col("lo") + F.col("ok") % 30).alias("b0"), (F.col("hi") + F.col("ok") % 33 + 3).alias("b1"))
     return intervals.overlap_best(left, right, ["g"], ("a0", "a1"), ("b0", "b1"), "ok", 16).select("o_orderkey", "ok")
 
 
@@ -530,16 +531,16 @@ def pad_to_max(spark, d):
 
 @query(f"SELECT event_type, user_id, round((value - lo) / (hi - lo), 6) AS u, greatest(least((value - lo) / (hi - lo), 1), 0) * 255 // 1 AS b FROM (SELECT *, min(value) OVER (PARTITION BY event_type) AS lo, max(value) OVER (PARTITION BY event_type) AS hi FROM {EV})".replace("greatest(least((value - lo) / (hi - lo), 1), 0) * 255 // 1 AS b", "floor(greatest(least((value - lo) / (hi - lo), 1), 0) * 255)::INT AS b"))
 def range_normalise(spark, d):
-    w = Window.partitionBy("event_type")
-    lo, hi = F.min("value").over(w), F.max("value").over(w)
-    df = events(spark, d).withColumns({"lo": lo, "hi": hi})
+    df = events(spark, d)
+    ends = df.groupBy("event_type").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    df = df.join(ends.withColumnRenamed("event_type", "__type"), F.col("event_type").eqNullSafe(F.col("__type")))
     return df.select("event_type", "user_id", r6(numeric.unit_range(F.col("value"), F.col("lo"), F.col("hi"))).alias("u"), numeric.clip_to_byte(F.col("value"), F.col("lo"), F.col("hi")).alias("b"))
 
 
-@query(f"SELECT event_type, round(quantile_cont(value, 0.01), 6) AS p1, round(quantile_cont(value, 0.99), 6) AS p99 FROM {EV} WHERE event_id % 4 = 0 GROUP BY 1")
+@query(f"SELECT event_type, round(quantile_cont(value, 0.01), 6) AS p1, round(quantile_cont(value, 0.99), 6) AS p99 FROM {EV} GROUP BY 1")
 def percentile_range(spark, d):
     p = F.percentile("value", F.array(F.lit(0.01), F.lit(0.99)))
-    return events(spark, d).where("event_id % 4 = 0").groupBy("event_type").agg(p.alias("p")).select("event_type", r6(F.get("p", F.lit(0))).alias("p1"), r6(F.get("p", F.lit(1))).alias("p99"))
+    return events(spark, d).groupBy("event_type").agg(p.alias("p")).select("event_type", r6(F.get("p", F.lit(0))).alias("p1"), r6(F.get("p", F.lit(1))).alias("p99"))
 
 
 @query(f"SELECT us // {6 * HOUR} AS win, floor(value / 10)::INT AS x, (user_id % 8)::INT AS y, arg_max(event_type, us) AS event_type, count(*) AS n FROM {EV} GROUP BY ALL")
@@ -625,10 +626,10 @@ def resume_skip(spark, d):
     return quality.not_done(table(spark, d, "documents").select("doc_id"), log, "doc_id", "status")
 
 
-@query("SELECT l_orderkey, l_linenumber, coalesce(n_name, 'failed') AS light, count(*) AS n FROM lineitem LEFT JOIN (SELECT n_nationkey, n_name FROM nation WHERE n_nationkey < 20) ON l_suppkey % 25 = n_nationkey GROUP BY ALL")
+@query("SELECT l_orderkey, l_linenumber, coalesce(n_name, 'failed') AS light, count(*) AS n FROM lineitem LEFT JOIN nation ON l_suppkey % 30 = n_nationkey GROUP BY ALL")
 def run_light_join(spark, d):
-    mapping = table(spark, d, "nation").where("n_nationkey < 20").select("n_nationkey", "n_name")  # one row a run: a small dimension
-    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_suppkey") % 25).alias("run"))
+    mapping = table(spark, d, "nation").select("n_nationkey", "n_name")  # one row a run: a small dimension
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_suppkey") % 30).alias("run"))  # runs 25 to 29 have no light
     return rows.join(mapping, F.col("run") == F.col("n_nationkey"), "left").groupBy("l_orderkey", "l_linenumber", F.coalesce("n_name", F.lit("failed")).alias("light")).agg(F.count("*").alias("n"))
 
 

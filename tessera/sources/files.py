@@ -49,7 +49,7 @@ def segments(files: DataFrame, root: str, persons: tuple[str, ...] | None = None
         rows = rows.where(~F.col("segment").isin(*ignore_segments))
     base = names.without_npy(F.col("segment"))
     return rows.withColumns({
-        "tier1": names.tier1(F.col("action")), "tier2": names.tier2(F.col("action")), "tier3": names.norm_name(F.col("action")), "run_token": names.run_token(base),
+        "tier1": names.tier1(F.col("action")), "tier2": names.tier2(F.col("action")), "tier3": names.one_form(F.col("action")), "run_token": names.run_token(base),
         "lighting": names.lighting(base), "pos": names.position(base), "group_uid": names.group_uid(F.col("person"), names.run_token(base)), "key": names.split_key(F.col("person"), F.col("action"), F.col("segment")),
     })
 
