@@ -92,7 +92,7 @@ def preferred(files: DataFrame, group: str, path: str, first: str = "clip.npy")
 
 def whole_texts(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """file, text (without a byte order mark) of small files."""
-    df = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(path)
+    df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(path, wholetext=True)
     return df.select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", "^\\ufeff", "").alias("text"))
 
 

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import io
+import json
 import tarfile
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,13 +23,83 @@ def csv_text(df: DataFrame, order: list, most: int = 100_000, bom: bool = False)
     return ("﻿" if bom else "") + rows.to_csv(index=False)
 
 
-def split_json(samples: DataFrame, path: str, split: str = "split") -> None:
-    """One JSON line a sample, in a folder for each split."""
-    samples.write.mode("overwrite").partitionBy(split).json(path)
+def _streamed(rows: DataFrame, path: str, file: str, order: list[str], begin: Callable, put: Callable, end: Callable) -> DataFrame:
+    """Writes one file a value of `file` in the folder `path` (any that pyarrow.fs opens): its rows go by in order, one at a time.
+
+    A file is written aside and moved into place when it is whole, so a retried task leaves no half file. The result (file, n, bytes)
+    is computed when it is read: each run writes.
+    """
+    kind = rows.schema[file].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = pafs.FileSystem.from_uri(path)
+        fs.create_dir(base, recursive=True)
+        now = None
+
+        def close() -> pa.RecordBatch:
+            name, aside, out, state, n = now
+            end(state, out, n)
+            size = out.tell()
+            out.close()
+            fs.move(aside, f"{base}/{name}")
+            return pa.RecordBatch.from_pylist([{file: name, "n": n, "bytes": size}])
+
+        for b in batches:
+            for at in range(b.num_rows):
+                row = b.slice(at, 1).to_pylist()[0]
+                if now is None or now[0] != row[file]:
+                    if now is not None:
+                        yield close()
+                    aside = f"{base}/.{uuid.uuid4().hex}.part"
+                    out = fs.open_output_stream(aside)
+                    now = [row[file], aside, out, begin(out), 0]
+                put(now[3], now[2], row, now[4])
+                now[4] += 1
+        if now is not None:
+            yield close()
+
+    return rows.repartition(file).sortWithinPartitions(file, *order).mapInArrow(run, f"{file} {kind}, n long, bytes long")
+
+
+def tar_files(members: DataFrame, path: str, shard: str = "shard", key: str = "key", member: str = "member", content: str = "content") -> DataFrame:
+    """shard (the file's name), n, bytes: tar files of any size, members by key and name; a member without content becomes an .ERR.txt note."""
+
+    def put(tar: tarfile.TarFile, out, row: dict, n: int) -> None:
+        name, data = (row[member], row[content]) if row[content] is not None else (f"{row[key]}.ERR.{row[member]}.txt", b"missing")
+        info = tarfile.TarInfo(name)
+        info.size = len(data)
+        tar.addfile(info, io.BytesIO(data))
+
+    return _streamed(members.select(shard, key, member, content), path, shard, [key, member], lambda out: tarfile.open(fileobj=out, mode="w|"), put, lambda tar, out, n: tar.close())
+
+
+def _json_object(rows: DataFrame, path: str, file: str, key: str, entry: str, head: str, tail: str) -> DataFrame:
+    def put(_, out, row: dict, n: int) -> None:
+        out.write(f"{',' if n else ''}\n{json.dumps(row[key], ensure_ascii=False)}: {row[entry]}".encode())
+
+    return _streamed(rows.select(file, key, entry), path, file, [key], lambda out: out.write(head.encode()), put, lambda _, out, n: out.write(f"\n{tail}".encode()))
+
+
+def split_json(samples: DataFrame, path: str, split: str = "split", key: str = "key", entry: str = "entry", meta: dict | None = None) -> DataFrame:
+    """file, n, bytes: <split>.json with {"__meta__": ..., "samples": {key: entry}} for each split; entries are JSON text. files.split_samples reads them."""
+    head = f'{{"__meta__": {json.dumps(meta or {}, ensure_ascii=False)}, "samples": {{'
+    return _json_object(samples.withColumn("file", F.concat(F.col(split), F.lit(".json"))), path, "file", key, entry, head, "}}")
+
+
+def camera_json(frames: DataFrame, path: str, cam: str = "cam", key: str = "key") -> DataFrame:
+    """file, n, bytes: cam_<cam>.json with one object, key -> the other columns, for each camera. files.cameras reads them."""
+    rest = F.to_json(F.struct(cam, *[c for c in frames.columns if c not in (cam, key)]))
+    rows = frames.select(F.concat(F.lit("cam_"), F.col(cam), F.lit(".json")).alias("file"), F.col(key), rest.alias("entry"))
+    return _json_object(rows, path, "file", key, "entry", "{", "}")
 
 
-def camera_json(frames: DataFrame, path: str, cam: str = "cam") -> None:
-    frames.write.mode("overwrite").partitionBy(cam).json(path)
+def text_file(text: str, path: str) -> None:
+    """A small report, written aside and moved into place."""
+    fs, at = pafs.FileSystem.from_uri(path)
+    fs.create_dir(at.rpartition("/")[0], recursive=True)
+    with fs.open_output_stream(f"{at}.part") as out:
+        out.write(text.encode())
+    fs.move(f"{at}.part", at)
 
 
 def append_lines(df: DataFrame, path: str) -> None:
@@ -45,7 +119,7 @@ def sample_csv(df: DataFrame) -> DataFrame:
 def tar_shards(members: DataFrame, shard: str = "shard", key: str = "key", member: str = "member", content: str = "content") -> DataFrame:
     """shard, tar (bytes), n_members: one tar file a shard, members by key and name; a member without content becomes an .ERR.txt note.
 
-    A shard is bounded by the planner's byte limit, and one task builds one shard at a time.
+    For shards that fit a value; tar_files writes files of any size.
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -2,12 +2,14 @@
 
 import itertools
 import random
+import tarfile
 
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import names, numeric, timeparse
 from tessera.operators import intervals, packing, quality
+from tessera.sources import files, sinks
 
 
 def column(spark, values, expr, kind="string"):
@@ -64,3 +66,28 @@ def test_numbered(spark):
 
 def test_list_literal(spark):
     assert column(spark, ["[1, 2.5, -3]", "[]", None], numeric.list_literal)[0] == [1.0, 2.5, -3.0]
+
+
+def test_tar_files(spark, tmp_path):
+    rows = [(f"s{i % 3}.tar", f"k{i % 5}", f"k{i % 5}.m{i}.bin", None if i == 7 else bytes([i]) * (600 * i)) for i in range(20)]
+    df = spark.createDataFrame(rows, "shard string, key string, member string, content binary")
+    made = {r.shard: r for r in sinks.tar_files(df, str(tmp_path / "tars")).collect()}
+    assert set(made) == {"s0.tar", "s1.tar", "s2.tar"} and sorted(x.name for x in (tmp_path / "tars").iterdir() if not x.name.startswith(".")) == sorted(made)
+    for name, r in made.items():
+        with tarfile.open(tmp_path / "tars" / name) as tar:
+            got = [(m.name, tar.extractfile(m).read()) for m in tar]
+        want = [(m, c) if c is not None else (f"{k}.ERR.{m}.txt", b"missing") for _, k, m, c in sorted(x for x in rows if x[0] == name)]
+        assert got == want and r.n == len(want) and r.bytes == (tmp_path / "tars" / name).stat().st_size
+
+
+def test_split_and_camera_json_round_trips(spark, tmp_path):
+    samples = spark.createDataFrame([("train", "a", '{"x": 1}'), ("train", "b", '{"x": 2}'), ("val", "é", "[3]")], "split string, key string, entry string")
+    assert sorted((r.file, r.n) for r in sinks.split_json(samples, str(tmp_path / "split"), meta={"seed": 1}).collect()) == [("train.json", 2), ("val.json", 1)]
+    back = {(r.file.rsplit("/", 1)[-1], r.key): r.entry for r in files.split_samples(spark, str(tmp_path / "split")).collect()}
+    assert {k: v.replace(" ", "") for k, v in back.items()} == {("train.json", "a"): '{"x":1}', ("train.json", "b"): '{"x":2}', ("val.json", "é"): "[3]"}
+    frames = spark.createDataFrame([("c0", "k1", ["a.jpg", "b.jpg"], 2, "d"), ("c1", "k1", ["z.jpg"], 1, "e"), ("c1", "k2", [], 0, "f")], "cam string, key string, frames array<string>, n_frames int, frame_dir string")
+    assert sinks.camera_json(frames, str(tmp_path / "cams")).count() == 2
+    got = {r.key: {c: (e.frames, e.n_frames) for c, e in r.cams.items()} for r in files.cameras(spark, str(tmp_path / "cams")).collect()}
+    assert got == {"k1": {"c0": (["a.jpg", "b.jpg"], 2), "c1": (["z.jpg"], 1)}}
+    sinks.text_file("n: 3\n", str(tmp_path / "reports" / "r.txt"))
+    assert (tmp_path / "reports" / "r.txt").read_text() == "n: 3\n"
