@@ -33,13 +33,13 @@ from .common import dropped, map_arrow, most_frequent, stored, words
 
 ROUNDS, GROUP, FAN = 3, 1_000_000, 64
 #: Positions of a step of descent, and of a block that is scored.
-STEP, BLOCK = 4096, 8192
+STEP, BLOCK = 8192, 8192
 TOKENS = "row long, doc_id long, n_words long, ids binary, inside double, rare array<string>"
 
 
 @dataclass(frozen=True)
 class Shape:
-    classes: int = 32
+    classes: int = 16
     size: int = 128
     buckets: int = 32
     reach: int = 2
@@ -320,7 +320,7 @@ def pseudo_likelihood(docs: DataFrame, shape: Shape = Shape(), id_col: str = "do
     """Trains on docs and scores them: doc_id, n_words, log_probability (of the words themselves), per_word."""
     counts = stored(word_counts(docs, text_col), "word-counts")
     frequent, each = frequent_words(counts, shape)
-    table = shares(counts, frequent, shape)
+    table = stored(shares(counts, frequent, shape), "shares", counts)
     rows = stored(tokens(docs, table, frequent, shape, hot, id_col, text_col), "token-ids")
     weights = train(rows, shape, unigrams(each, shape))
     far = rows.select("row", F.explode("rare").alias("w")).join(table.select("w", "inside"), "w")
