@@ -133,18 +133,36 @@ def sanitize_key(c: Column) -> Column:
 
 
 def safe_key(style: str, original: Column, person: Column, action: Column, segment: Column) -> Column:
-    """style: person_action_segment (parts missing: the original key), or sanitize_only."""
-    whole = F.when((F.coalesce(person, F.lit("")) != "") & (F.coalesce(action, F.lit("")) != "") & (F.coalesce(segment, F.lit("")) != ""), F.concat_ws("_", person, action, segment))
-    styles = {"person_action_segment": F.coalesce(whole, original), "sanitize_only": original}
-    return sanitize_key(styles[style])
+    """style: sanitize_only, or person_action_segment, where a missing part is that of the original key (its first token, its second, the rest), else UNKNOWN."""
+    if style == "sanitize_only":
+        return sanitize_key(original)
+    if style != "person_action_segment":
+        raise ValueError(f"unknown style {style!r}")
+    t = F.filter(F.split(sanitize_key(F.coalesce(original, F.lit(""))), "_"), lambda x: x != "")
+    inferred = (F.get(t, F.lit(0)), F.get(t, F.lit(1)), F.nullif(F.array_join(F.slice(t, F.lit(3), F.greatest(F.size(t) - 2, F.lit(0))), "_"), F.lit("")))
+    unknown = ("UNKNOWN", "UNKNOWN_ACTION", "UNKNOWN_SEGMENT")
+    return F.concat_ws("_", *[sanitize_key(F.coalesce(F.nullif(given, F.lit("")), part, F.lit(none))) for given, part, none in zip((person, action, segment), inferred, unknown, strict=True)])
 
 
 def run_range(c: Column, style: str = "camera") -> Column:
-    """struct<a, b> with a <= b. camera: run_a or run_a-b; armband: run-a_emg or run-a-b_emg."""
+    """struct<a, b, first> with a <= b, first as the name has it. camera: run_a or run_a-b; armband: run-a_emg or run-a-b_emg."""
     pattern = {"camera": r"^run_(\d+)(?:-(\d+))?$", "armband": r"run-(\d+)(?:-(\d+))?_emg"}[style]
     a = F.nullif(F.regexp_extract(c, pattern, 1), F.lit("")).cast("int")
     b = F.coalesce(F.nullif(F.regexp_extract(c, pattern, 2), F.lit("")).cast("int"), a)
-    return F.struct(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+    return F.struct(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"), a.alias("first"))
+
+
+# Which folder names are runs, for each kind of recording.
+RUN_FOLDERS = {
+    "camera": r"(?i)(?:^|_)run[-_]\d+(?:[-_]\d+)?$",
+    "lidar": r"^run_",
+    "copy": r"^run_(?:.*_)?\d+$",
+    "depth": r"^run_\d+(?:_\d+)?$",
+}
+
+
+def is_run_folder(name: Column, kind: str) -> Column:
+    return name.rlike(RUN_FOLDERS[kind])
 
 
 def run_key(c: Column) -> Column:

@@ -64,6 +64,19 @@ def any_to_micros(text: Column) -> Column:
     return F.coalesce(micros(stamp(text)), F.when(number.contains("."), F.rint(number.try_cast("double") * 1e6).cast("long")), whole)
 
 
+def normalised(text: Column, zone: str | None = None) -> Column:
+    """Microseconds since 1970 of a number of seconds, a stamp, or an ISO date and time (both local to zone, or UTC); null for others."""
+    local = F.coalesce(F.when(text.rlike(f"^(?:{STAMP})$"), stamp(text)), F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}([ T]|$)"), text).try_cast("timestamp_ntz"))
+    number = F.when(text.rlike(r"^\s*-?\d+(\.\d+)?([eE][+-]?\d+)?\s*$"), text).try_cast("double")
+    return F.coalesce(F.rint(number * 1e6).cast("long"), micros(F.convert_timezone(F.lit(zone), F.lit("UTC"), local) if zone else local))
+
+
+def strict_micros(text: Column, zone: str | None = None) -> Column:
+    """As normalised, but a text that is none of these is an error that shows it; null stays null."""
+    us = normalised(text, zone)
+    return F.when(text.isNull() | us.isNotNull(), us).otherwise(F.raise_error(F.concat(F.lit("not a time: "), text)).cast("long"))
+
+
 def format_stamp(us: Column, zone: str | None = None) -> Column:
     """Microseconds since 1970 as a file name stamp, in zone or UTC."""
     ts = from_micros(us)

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions import names
 from tessera.operators.packing import numbered
 
 
@@ -83,6 +84,19 @@ def rename_plan(segments: DataFrame, old: str, new: Column, parent: str) -> Data
     return rows.withColumns({"new_name": unique_name(F.col("__new"), F.col("__n")), "status": status}).drop("__new", "__n")
 
 
+def mapped_positions(segments: DataFrame, mapping: DataFrame, subject: str, segment: str) -> DataFrame:
+    """segments with run, emg_pos and new_name by the mapping of (subject, run) to emg_pos; those without a mapping or a run are left out."""
+    rows = segments.withColumn("run", names.first_run(F.col(segment)))
+    return rows.join(mapping.select(subject, "run", "emg_pos"), [subject, "run"]).withColumn("new_name", names.with_position(F.col(segment), F.col("emg_pos")))
+
+
+def by_run_number(a: DataFrame, b: DataFrame, name: str, path: str, styles: tuple[str, str] = ("camera", "armband")) -> DataFrame:
+    """a with path of b's run of the same numbers; of several the least path. Names that aren't runs match nothing."""
+    of = lambda df, style: df.withColumn("__r", names.run_range(F.col(name), style)).withColumns({"run_a": F.col("__r.a"), "run_b": F.col("__r.b")}).drop("__r")
+    other = of(b, styles[1]).where("run_a is not null").groupBy("run_a", "run_b").agg(F.min(path).alias(path))
+    return of(a, styles[0]).join(other, ["run_a", "run_b"])
+
+
 def not_first_counters(rows: DataFrame, counter: str, order: str, drop: int = 2) -> DataFrame:
     """rows whose counter isn't among the first `drop` distinct ones to appear."""
     first = rows.groupBy(counter).agg(F.min(order).alias("__o")).orderBy("__o").limit(drop).select(counter)

@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import names, numeric, timeparse
-from tessera.operators import align, dsp, frames, hierarchy, intervals, packing, quality, signals, split
+from tessera.operators import align, dsp, frames, hierarchy, intervals, packing, quality, samples, signals, split
 from tessera.plans import motion
+from tessera.sources import files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -76,7 +77,7 @@ def tier_joint_counts(spark, d):
 
 @query(f"SELECT 'tier1' AS tier, split_part(action, ' ', 1) AS label, count(*) AS n FROM {SEG} GROUP BY ALL UNION ALL SELECT 'tier3', replace(action, ' ', '_'), count(*) FROM {SEG} GROUP BY ALL")
 def tier_grouping_sets(spark, d):
-    df = segments(spark, d).withColumns({"tier1": names.tier1(F.col("action")), "tier3": names.one_form(F.col("action"))})
+    df = hierarchy.with_tiers(segments(spark, d), "action")
     return hierarchy.tier_counts(df, ("tier1", "tier3"))
 
 
@@ -854,3 +855,189 @@ SELECT 'l_quantity' AS name, l_quantity::DOUBLE AS value, min(l_orderkey) AS fir
 UNION ALL SELECT 'l_discount', l_discount::DOUBLE, min(l_orderkey), count(*) FROM lineitem GROUP BY 2""")
 def parameter_sets(spark, d):
     return frames.parameter_sets(table(spark, d, "lineitem"), ["l_quantity", "l_discount"], "l_orderkey")
+
+
+# --- samples over several modalities: a conversation is a sample, its turns are files of four modalities
+FILE_KIND = "CASE turn % 4 WHEN 0 THEN 'rgb' WHEN 1 THEN 'lidar' WHEN 2 THEN 'depth' ELSE 'mindrove' END"
+FILES = f"(SELECT conv_id, {FILE_KIND} AS modality, CASE WHEN turn % 4 = 1 THEN NULL ELSE role END AS part, CASE WHEN turn % 12 = 7 THEN 'x/clip.npy' ELSE 'x/' || lpad(turn::VARCHAR, 4, '0') || '.JPG' END AS path FROM conversations)"
+INDEX = f"(SELECT conv_id, modality, part, CASE WHEN modality IN ('rgb', 'depth') THEN list(path ORDER BY path) ELSE [arg_min(path, (path NOT LIKE '%/clip.npy')::INT::VARCHAR || path)] END AS files FROM {FILES} GROUP BY conv_id, modality, part)"
+
+
+def _sample_files(spark, d):
+    kind = F.get(F.array(*map(F.lit, ("rgb", "lidar", "depth", "mindrove"))), (F.col("turn") % 4).cast("int"))
+    path = F.when(F.col("turn") % 12 == 7, "x/clip.npy").otherwise(F.concat(F.lit("x/"), F.lpad(F.col("turn").cast("string"), 4, "0"), F.lit(".JPG")))
+    return table(spark, d, "conversations").select("conv_id", kind.alias("modality"), F.col("role").alias("part"), path.alias("path"))
+
+
+@query(f"SELECT conv_id, modality, part, array_to_string(files, ';') AS files FROM {INDEX}")
+def modality_index(spark, d):
+    return samples.modality_index(_sample_files(spark, d), "conv_id", "modality", "part", "path").withColumn("files", F.array_join("files", ";"))
+
+
+@query(f"""
+WITH k AS (SELECT conv_id, CASE WHEN modality = 'mindrove' THEN 'emg' ELSE modality END AS m, part, files FROM {INDEX} WHERE modality <> 'depth' AND (modality <> 'rgb' OR part = 'user')),
+e AS (SELECT conv_id, m, part, unnest(files) AS path, generate_subscripts(files, 1) - 1 AS i FROM k),
+h AS (SELECT conv_id, list_sort(list(DISTINCT m)) AS has FROM k GROUP BY 1)
+SELECT conv_id, m AS modality, conv_id || '.' || m || coalesce('_' || part, '') || CASE WHEN m = 'rgb' THEN '.' || lpad(i::VARCHAR, 6, '0') || lower(regexp_extract(path, '[.][^./]+$')) ELSE '.npy' END AS member, path, NULL::VARCHAR AS content FROM e
+UNION ALL SELECT conv_id, NULL, conv_id || '.labels.json', NULL, '{{"prefix":"' || conv_id || '","label_1":"","label_2":""}}' FROM h
+UNION ALL SELECT conv_id, NULL, conv_id || '.meta.json', NULL, '{{"has":["' || array_to_string(has, '","') || '"]}}' FROM h""")
+def sample_members(spark, d):
+    index = samples.modality_index(_sample_files(spark, d), "conv_id", "modality", "part", "path")
+    return samples.members(samples.chosen(index, "modality", ["rgb", "lidar", "emg", "sound"], ["cam_user"], ("rgb",)), "conv_id", "modality")
+
+
+@query("SELECT conv_id % 4 AS shard, conv_id::VARCHAR AS key, string_agg(conv_id || '.' || turn || '.txt', ';' ORDER BY conv_id || '.' || turn || '.txt') AS members FROM conversations GROUP BY ALL")
+def member_index(spark, d):
+    rows = table(spark, d, "conversations").select((F.col("conv_id") % 4).alias("shard"), F.concat("conv_id", F.lit("."), "turn", F.lit(".txt")).alias("member"))
+    return packing.member_index(rows, "shard", "member").withColumn("members", F.array_join("members", ";"))
+
+
+@query("SELECT conv_id, count(*) FILTER (role = 'user') AS n_user FROM conversations GROUP BY 1")
+def camera_selection(spark, d):
+    cams = packing.camera_map(table(spark, d, "conversations"), "conv_id", "role", "turn")
+    kept = cams.select("conv_id", packing.camera_filter(F.col("cams"), ["cam_user"]).alias("c"))
+    return kept.select("conv_id", F.coalesce(F.try_element_at("c", F.lit("user"))["n_frames"], F.lit(0)).cast("long").alias("n_user"))
+
+
+# --- runs: an order is a run of a customer
+RUN_NUMBER = "o_orderkey % 40"
+
+
+@query(f"""
+WITH g AS (SELECT person || '::run_' || run AS group_uid, person, CASE WHEN run = 7 THEN 'run_UNKNOWN' ELSE 'run_' || run END AS run_token, {SPLIT_SQL} AS split, count(*) AS n_segments FROM {SEG} GROUP BY ALL)
+SELECT row_number() OVER (ORDER BY person, coalesce(try_cast(regexp_extract(run_token, '^run_([0-9]+)$', 1) AS INT), 1000000000), run_token, group_uid) - 1 AS pos, * FROM g""")
+def run_split_map(spark, d):
+    token = F.when(F.col("run") == 7, "run_UNKNOWN").otherwise(F.concat(F.lit("run_"), "run"))
+    rows = segments(spark, d).select("person", token.alias("run_token"), F.concat("person", F.lit("::run_"), "run").alias("group_uid"), split_of_run().alias("split"))
+    return samples.run_map(rows, "person", "run_token", "group_uid", "split")
+
+
+@query(f"SELECT split, count(*) AS n FROM {SEG} JOIN ({G01.format(cond=COND)}) USING (run) GROUP BY 1")
+def segments_by_run_split(spark, d):
+    return split.apply_runs(segments(spark, d), stratified_run_split(spark, d), ["run"]).groupBy("split").agg(F.count("*").alias("n"))
+
+
+@query("""
+WITH r AS (SELECT o_orderkey, o_custkey % 4 AS subject, o_orderkey % 30 AS run FROM orders), m AS (SELECT n_nationkey % 4 AS subject, n_nationkey AS run, CASE WHEN n_nationkey % 2 = 0 THEN 'mid' ELSE 'elbow' END AS emg_pos FROM nation)
+SELECT o_orderkey, run::INT AS run, emg_pos, 'run_' || run || '_clip_1' || CASE WHEN run % 3 = 0 THEN '_mid' ELSE '_' || emg_pos END AS new_name FROM r JOIN m USING (subject, run)""")
+def position_mapping_join(spark, d):
+    name = F.concat(F.lit("run_"), F.col("o_orderkey") % 30, F.lit("_clip_1"), F.when(F.col("o_orderkey") % 30 % 3 == 0, "_mid").otherwise(""))
+    rows = table(spark, d, "orders").select("o_orderkey", (F.col("o_custkey") % 4).alias("subject"), name.alias("segment"))
+    mapping = table(spark, d, "nation").select((F.col("n_nationkey") % 4).cast("long").alias("subject"), F.col("n_nationkey").alias("run"), F.when(F.col("n_nationkey") % 2 == 0, "mid").otherwise("elbow").alias("emg_pos"))
+    return quality.mapped_positions(rows, mapping, "subject", "segment").select("o_orderkey", "run", "emg_pos", "new_name")
+
+
+@query("""
+WITH b AS (SELECT least(c_custkey % 20, c_nationkey) AS a, greatest(c_custkey % 20, c_nationkey) AS b, min(c_name) AS path FROM customer GROUP BY ALL)
+SELECT s_suppkey, path FROM supplier JOIN b ON b.a = least(s_suppkey % 20, s_nationkey) AND b.b = greatest(s_suppkey % 20, s_nationkey)""")
+def run_number_join(spark, d):
+    a = table(spark, d, "supplier").select("s_suppkey", F.concat(F.lit("run_"), F.col("s_suppkey") % 20, F.lit("-"), "s_nationkey").alias("name"))
+    b = table(spark, d, "customer").select(F.col("c_name").alias("path"), F.concat(F.lit("run-"), F.col("c_custkey") % 20, F.lit("-"), "c_nationkey", F.lit("_emg")).alias("name"))
+    return quality.by_run_number(a, b, "name", "path").select("s_suppkey", "path")
+
+
+@query("""
+WITH n AS (SELECT o_custkey AS folder, o_orderkey % 50 AS a, o_orderkey // 7 % 50 AS b, o_orderkey % 5 AS k FROM orders),
+f AS (SELECT folder, 'N_run_' || a || CASE WHEN k = 1 THEN '' ELSE '-' || b END || CASE WHEN k = 2 THEN '_annotationlight copy.csv' ELSE '_annotationlight.csv' END AS name, CASE WHEN k = 1 THEN 0 ELSE abs(a - b) END AS span, CASE WHEN k = 1 THEN a ELSE least(a, b) END AS low, k FROM n)
+SELECT folder, name FROM (SELECT *, row_number() OVER (PARTITION BY folder ORDER BY span, low, name) AS r FROM f WHERE k <> 2) WHERE r = 1""")
+def annotation_file_pick(spark, d):
+    k, a = F.col("o_orderkey") % 5, F.col("o_orderkey") % 50
+    name = F.concat(F.lit("N_run_"), a, F.when(k == 1, "").otherwise(F.concat(F.lit("-"), F.floor(F.col("o_orderkey") / 7) % 50)), F.when(k == 2, "_annotationlight copy.csv").otherwise("_annotationlight.csv"))
+    return files.run_annotation(table(spark, d, "orders").select(F.col("o_custkey").alias("folder"), name.alias("name")), "folder", "name")
+
+
+RUN_NAME = "CASE o_orderkey % 6 WHEN 0 THEN 'run_' || o_custkey WHEN 1 THEN 'J_Run-' || o_custkey || '_8' WHEN 2 THEN 'run_a_' || o_custkey WHEN 3 THEN 'run_x' WHEN 4 THEN 'rerun_1' ELSE 'run_' || o_custkey || '_3' END"
+
+
+@query(f"SELECT o_orderkey, n AS name, regexp_matches(n, '(?i)(^|_)run[-_][0-9]+([-_][0-9]+)?$') AS camera, starts_with(n, 'run_') AS lidar, starts_with(n, 'run_') AND regexp_matches(string_split(n, '_')[-1], '^[0-9]+$') AS copy, regexp_full_match(n, 'run_[0-9]+(_[0-9]+)?') AS depth FROM (SELECT o_orderkey, {RUN_NAME} AS n FROM orders)")
+def run_folders(spark, d):
+    c = F.col("o_custkey")
+    forms = [F.concat(F.lit("run_"), c), F.concat(F.lit("J_Run-"), c, F.lit("_8")), F.concat(F.lit("run_a_"), c), F.lit("run_x"), F.lit("rerun_1"), F.concat(F.lit("run_"), c, F.lit("_3"))]
+    rows = table(spark, d, "orders").select("o_orderkey", F.get(F.array(*forms), (F.col("o_orderkey") % 6).cast("int")).alias("name"))
+    return rows.select("*", *[names.is_run_folder(F.col("name"), kind).alias(kind) for kind in names.RUN_FOLDERS])
+
+
+@query("SELECT p_brand, count(*) AS n, array_to_string(list_slice(list_sort(list(DISTINCT p_name)), 1, 10), ';') AS examples FROM part GROUP BY 1")
+def first_examples(spark, d):
+    return samples.examples(table(spark, d, "part"), "p_brand", "p_name", 10).withColumn("examples", F.array_join("examples", ";"))
+
+
+# --- names and times
+SAFE = "trim(regexp_replace(replace(replace({0}, '/', '_'), chr(92), '_'), '[ _]+', '_', 'g'))"
+
+
+@query(f"""
+SELECT p_partkey, {SAFE.format("p_name || '/' || p_type || '//' || p_brand")} AS plain,
+ CASE WHEN p_size % 3 = 0 THEN 'N' ELSE split_part(p_name, ' ', 1) END || '_' || CASE WHEN p_size % 4 = 0 THEN {SAFE.format("p_name")} ELSE split_part(p_name, ' ', 2) END || '_' || {SAFE.format("p_type || '_' || p_brand")} AS full_key
+FROM part""")
+def safe_keys(spark, d):
+    original = F.concat_ws("/", "p_name", "p_type", F.lit(""), "p_brand")
+    person, action = F.when(F.col("p_size") % 3 == 0, "N"), F.when(F.col("p_size") % 4 == 0, F.col("p_name")).otherwise("")
+    return table(spark, d, "part").select("p_partkey", names.safe_key("sanitize_only", original, person, action, F.lit(None)).alias("plain"), names.safe_key("person_action_segment", original, person, action, F.lit(None).cast("string")).alias("full_key"))
+
+
+@query("SELECT page_id, string_split(url, '/')[-2] || '/' || string_split(url, '/')[-3] AS tag FROM pages")
+def run_tags(spark, d):
+    return table(spark, d, "pages").select("page_id", names.run_tag(F.col("url")).alias("tag"))
+
+
+@query("SELECT c_custkey, CASE c_mktsegment WHEN 'FURNITURE' THEN 'F' WHEN 'BUILDING' THEN 'B' ELSE c_mktsegment END || '_' || c_nationkey AS key FROM customer")
+def subject_renames(spark, d):
+    return table(spark, d, "customer").select("c_custkey", F.concat_ws("_", names.renamed(F.col("c_mktsegment"), {"FURNITURE": "F", "BUILDING": "B"}), "c_nationkey").alias("key"))
+
+
+@query("SELECT p_partkey, round(p_size + p_retailprice - 1.5, 6) AS total, 3 AS n FROM part")
+def list_literals(spark, d):
+    text = F.concat(F.lit("["), "p_size", F.lit(", "), "p_retailprice", F.lit(", -1.5]"))
+    a = table(spark, d, "part").select("p_partkey", numeric.list_literal(text).alias("a"))
+    return a.select("p_partkey", r6(numeric.total(F.col("a"))).alias("total"), F.size("a").alias("n"))
+
+
+@query(f"SELECT event_id, 0.5 * (us + lead(us) OVER (PARTITION BY user_id ORDER BY us, event_id)) AS mid, us - min(us) OVER (PARTITION BY user_id) AS since FROM {EV}")
+def interval_midpoints(spark, d):
+    w = Window.partitionBy("user_id")
+    e = events(spark, d).withColumns({"next": F.lead("us").over(w.orderBy("us", "event_id")), "first": F.min("us").over(w)})
+    return e.select("event_id", timeparse.midpoint(F.col("us"), F.col("next")).alias("mid"), (F.col("us") - F.col("first")).alias("since"))
+
+
+ANY_TIME = "CASE event_id % 4 WHEN 0 THEN strftime(make_timestamp(us), '%Y%m%d_%H%M%S_%f') WHEN 1 THEN strftime(make_timestamp(us), '%Y-%m-%dT%H:%M:%S.%f') WHEN 2 THEN (us // 1000000)::VARCHAR ELSE 'x' || us END"
+
+
+@query(f"SELECT event_id, CASE event_id % 4 WHEN 2 THEN us // 1000000 * 1000000 WHEN 3 THEN NULL ELSE us END AS us FROM {EV}")
+def times_of_any_form(spark, d):
+    ts = timeparse.from_micros(F.col("us"))
+    forms = [timeparse.format_stamp(F.col("us")), F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.floor(F.col("us") / 1_000_000).cast("string"), F.concat(F.lit("x"), "us")]
+    rows = events(spark, d).select("event_id", F.get(F.array(*forms), (F.col("event_id") % 4).cast("int")).alias("t"))
+    return rows.select("event_id", timeparse.normalised(F.col("t")).alias("us"))
+
+
+@query(f"SELECT user_id, max(strftime(make_timestamp(us), '%Y%m%d_%H%M%S')) FILTER (event_type <> 'error') AS session FROM {EV} GROUP BY 1 HAVING session IS NOT NULL")
+def latest_sessions(spark, d):
+    name = F.substring(timeparse.format_stamp(F.col("us")), 1, 15)
+    rows = events(spark, d).select("user_id", F.when(F.col("event_type") == "error", F.concat(name, F.lit("_old"))).otherwise(name).alias("session"))
+    return intervals.latest_session(rows, ["user_id"], "session")
+
+
+@query(f"WITH f AS (SELECT event_type FROM {EV} GROUP BY 1 ORDER BY min(us) LIMIT 2) SELECT event_type, count(*) AS n FROM {EV} WHERE event_type NOT IN (FROM f) GROUP BY 1")
+def first_counters_dropped(spark, d):
+    return quality.not_first_counters(events(spark, d), "event_type", "us").groupBy("event_type").agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT event_id, (us >= {BASE} + 3600000000)::INT + (us >= {BASE} + 7200000000)::INT + (us >= {BASE} + 86400000000)::INT AS piece FROM {EV}")
+def piece_numbers(spark, d):
+    cuts = F.array(*[F.lit(BASE + k * HOUR) for k in (1, 2, 24)])
+    return events(spark, d).select("event_id", signals.pieces(F.col("us"), cuts).alias("piece"))
+
+
+@query("SELECT source, CASE WHEN bool_or(doc_id % 50 = 3) THEN min('d' || doc_id || '/clip.npy') FILTER (doc_id % 50 = 3) ELSE min('d' || doc_id || '/a.npy') END AS path, count(*) FILTER (coalesce(length(text), 0) > 0) AS filled FROM documents GROUP BY 1")
+def preferred_files(spark, d):
+    path = F.concat(F.lit("d"), "doc_id", F.when(F.col("doc_id") % 50 == 3, "/clip.npy").otherwise("/a.npy"))
+    rows = table(spark, d, "documents").select("source", path.alias("path"), F.coalesce(F.length("text"), F.lit(0)).alias("length"))
+    full = files.nonempty(rows).groupBy("source").agg(F.count("*").alias("filled"))
+    return files.preferred(rows, "source", "path").join(full.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s")), "left").select("source", "path", F.coalesce("filled", F.lit(0)).alias("filled"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 'depth' ELSE 'rgb' END AS kind FROM part WHERE p_type IN ('ECONOMY', 'PROMO') AND p_size = 10")
+def selected_videos(spark, d):
+    rows = files.selected(table(spark, d, "part"), p_type=["ECONOMY", "PROMO"], p_size=10, p_brand=None)
+    return rows.select("p_partkey", files.video_kind(F.concat("p_name", F.when(F.col("p_size") % 2 == 0, "_Depth.mp4").otherwise("_a.mp4"))).alias("kind"))

@@ -85,6 +85,58 @@ def clips_with_frames(files: DataFrame, root: str, cam: str, people: tuple[str,
     return rows.withColumn("person_order", F.array_position(F.array(*map(F.lit, people)), F.col("person"))).where("person_order > 0")
 
 
+def nonempty(files: DataFrame) -> DataFrame:
+    """Files with something in them."""
+    return files.where(F.col("length") > 0)
+
+
+def selected(rows: DataFrame, **only: str | list | tuple | None) -> DataFrame:
+    """rows whose columns have one of the given values; None or nothing given: all. Partition columns prune the files that are read."""
+    for column, values in only.items():
+        if values is not None:
+            rows = rows.where(F.col(column).isin(*([values] if isinstance(values, str) or not hasattr(values, "__iter__") else values)))
+    return rows
+
+
+def action_pairs(files: DataFrame, root: str, ignore_actions: tuple[str, ...] = (), ignore_segments: tuple[str, ...] = (), remove: tuple[str, ...] = ("_npy", "_mid")) -> DataFrame:
+    """action, segment (in its one form) of root/action/segment/...; names to ignore are the raw ones."""
+    p = relative(F.col("path"), root)
+    rows = files.select(p.alias("p")).where(F.size("p") >= 3).select(F.get("p", F.lit(0)).alias("action"), F.get("p", F.lit(1)).alias("raw")).distinct()
+    rows = rows.where(~F.col("action").startswith(".") & ~F.col("raw").startswith(".") & ~F.col("action").isin(*ignore_actions) & ~F.col("raw").isin(*ignore_segments))
+    return rows.select("action", names.normalize_segment(F.col("raw"), remove).alias("segment")).distinct()
+
+
+def csv_folders(files: DataFrame, sides: tuple[str, ...] = ()) -> DataFrame:
+    """Folders that hold a CSV; with sides, those with a clip.csv in a folder of one of these names."""
+    if sides:
+        found = files.select(F.regexp_extract("path", rf"^(.*)/(?:{'|'.join(sides)})/clip\.csv$", 1).alias("folder")).where("folder <> ''")
+    else:
+        found = files.where(extension(F.col("path")) == "csv").select(F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("folder"))
+    return found.distinct()
+
+
+def cloud_frames(files: DataFrame, zone: str | None = None) -> DataFrame:
+    """file, t of *_cloud.csv point clouds; one whose name is no stamp is an error."""
+    name = F.substring_index("path", "/", -1)
+    rows = files.select(F.col("path").alias("file"), name.alias("name")).where(F.col("name").endswith("_cloud.csv"))
+    return rows.select("file", timeparse.strict_epoch(F.regexp_replace("name", r"_cloud\.csv$", ""), zone).alias("t"))
+
+
+# Fixed value: the name of an annotation file of a run or a range of runs.
+RUN_ANNOTATION = r"(?i)^N_run_(\d+)(?:-(\d+))?_annotationlight\.csv$"
+
+
+def run_annotation(files: DataFrame, folder: str, name: str, rule: str = "narrowest") -> DataFrame:
+    """folder, name: the one annotation file of each run folder. narrowest: of those named strictly the narrowest range of runs, then
+    the smallest run; first: of all *annotationlight.csv but copies, the first by lower-case name."""
+    low = F.lower(name)
+    if rule == "first":
+        return files.where(low.endswith("annotationlight.csv") & ~low.contains("copy")).groupBy(folder).agg(F.min_by(name, F.struct(low, F.col(name))).alias(name))
+    a = F.nullif(F.regexp_extract(name, RUN_ANNOTATION, 1), F.lit("")).cast("long")
+    b = F.coalesce(F.nullif(F.regexp_extract(name, RUN_ANNOTATION, 2), F.lit("")).cast("long"), a)
+    return files.where(a.isNotNull()).groupBy(folder).agg(F.min_by(name, F.struct(F.abs(b - a), F.least(a, b), F.col(name))).alias(name))
+
+
 def preferred(files: DataFrame, group: str, path: str, first: str = "clip.npy") -> DataFrame:
     """The file of each group that is called `first`, else the least path."""
     return files.groupBy(group).agg(F.min_by(path, F.struct(~F.col(path).endswith(f"/{first}"), F.col(path))).alias(path))

@@ -102,6 +102,16 @@ def text_file(text: str, path: str) -> None:
     fs.move(f"{at}.part", at)
 
 
+def report(sections: dict[str, DataFrame], value: str, most: int = 80) -> str:
+    """A text report: each section's number of distinct values and the first `most` of them in order. No more than these reach the driver."""
+    out = []
+    for title, df in sections.items():
+        rows = df.select(F.col(value).cast("string").alias("v")).distinct()
+        n, first = rows.count(), [r["v"] for r in rows.orderBy("v").limit(most).collect()]
+        out += [f"{title}: {n}", *(f"  {v}" for v in first), *([f"  ... {n - most} more"] if n > most else [])]
+    return "\n".join(out) + "\n"
+
+
 def append_lines(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
