@@ -382,6 +382,23 @@ def test_viterbi_fold(spark):
     assert df.select(sentencepiece_lattice.viterbi(F.col("edges"), F.lit(3))).first()[0] == [4, 3]
 
 
+def test_viterbi_is_best_path(spark):
+    rng = np.random.default_rng(8)
+    rows, want = [], []
+    for n in range(1, 41):
+        edges = [(a, e, int(rng.integers(1, 999)), float(-rng.random())) for a in range(n) for e in range(a + 1, min(n, a + 5) + 1) if e == a + 1 or rng.random() < 0.5]
+        best = [(0.0, [])] + [(-np.inf, [])] * n
+        for e in range(1, n + 1):
+            for a, end, i, x in edges:
+                if end == e and best[a][0] + x > best[e][0]:
+                    best[e] = (best[a][0] + x, best[a][1] + [i])
+        rows.append((n, [edges[k] for k in rng.permutation(len(edges))]))
+        want.append(best[n][1])
+    df = spark.createDataFrame(rows, "n int, edges array<struct<start:int,end:int,id:int,score:double>>")
+    got = df.select("n", sentencepiece_lattice.viterbi(F.col("edges"), F.col("n")).alias("ids")).orderBy("n").collect()
+    assert [r.ids for r in got] == want
+
+
 def test_packing(docs, texts, empty):
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -618,3 +635,66 @@ def test_queries_match_sql(spark, sf001):
         want = con.execute(sql).df()[list(got.columns)]
         key = list(got.columns)
         assert got.sort_values(key).values.tolist() == want.sort_values(key).values.tolist(), name
+
+
+def sf001_texts(spark, sf001):
+    return {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf001}/documents.parquet").select("doc_id", "text").collect()}
+
+
+def test_token_count_query(spark, sf001):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = {k: (len(x.encode()), len(t.encode(x, add_special_tokens=False).ids)) for k, x in sf001_texts(spark, sf001).items()}
+    rows = queries.op6_token_counts(spark, sf001).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_tokens) for r in rows} == want and len(rows) == len(want)
+    assert all(r.over_limit == (r.n_tokens > 2048) for r in rows) and any(r.over_limit for r in rows)
+
+
+def test_packing_query(spark, sf001):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = queries.op8_best_fit_packing(spark, sf001).collect()
+    want = set()
+    for k, x in sf001_texts(spark, sf001).items():
+        ids = [*t.encode(x, add_special_tokens=False).ids, 0]
+        n_pieces = -(-len(ids) // 2048)
+        pieces = {r.piece: r for r in rows if r.doc_id == k}
+        assert sorted(pieces) == list(range(n_pieces))
+        for n, (a, b) in enumerate(zip([pieces[i].start for i in sorted(pieces)], [*[pieces[i].start for i in sorted(pieces)][1:], len(ids)], strict=True)):
+            r = pieces[n]
+            assert (r.length, r.ids_crc32) == (b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())) and r.length <= 2048 and (n == 0 or r.length == 2048)
+            want.add((k, n))
+    assert {(r.doc_id, r.piece) for r in rows} == want and len(rows) == len(want)
+    for _, own in itertools.groupby(sorted(rows, key=lambda r: (r.sequence_id, r.offset)), key=lambda r: r.sequence_id):
+        at = 0
+        for r in own:
+            assert r.offset == at
+            at += r.length
+        assert at <= 2048
+
+
+def test_simhash_query(spark, sf001):
+    import xxhash
+
+    fps = {}
+    for k, x in sf001_texts(spark, sf001).items():
+        w = [y.translate({c: c + 32 for c in range(65, 91)}) for y in words(x)]
+        h = [xxhash.xxh64_intdigest(" ".join(w[i : i + 4]), 42) for i in range(max(1, len(w) - 3))] if w else []
+        fps[k] = sum(1 << b for b in range(64) if 2 * sum(y >> b & 1 for y in h) > len(h))
+    rows = queries.op10_simhash_dedup(spark, sf001).collect()
+    assert {r.doc_id: r.fingerprint for r in rows} == {k: f"{v:016x}" for k, v in fps.items()}
+    assert {r.doc_id: r.component_id for r in rows} == components(fps, 4) and len(rows) == len(fps)
+
+
+def test_lm_query(spark, sf001):
+    rows = queries.op4_lm_scoring(spark, sf001).collect()
+    want = sf001_texts(spark, sf001)
+    assert sorted(r.doc_id for r in rows) == sorted(want)
+    for r in rows:
+        n = len(words(want[r.doc_id]))
+        assert n == r.n_words and (r.log_probability < 0 if n else r.log_probability == 0) and np.isfinite(r.log_probability)
+    assert [tuple(r) for r in queries.op4_lm_scoring(spark, sf001).orderBy("doc_id").collect()] == sorted(tuple(r) for r in rows)
