@@ -21,6 +21,7 @@ from __future__ import annotations
 import itertools
 import math
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,11 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import dropped, map_arrow, most_frequent, stored, words
+from .common import dropped, map_arrow, most_frequent, stored
 
 ROUNDS, GROUP, FAN = 3, 1_000_000, 64
 #: Positions of a step of descent, and of a block that is scored.
-STEP, BLOCK = 8192, 8192
+STEP, BLOCK = 4096, 4096
+#: Distinct words that a task counts before it hands them on.
+COUNTED = 300_000
 TOKENS = "row long, doc_id long, n_words long, ids binary, inside double, rare array<string>"
 
 
@@ -77,10 +80,18 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     """In place."""
     z -= z.max(1, keepdims=True)
     np.exp(z, out=z)
-    z /= z.sum(1, keepdims=True)
+    z /= (z @ np.ones(z.shape[1], z.dtype))[:, None]  # sums by rows
     return z
 
 
+def _log_softmax_at(z: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The log of each row's softmax at one place; z is used up."""
+    z -= z.max(1, keepdims=True)
+    at = z[np.arange(len(z)), place]
+    np.exp(z, out=z)
+    return at - np.log(z @ np.ones(z.shape[1], z.dtype))
+
+
 class Network:
     def __init__(self, shape: Shape, flat: np.ndarray | None = None, seed: int = 7):
         self.shape = shape
@@ -118,9 +129,9 @@ class Network:
         _, _, _, w2, b2, w3, b3 = self.parts
         _, h = self._hidden(context)
         own, classes = self._by_class(target)
-        out = np.log(_softmax(h @ w2 + b2)[np.arange(len(h)), own] + 1e-30)
+        out = _log_softmax_at(h @ w2 + b2, own)
         for c, rows in classes:
-            out[rows] += np.log(_softmax(h[rows] @ w3[c] + b3[c])[np.arange(len(rows)), target[rows] % self.shape.size] + 1e-30)
+            out[rows] += _log_softmax_at(h[rows] @ w3[c] + b3[c], target[rows] % self.shape.size)
         return out
 
     def step(self, context: np.ndarray, target: np.ndarray, rate: float) -> None:
@@ -151,8 +162,22 @@ class Network:
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """w, n: occurrences of each distinct word of all documents."""
-    return docs.select(F.explode(words(F.col(text_col))).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+    """w, n: occurrences of each distinct word of all documents. Tasks count first, and hand on their counts at COUNTED words."""
+
+    def rows(held: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.binary()).cast(pa.string()), pa.array(held.values(), pa.int64())], names=["w", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter = Counter()
+        for b in batches:
+            for t in b.column(0).cast(pa.binary()):
+                held.update((t.as_py() or b"").split())  # at the six white characters of common.WHITE
+                if len(held) >= COUNTED:
+                    yield rows(held)
+                    held = Counter()
+        yield rows(held)
+
+    return map_arrow(docs.select(F.col(text_col).cast("string")), run, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
 
 
 def frequent_words(counts: DataFrame, shape: Shape) -> tuple[list[str], np.ndarray]:
@@ -204,8 +229,8 @@ def tokens(docs: DataFrame, table: DataFrame, frequent: list[str], shape: Shape,
         find = ids.get
         for b in batches:
             out: list[list] = [[], [], [], []]
-            for t in b.column(2):
-                w = (t.as_py() or "").encode().split()
+            for t in b.column(2).cast(pa.binary()):
+                w = (t.as_py() or b"").split()
                 at = np.fromiter([find(x, -1) for x in w], np.int64, len(w))
                 own = token[at]
                 miss = np.flatnonzero(at < 0).tolist()
