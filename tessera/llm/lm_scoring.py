@@ -76,20 +76,31 @@ class Ids(dict):
         return self.shape.bucket(word)
 
 
-def _softmax(z: np.ndarray) -> np.ndarray:
-    """In place."""
-    z -= z.max(1, keepdims=True)
+#: Sums of exponentials of so large values stay within single precision.
+SAFE = 80.0
+
+
+def _exp(z: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray]:
+    """(exponentials in place, their sums by rows). bound: of z's values; beyond SAFE the rows' largest values are taken off."""
+    if not bound < SAFE:
+        z -= z.max(1, keepdims=True)
     np.exp(z, out=z)
-    z /= (z @ np.ones(z.shape[1], z.dtype))[:, None]  # sums by rows
+    return z, z @ np.ones(z.shape[1], z.dtype)
+
+
+def _softmax(z: np.ndarray, bound: float) -> np.ndarray:
+    """In place."""
+    z, total = _exp(z, bound)
+    z /= total[:, None]
     return z
 
 
-def _log_softmax_at(z: np.ndarray, place: np.ndarray) -> np.ndarray:
+def _log_softmax_at(z: np.ndarray, place: np.ndarray, bound: float) -> np.ndarray:
     """The log of each row's softmax at one place; z is used up."""
-    z -= z.max(1, keepdims=True)
     at = z[np.arange(len(z)), place]
-    np.exp(z, out=z)
-    return at - np.log(z @ np.ones(z.shape[1], z.dtype))
+    if not bound < SAFE:
+        at = at - z.max(1)
+    return at - np.log(_exp(z, bound)[1])
 
 
 class Network:
@@ -117,6 +128,11 @@ class Network:
         x = e[context].reshape(len(context), -1)
         return x, np.tanh(x @ w1 + b1)
 
+    def _bounds(self) -> tuple[float, float]:
+        """Bounds of the values before the two softmaxes: the hidden layer is within -1 and 1."""
+        _, _, _, w2, b2, w3, b3 = self.parts
+        return float((np.abs(w2).sum(0) + np.abs(b2)).max()), float((np.abs(w3).sum(1) + np.abs(b3)).max())
+
     def _by_class(self, target: np.ndarray) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
         """(place of each target in the first softmax, the rows of each class)"""
         s = self.shape
@@ -129,9 +145,10 @@ class Network:
         _, _, _, w2, b2, w3, b3 = self.parts
         _, h = self._hidden(context)
         own, classes = self._by_class(target)
-        out = _log_softmax_at(h @ w2 + b2, own)
+        first, second = self._bounds()
+        out = _log_softmax_at(h @ w2 + b2, own, first)
         for c, rows in classes:
-            out[rows] += _log_softmax_at(h[rows] @ w3[c] + b3[c], target[rows] % self.shape.size)
+            out[rows] += _log_softmax_at(h[rows] @ w3[c] + b3[c], target[rows] % self.shape.size, second)
         return out
 
     def step(self, context: np.ndarray, target: np.ndarray, rate: float) -> None:
@@ -140,14 +157,15 @@ class Network:
         ge, gw1, gb1, gw2, gb2, gw3, gb3 = self._split(grad)
         x, h = self._hidden(context)
         own, classes = self._by_class(target)
-        p = _softmax(h @ w2 + b2)
+        first, second = self._bounds()
+        p = _softmax(h @ w2 + b2, first)
         p[np.arange(len(p)), own] -= 1
         p /= len(p)
         gw2[:], gb2[:] = h.T @ p, p.sum(0)
         dh = p @ w2.T
         for c, rows in classes:
             hc = h[rows]
-            p = _softmax(hc @ w3[c] + b3[c])
+            p = _softmax(hc @ w3[c] + b3[c], second)
             p[np.arange(len(rows)), target[rows] % self.shape.size] -= 1
             p /= len(h)
             gw3[c], gb3[c] = hc.T @ p, p.sum(0)

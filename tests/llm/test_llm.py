@@ -263,6 +263,18 @@ def test_lm_network():
         assert abs(slope + grad[k]) < 0.02 * max(1, abs(grad[k]))
 
 
+@pytest.mark.parametrize("scale", [1.0, 30.0, 3000.0])
+def test_lm_softmax(scale):
+    """With and without the rows' largest values taken off, as far as values are bounded."""
+    z = np.random.default_rng(1).uniform(-scale, scale, (40, 9)).astype(np.float32)
+    place = np.arange(40) % 9
+    exact = z.astype(float) - z.max(1, keepdims=True)
+    exact -= np.log(np.exp(exact).sum(1, keepdims=True))
+    for bound in {scale, 1e9}:
+        assert np.allclose(lm_scoring._softmax(z.copy(), bound), np.exp(exact), atol=1e-5)
+        assert np.allclose(lm_scoring._log_softmax_at(z.copy(), place, bound), exact[np.arange(40), place], rtol=1e-5, atol=1e-4)
+
+
 @pytest.mark.parametrize("hot", [100_000, 50, 0])
 def test_lm_words_of_a_bucket(spark, docs, texts, empty, hot):
     """Every word is predicted as itself, from both sides: its token's probability times its share of the bucket."""
