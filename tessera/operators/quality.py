@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import names
-from tessera.operators.packing import numbered
+from tessera.operators.ranges import numbered
 
 
 def presence(keys: dict[str, DataFrame], key: str) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import names
-from tessera.operators.packing import choose_modalities, numbered
+from tessera.operators.packing import choose_modalities
+from tessera.operators.ranges import numbered
 
 FRAMES = ("rgb", "depth")
 ARMBANDS = ("mindrove", "emg")
