@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lm_scoring, packing, quality_rules, secret_scans, sentencepiece_lattice, sharding, simhash_dedup, substring_dedup, token_counts, topk_search
+from . import lm_scoring, merkle, packing, quality_rules, secret_scans, sentencepiece_lattice, sharding, simhash_dedup, substring_dedup, token_counts, topk_search
 from .common import scratch, table
 
 
@@ -63,11 +63,55 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_topk_search, op3_secret_scans, op4_lm_scoring, op5_substring_dedup, op6_token_counts, op7_sentencepiece_lattice, op8_best_fit_packing, op9_sharding, op10_simhash_dedup)}
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tampered(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_topk_search, op3_secret_scans, op4_lm_scoring, op5_substring_dedup, op6_token_counts, op7_sentencepiece_lattice, op8_best_fit_packing, op9_sharding, op10_simhash_dedup, op12_merkle_manifest)}
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+
+
+def _field(c: str) -> str:
+    return f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+
+
+def _tree(rows: str, group: str, levels: int) -> str:
+    """CTEs t0, t1, ...: g, i, n, h, r (the run's digests): a tree of each group of rows (g, i, h) up to 8 to the power `levels`."""
+    out = [f"{group}0 AS (SELECT *, count(*) OVER (PARTITION BY g) AS n FROM {rows})"]
+    for k in range(levels):
+        out.append(f"{group}{k + 1} AS (SELECT g, i, h, count(*) OVER (PARTITION BY g) AS n FROM (SELECT g, i // 8 AS i, CASE WHEN any_value(n) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h FROM {group}{k} GROUP BY g, i // 8))")
+        out.append(f"{group}r{k} AS (SELECT *, list(h) OVER (PARTITION BY g, i // 8 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS r FROM {group}{k})")
+    return ",\n".join(out)
+
+
+def _climb(tree: str, levels: int, source: str, out: str) -> str:
+    """CTE: source with proof p (siblings so far), f (folded so far) and place i, taken to the root of its group g."""
+    steps = []
+    for k in range(levels):
+        before = source if k == 0 else f"{out}{k - 1}"
+        left, right = "array_to_string(r[1:s.i % 8], '')", "array_to_string(r[s.i % 8 + 2:], '')"
+        steps.append(f"{out}{k} AS (SELECT s.* EXCLUDE (i, p, f), s.i // 8 AS i, CASE WHEN t.n = 1 THEN p ELSE p || {left} || {right} END AS p, CASE WHEN t.n = 1 THEN f ELSE sha256({left} || f || {right}) END AS f FROM {before} s JOIN {tree}r{k} t ON s.g IS NOT DISTINCT FROM t.g AND s.i = t.i)")
+    return ",\n".join(steps)
+
+
+LEAF = lambda text: "sha256(" + " || ".join([*map(_field, ("doc_id", "source", "lang", "n_chars")), _field(text)]) + ")"
+#: CRC-32 of a decimal number, bit by bit.
+CRC = "xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: list_concat([-1 - ascii(c)::BIGINT], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0])))), lambda a, x: CASE WHEN x < 0 THEN xor(a, -1 - x) ELSE xor(a >> 1, (a & 1) * 3988292384) END), 4294967295::BIGINT)"
+
 ORACLE = {
+    "op12_merkle_manifest": f"""
+WITH d AS (SELECT doc_id, lang AS g, {LEAF('text')} AS leaf, {LEAF("CASE WHEN coalesce(" + CRC + ", 1) % 3 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END")} AS other FROM documents),
+l AS (SELECT *, leaf AS h, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM d),
+{_tree("l", "t", 6)},
+s AS (SELECT 0 AS g, t6.g AS lang, h, row_number() OVER (ORDER BY t6.g NULLS FIRST) - 1 AS i FROM t6),
+{_tree("s", "u", 3)},
+a AS (SELECT doc_id, g, i, leaf, '' AS p, other AS f FROM l),
+{_climb("t", 6, "a", "a")},
+b AS (SELECT doc_id, leaf, s.h AS subroot, s.g, s.i, p, f FROM a5 JOIN s ON a5.g IS NOT DISTINCT FROM s.lang),
+{_climb("u", 3, "b", "b")}
+SELECT doc_id, leaf, subroot, u3.h AS root, sha256(p) AS proof_sha256, f AS folded_root, f = u3.h AS verified FROM b2 JOIN u3 USING (g)""",
     "op1_quality_rules": rf"""
 WITH w AS (
   SELECT doc_id, coalesce(text, '') AS t, {WORDS} AS w,
