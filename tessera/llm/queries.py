@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lm_scoring, merkle, packing, quality_rules, secret_scans, sentencepiece_lattice, sharding, simhash_dedup, substring_dedup, token_counts, topk_search
+from . import decontamination, lm_scoring, merkle, packing, quality_rules, secret_scans, sentencepiece_lattice, sharding, simhash_dedup, substring_dedup, token_counts, topk_search
 from .common import scratch, table
 
 
@@ -63,11 +63,15 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.tampered(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_topk_search, op3_secret_scans, op4_lm_scoring, op5_substring_dedup, op6_token_counts, op7_sentencepiece_lattice, op8_best_fit_packing, op9_sharding, op10_simhash_dedup, op12_merkle_manifest)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_topk_search, op3_secret_scans, op4_lm_scoring, op5_substring_dedup, op6_token_counts, op7_sentencepiece_lattice, op8_best_fit_packing, op9_sharding, op10_simhash_dedup, op11_decontamination, op12_merkle_manifest)}
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -100,7 +104,19 @@ LEAF = lambda text: "sha256(" + " || ".join([*map(_field, ("doc_id", "source", "
 #: CRC-32 of a decimal number, bit by bit.
 CRC = "xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: list_concat([-1 - ascii(c)::BIGINT], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0])))), lambda a, x: CASE WHEN x < 0 THEN xor(a, -1 - x) ELSE xor(a >> 1, (a & 1) * 3988292384) END), 4294967295::BIGINT)"
 
+CONTENT = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 ORACLE = {
+    "op11_decontamination": f"""
+WITH b AS (SELECT item_id, {CONTENT} AS w FROM benchmark WHERE item_id IS NOT NULL),
+g AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 9], ' ') AS g, least(len(w), 10) AS k FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+d AS (SELECT row_number() OVER () AS r, doc_id, {CONTENT} AS w FROM documents),
+p AS (SELECT r, k, i, array_to_string(w[i:i + k - 1], ' ') AS g FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM g))),
+o AS (SELECT r, k, i, item_id FROM p JOIN g USING (k, g)),
+h AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest(range(i, i + k)) AS j FROM o) GROUP BY r),
+x AS (SELECT r, count(*) AS n, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM (SELECT DISTINCT r, item_id FROM o) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(x.n, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, h.n IS NOT NULL AS contaminated
+FROM d LEFT JOIN h USING (r) LEFT JOIN x USING (r)""",
     "op12_merkle_manifest": f"""
 WITH d AS (SELECT doc_id, lang AS g, {LEAF('text')} AS leaf, {LEAF("CASE WHEN coalesce(" + CRC + ", 1) % 3 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END")} AS other FROM documents),
 l AS (SELECT *, leaf AS h, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM d),
