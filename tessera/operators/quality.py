@@ -59,6 +59,12 @@ def duplicates(files: DataFrame, content: Column, name: str) -> DataFrame:
     return rows.withColumn("copy_no", F.row_number().over(Window.partitionBy("md5").orderBy(name))).withColumn("duplicate", F.col("copy_no") > 1)
 
 
+def first_copies(files: DataFrame, same: str, name: str, more: list[str]) -> DataFrame:
+    """One row for each value of `same`: that of the least name, with the columns in more. Copies are counted out before rows are moved, so many of one value do no harm."""
+    first = F.min(F.struct(name, *more)).alias("__first")
+    return files.groupBy(same).agg(first).select(same, *[F.col("__first")[c].alias(c) for c in (name, *more)])
+
+
 def latest_status(log: DataFrame, key: str, order: str, status: str) -> DataFrame:
     """The last status of each key; UNDO takes back the row before it."""
     w = Window.partitionBy(key).orderBy(F.desc(order))
