@@ -1,8 +1,7 @@
 """Recordings on any file system that Spark reads: folder trees, time-stamped frames, CSVs, manifests, radar packets.
 
 All listings select only path and length of ``binaryFile``, so no content is read; contents are decoded by Spark's readers or,
-for binary packets, in Arrow batches. HDF5 needs a library that is absent here and raises ImportError. XDF, event-camera RAW and images
-are in ``recordings``.
+for binary packets, in Arrow batches. XDF, event-camera RAW and images are in ``recordings``, HDF5 in ``hdf5``.
 """
 
 from __future__ import annotations
@@ -292,11 +291,3 @@ def review_log(spark: SparkSession, path: str, style: str = "csv") -> DataFrame:
 
 def video_kind(name: Column) -> Column:
     return F.when(F.lower(name).contains("depth"), F.lit("depth")).otherwise(F.lit("rgb"))
-
-
-def hdf5(path: str):
-    try:
-        import h5py
-    except ImportError as e:
-        raise ImportError("reading HDF5 recordings needs h5py") from e
-    return h5py.File(path)
