@@ -1,16 +1,20 @@
 """Binary recordings: XDF streams, event-camera RAW files (EVT 2 and EVT 3), images.
 
-One task decodes a file at a time; rows leave it in Arrow batches of bounded size. A truncated end ends a file.
+Event-camera files are decoded in parts of bounded size, XDF files whole, one a task; rows leave in batches of bounded size. A truncated
+end ends a file.
 """
 
 from __future__ import annotations
 
+import dataclasses
 import struct
 from collections.abc import Iterator
+from dataclasses import dataclass
 from xml.etree import ElementTree
 
 import numpy as np
 import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -131,68 +135,156 @@ def _unwrapped(high: np.ndarray, bits: int) -> np.ndarray:
     return high + (np.cumsum(np.diff(high, prepend=high[:1]) < -(1 << (bits - 1))) << bits)
 
 
-def evt2(data: bytes) -> tuple[np.ndarray, ...]:
-    """t (microseconds), x, y, p of 32-bit words: 4 bits of type, then 6 of time, 11 of x, 11 of y; type 8 has the upper 28 bits of time."""
+@dataclass(frozen=True)
+class State:
+    """What an event stream carries from word to word: whether a time mark was seen, the upper time as recorded and how often it began anew, the
+    lower time, y, and the place and sign that the next vector begins with (EVT 3)."""
+
+    seen: bool = False
+    high: int = 0
+    wraps: int = 0
+    low: int = 0
+    y: int = 0
+    x: int = 0
+    sign: int = 0
+
+
+def evt2(data: bytes, state: State = State()) -> tuple[tuple[np.ndarray, ...], State]:
+    """(t (microseconds), x, y, p), state at the end, of 32-bit words: 4 bits of type, then 6 of time, 11 of x, 11 of y; type 8 has the upper 28 bits of time."""
     w = np.frombuffer(data, "<u4", len(data) // 4).astype(np.int64)
     kind = w >> 28
     mark = kind == 8
-    high = np.zeros(len(w), np.int64)
-    high[mark] = _unwrapped(w[mark] & 0xFFFFFFF, 28)
-    event = (kind <= 1) & (np.cumsum(mark) > 0)
-    t = (_last(mark, high) << 6) | (w >> 22 & 63)
-    return t[event], (w >> 11 & 2047)[event], (w & 2047)[event], kind[event]
-
-
-def evt3(data: bytes) -> tuple[np.ndarray, ...]:
-    """t (microseconds), x, y, p of 16-bit words whose upper 4 bits tell the kind: 0 y, 2 one event, 3 the base of vectors, 4 and 5 vectors of 12 and 8 events, 6 and 8 the lower and upper 12 bits of time."""
+    highs = _unwrapped(np.r_[[state.high] if state.seen else np.zeros(0, np.int64), w[mark] & 0xFFFFFFF].astype(np.int64), 28)
+    high = np.full(len(w), state.high, np.int64)
+    high[mark] = highs[len(highs) - mark.sum() :]
+    at = np.cumsum(mark)
+    event = (kind <= 1) & ((at > 0) | state.seen)
+    t = (np.where(at > 0, _last(mark, high), state.high) + (state.wraps << 28) << 6) | (w >> 22 & 63)
+    end = State(bool(state.seen or mark.any()), int(highs[-1] & 0xFFFFFFF) if len(highs) else 0, state.wraps + (int(highs[-1] >> 28) if len(highs) else 0))
+    return (t[event], (w >> 11 & 2047)[event], (w & 2047)[event], kind[event]), end
+
+
+def evt3(data: bytes, state: State = State()) -> tuple[tuple[np.ndarray, ...], State]:
+    """(t (microseconds), x, y, p), state at the end, of 16-bit words whose upper 4 bits tell the kind: 0 y, 2 one event, 3 the base of vectors, 4 and 5 vectors of 12 and 8 events, 6 and 8 the lower and upper 12 bits of time."""
     w = np.frombuffer(data, "<u2", len(data) // 2).astype(np.int64)
     kind, low12 = w >> 12, w & 4095
     mark = kind == 8
+    highs = _unwrapped(np.r_[[state.high] if state.seen else np.zeros(0, np.int64), low12[mark]].astype(np.int64), 12)
     high = np.zeros(len(w), np.int64)
-    high[mark] = _unwrapped(low12[mark], 12)
-    t = (_last(mark, high) << 12) | _last(kind == 6, low12)
-    y = _last(kind == 0, low12 & 2047)
+    high[mark] = highs[len(highs) - mark.sum() :]
+    last = lambda hit, value, before: np.where(np.cumsum(hit) > 0, _last(hit, value), before)
+    t = (last(mark, high, state.high) + (state.wraps << 12) << 12) | last(kind == 6, low12, state.low)
+    y = last(kind == 0, low12 & 2047, state.y)
     width = np.where(kind == 4, 12, np.where(kind == 5, 8, 0))
     before = np.cumsum(width) - width
     base = kind == 3
-    first = _last(base, low12 & 2047) + before - _last(base, before)
-    sign = np.where(kind == 2, low12 >> 11, _last(base, low12 >> 11))
+    first = last(base, low12 & 2047, state.x) + before - _last(base, before)
+    signs = last(base, low12 >> 11, state.sign)
+    sign = np.where(kind == 2, low12 >> 11, signs)
     bits = np.where(kind == 4, low12, np.where(kind == 5, low12 & 255, (kind == 2).astype(np.int64)))
-    bits[np.cumsum(mark) == 0] = 0
+    if not state.seen:
+        bits[np.cumsum(mark) == 0] = 0
     place, bit = np.nonzero(bits[:, None] >> np.arange(12) & 1)
     x = np.where(kind[place] == 2, low12[place] & 2047, first[place] + bit)
-    return t[place], x, y[place], sign[place]
+    if not len(w):
+        return (t, x, y, sign), state
+    lows = last(kind == 6, low12, state.low)
+    end = State(bool(state.seen or mark.any()), int(highs[-1] & 4095) if len(highs) else 0, state.wraps + (int(highs[-1] >> 12) if len(highs) else 0), int(lows[-1]), int(y[-1]), int(first[-1] + width[-1]), int(signs[-1]))
+    return (t[place], x, y[place], sign[place]), end
 
 
-def event_words(data: bytes) -> tuple[str, bytes]:
-    """(format, words) of a RAW file: the header is lines that start with %."""
+def event_format(head: bytes) -> tuple[str, int]:
+    """(format, place of the first word) of a RAW file: the header is lines that start with %."""
     at, text = 0, ""
-    while data[at : at + 1] == b"%":
-        end = data.find(b"\n", at)
-        end = len(data) if end < 0 else end + 1
-        line = data[at:end].decode("latin-1").strip().lower()
+    while head[at : at + 1] == b"%":
+        end = head.find(b"\n", at)
+        end = len(head) if end < 0 else end + 1
+        line = head[at:end].decode("latin-1").strip().lower()
         text, at = f"{text}\n{line}", end
         if line == "% end":
             break
     for name, marks in {"evt3": ("evt 3.0", "format evt3"), "evt2": ("evt 2.0", "format evt2")}.items():
         if any(m in text for m in marks) and "evt21" not in text:
-            return name, data[at:]
+            return name, at
     raise ValueError("not an EVT 2 or EVT 3 file")
 
 
-def event_raw(spark: SparkSession, path: str) -> DataFrame:
-    """file, no, t (microseconds), x, y, p of event-camera .raw files. Events before the first time mark are left out."""
+def part_of_file(path: str, at: int, n: int) -> bytes:
+    """Bytes of a file anywhere that pyarrow opens, from a place on; fewer where it ends."""
+    fs, name = pafs.FileSystem.from_uri(path) if ":" in path else (pafs.LocalFileSystem(), path)
+    with fs.open_input_file(name) as f:
+        return f.read_at(n, at) if at < f.size() else b""
+
+
+def splits(spark: SparkSession, path: str, pattern: str, size: int) -> DataFrame:
+    """file, length, split, at: the places where parts of `size` bytes begin; nothing is read but the listing."""
+    from tessera.sources.files import listing
+
+    files = listing(spark, path, pattern).where("length > 0").select(F.col("path").alias("file"), "length")
+    rows = files.select("file", "length", F.explode(F.sequence(F.lit(0), F.floor((F.col("length") - 1) / size).cast("int"))).alias("split")).withColumn("at", F.col("split").cast("long") * size)
+    return rows.repartition(F.xxhash64("file", "split"))
+
+
+HEAD = 65_536
+STATE = "seen boolean, high long, wraps long, low long, y long, x long, sign long"
+
+
+def event_raw(spark: SparkSession, path: str, split_bytes: int = 64 << 20) -> DataFrame:
+    """file, no, t (microseconds), x, y, p of event-camera .raw files of any size. Events before the first time mark are left out.
+
+    A file is decoded in parts of split_bytes at once. Each part first says what state it leaves behind, for itself and as far as it depends on
+    the part before; these few numbers go by in order, file by file, and each part is decoded from the state that it begins with.
+    """
+    size = max(4, split_bytes // 4 * 4)
+    parts = splits(spark, path, "*.raw", size)
+
+    def words(file: str, at: int) -> tuple[str, bytes]:
+        name, begin = event_format(part_of_file(file, 0, HEAD))
+        # words are counted from the end of the header, so parts of a file never share one
+        return name, part_of_file(file, begin + at, size)
+
+    def left(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for file, split, at in zip(b["file"], b["split"], b["at"], strict=True):
+                name, data = words(file, at)
+                decode = evt3 if name == "evt3" else evt2
+                # marks as if they stood alone; what a part takes over from before it shows where it was given other values
+                _, alone = decode(data)
+                (t, *_), after = decode(data, State(True, 0, 0, 0, 0, 0, 0))
+                _, other = decode(data, State(True, 0, 0, 1, 1, 1, 1))
+                mark = np.frombuffer(data, "<u2" if name == "evt3" else "<u4", len(data) // (2 if name == "evt3" else 4)).astype(np.int64)
+                shift, bits = (12, 4095) if name == "evt3" else (28, 0xFFFFFFF)
+                marks = mark[mark >> shift == 8] & bits
+                yield pd.DataFrame({
+                    "file": [file], "split": [split], "name": [name], "marks": [len(marks)], "first": [int(marks[0]) if len(marks) else 0], "last": [alone.high], "wraps": [alone.wraps],
+                    "n_all": [len(t)], "n_alone": [len(decode(data)[0][0])], "low": [after.low if after.low == other.low else -1], "y": [after.y if after.y == other.y else -1],
+                    "x": [after.x], "x_own": [after.x == other.x], "sign": [after.sign if after.sign == other.sign else -1],
+                })
+
+    kinds = "file string, split int, name string, marks long, first long, last long, wraps long, n_all long, n_alone long, low long, y long, x long, x_own boolean, sign long"
+
+    def chained(pdf: pd.DataFrame) -> pd.DataFrame:
+        state, no, out = State(), 0, []
+        for r in pdf.sort_values("split").itertuples():
+            out.append((r.file, r.split, no, *dataclasses.astuple(state)))
+            no += r.n_all if state.seen else r.n_alone
+            half = 1 << ((12 if r.name == "evt3" else 28) - 1)
+            wraps = state.wraps + r.wraps + int(bool(r.marks) and state.seen and state.high - r.first > half)
+            state = State(state.seen or bool(r.marks), r.last if r.marks else state.high, wraps, state.low if r.low < 0 else r.low, state.y if r.y < 0 else r.y, r.x if r.x_own else state.x + r.x, state.sign if r.sign < 0 else r.sign)
+        return pd.DataFrame(out, columns=["file", "split", "no", "seen", "high", "wraps", "low", "y", "x", "sign"])
+
+    begins = parts.mapInPandas(left, kinds).groupBy("file").applyInPandas(chained, f"file string, split int, no long, {STATE}")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for file, data in zip(b["path"], b["content"], strict=True):
-                name, words = event_words(data)
-                t, x, y, p = (evt3 if name == "evt3" else evt2)(words)
+            for r in b.itertuples():
+                name, data = words(r.file, r.split * size)
+                (t, x, y, p), _ = (evt3 if name == "evt3" else evt2)(data, State(bool(r.seen), r.high, r.wraps, r.low, r.y, r.x, r.sign))
                 for k in range(0, len(t), ROWS):
                     m = k + ROWS
-                    yield pd.DataFrame({"file": file, "no": np.arange(k, min(len(t), m)), "t": t[k:m], "x": x[k:m], "y": y[k:m], "p": p[k:m]})
+                    yield pd.DataFrame({"file": r.file, "no": r.no + np.arange(k, min(len(t), m)), "t": t[k:m], "x": x[k:m], "y": y[k:m], "p": p[k:m]})
 
-    return _binary(spark, path, "*.raw").mapInPandas(run, "file string, no long, t long, x int, y int, p int")
+    return begins.repartition(F.xxhash64("file", "split")).mapInPandas(run, "file string, no long, t long, x int, y int, p int")
 
 
 def grey_images(spark: SparkSession, path: str) -> DataFrame:

@@ -53,6 +53,65 @@ def test_event_raw(spark, tmp_path):
     assert [(r.t, r.x, r.y, r.p) for r in rows] == [(at, 33, 7, 1), (at, 100, 7, 0), (at, 111, 7, 0), (at, 112, 7, 0), (at, 113, 7, 0), (4096 + 5, 120, 7, 0), ((1 << 24) + 1, 4, 7, 0)]
 
 
+def plain_evt3(words):
+    """One word after another, as the format tells it."""
+    out, seen, high, wraps, low, y, x, sign = [], False, 0, 0, 0, 0, 0, 0
+    for w in words:
+        kind, v = w >> 12, w & 4095
+        if kind == 8:
+            wraps += seen and high - v > 2048
+            seen, high = True, v
+        elif kind == 6:
+            low = v
+        elif kind == 0:
+            y = v & 2047
+        elif kind == 3:
+            x, sign = v & 2047, v >> 11
+        t = (wraps << 24) + (high << 12) + low
+        if kind == 2 and seen:
+            out.append((t, v & 2047, y, v >> 11))
+        if kind in (4, 5):
+            n = 12 if kind == 4 else 8
+            out += [(t, x + k, y, sign) for k in range(n) if seen and v >> k & 1]
+            x += n
+    return out
+
+
+def plain_evt2(words):
+    out, seen, high, wraps = [], False, 0, 0
+    for w in words:
+        if w >> 28 == 8:
+            v = w & 0xFFFFFFF
+            wraps += seen and high - v > 1 << 27
+            seen, high = True, v
+        elif w >> 28 <= 1 and seen:
+            out.append((((wraps << 28) + high << 6) + (w >> 22 & 63), w >> 11 & 2047, w & 2047, w >> 28))
+    return out
+
+
+def test_event_files_in_parts(spark, tmp_path):
+    """However small the parts, the events are those of one pass; time that begins anew at a border, vectors over it, files without marks."""
+    rng = np.random.default_rng(4)
+    three = [int(k) << 12 | int(v) for k, v in zip(rng.choice([0, 2, 2, 3, 4, 5, 6, 8, 7, 14], 3000), rng.integers(0, 1024, 3000))]
+    for k in np.flatnonzero(np.array(three) >> 12 == 8):
+        three[k] = 8 << 12 | int(rng.choice([0, 5, 4000, 4095]))
+    two = [int(rng.choice([0, 1, 1, 10])) << 28 | int(rng.integers(0, 1 << 28)) for _ in range(2000)]
+    for k in range(150, 2000, 37):
+        two[k] = 8 << 28 | int(rng.choice([0, 3, (1 << 28) - 1]))
+    (tmp_path / "t3.raw").write_bytes(b"% evt 3.0\n% end\n" + struct.pack("<3000H", *three))
+    (tmp_path / "t2.raw").write_bytes(b"% evt 2.0\n% end\n" + struct.pack("<2000I", *two))
+    (tmp_path / "no_mark.raw").write_bytes(b"% evt 3.0\n% end\n" + struct.pack("<900H", *[x for x in three if x >> 12 != 8][:900]))
+    (tmp_path / "only_head.raw").write_bytes(b"% evt 3.0\n% end\n")
+    want = {"t3.raw": plain_evt3(three), "t2.raw": plain_evt2(two)}
+    for size in (64, 1000, 1 << 20):
+        got = {}
+        for r in recordings.event_raw(spark, str(tmp_path), size).orderBy("file", "no").collect():
+            got.setdefault(r.file.rpartition("/")[2], []).append((r.no, r.t, r.x, r.y, r.p))
+        assert set(got) == set(want)
+        for name, rows in got.items():
+            assert [r[0] for r in rows] == list(range(len(rows))) and [r[1:] for r in rows] == want[name], (name, size)
+
+
 def test_images(spark, tmp_path):
     def png(values):
         part = lambda kind, body: struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
