@@ -81,3 +81,27 @@ def packed_npy(frames: DataFrame, keys: list[str], order: str, values: str, leas
         return pd.DataFrame([out])
 
     return frames.groupBy(*keys).applyInPandas(run, f"{fields}, shape array<int>, npy binary, error string")
+
+
+def sampled_percentiles(frames: DataFrame, keys: list[str], order: str, values: str, low: float = 0.01, high: float = 0.99, first: int = 50, per_frame: int = 5000, accuracy: int | None = None) -> DataFrame:
+    """keys, n, low, high: percentiles of the keys' first frames that have values, of each of which every step-th value counts, the step being their number over per_frame, rounded down, at least 1.
+
+    Where high isn't above low they are the least and the greatest value plus 1e-6. Null and NaN values don't count, but have their place. With an
+    accuracy, percentiles come from a quantile sketch that merges before rows move (an error of 1 / accuracy in rank), else they are exact.
+    """
+    by_order = Window.partitionBy(*keys).orderBy(order)
+    places = frames.where(F.col(order).isNotNull()).select(*keys, order).distinct().withColumn("__k", F.row_number().over(by_order)).where(F.col("__k") <= first).drop("__k")
+    kept = frames.withColumn("__none", F.coalesce(F.size(values), F.lit(0)) <= 0)
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    places = places.select(F.col(order).alias("__order"), *[F.col(k).alias(f"__{k}") for k in keys])
+    rows = kept.join(places, same & (F.col(order) == F.col("__order"))).where(~F.col("__none"))
+    step = F.greatest(F.floor(F.size(values) / per_frame).cast("int"), F.lit(1))
+    taken = F.filter(values, lambda v, i: F.pmod(i, step) == 0)
+    each = rows.select(*keys, F.explode(taken.cast("array<double>")).alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    ps = F.array(F.lit(low), F.lit(high))
+    found = F.percentile("__v", ps) if accuracy is None else F.percentile_approx("__v", ps, accuracy)
+    got = each.groupBy(*keys).agg(F.count("*").alias("n"), found.alias("__p"), F.min("__v").alias("__min"), F.max("__v").alias("__max"))
+    flat = F.get("__p", F.lit(1)) <= F.get("__p", F.lit(0))
+    return got.select(*keys, "n", F.when(flat, F.col("__min")).otherwise(F.get("__p", F.lit(0))).alias("low"), F.when(flat, F.col("__max") + 1e-6).otherwise(F.get("__p", F.lit(1))).alias("high"))

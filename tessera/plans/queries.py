@@ -544,6 +544,16 @@ def percentile_range(spark, d):
     return events(spark, d).groupBy("event_type").agg(p.alias("p")).select("event_type", r6(F.get("p", F.lit(0))).alias("p1"), r6(F.get("p", F.lit(1))).alias("p99"))
 
 
+@query("""
+WITH f AS (SELECT label, embedding AS e, greatest(len(embedding) // 10, 1) AS step, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS k FROM embeddings),
+v AS (SELECT label, unnest(list_filter(e, lambda x, i: (i - 1) % step = 0))::DOUBLE AS v FROM f WHERE k <= 20),
+p AS (SELECT label, count(*) AS n, quantile_cont(v, 0.01) AS a, quantile_cont(v, 0.99) AS b, min(v) AS lo, max(v) AS hi FROM v WHERE isfinite(v) GROUP BY 1)
+SELECT label, n, round(CASE WHEN b <= a THEN lo ELSE a END, 6) AS low, round(CASE WHEN b <= a THEN hi + 1e-6 ELSE b END, 6) AS high FROM p""")
+def sampled_percentile_range(spark, d):
+    got = frames.sampled_percentiles(table(spark, d, "embeddings"), ["label"], "vec_id", "embedding", first=20, per_frame=10)
+    return got.select("label", "n", r6("low").alias("low"), r6("high").alias("high"))
+
+
 @query(f"SELECT us // {6 * HOUR} AS win, floor(value / 10)::INT AS x, (user_id % 8)::INT AS y, arg_max(event_type, us) AS event_type, count(*) AS n FROM {EV} GROUP BY ALL")
 def event_accumulate_last(spark, d):
     e = events(spark, d).withColumns({"x": F.floor(F.col("value") / 10).cast("int"), "y": (F.col("user_id") % 8).cast("int")})

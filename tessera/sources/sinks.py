@@ -2,33 +2,45 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import json
 import tarfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.operators.ranges import maybe_broadcast, written
+
 
 def csv_text(df: DataFrame, order: list, most: int = 100_000, bom: bool = False) -> str:
-    """A small report as CSV text in order; larger results go through df.write.csv."""
+    """A small report as CSV text in order; larger tables go through csv_file."""
     rows = df.orderBy(*order).limit(most + 1).toPandas()
     if len(rows) > most:
-        raise ValueError(f"more than {most} rows: write it with Spark")
-    return ("﻿" if bom else "") + rows.to_csv(index=False)
+        raise ValueError(f"more than {most} rows: write it with csv_file")
+    return ("\ufeff" if bom else "") + rows.to_csv(index=False)
+
+
+def reachable(spark: SparkSession, path: str) -> None:
+    """Refuses a bare path where executors run on other machines: each would write to its own disk."""
+    if ":" not in path and not spark.sparkContext.master.startswith("local["):
+        raise ValueError(f"{path}: on a cluster a path needs its scheme (file: where all machines mount it)")
 
 
 def _streamed(rows: DataFrame, path: str, file: str, order: list[str], begin: Callable, put: Callable, end: Callable) -> DataFrame:
     """Writes one file a value of `file` in the folder `path` (any that pyarrow.fs opens): its rows go by in order, one at a time.
 
-    A file is written aside and moved into place when it is whole, so a retried task leaves no half file. The result (file, n, bytes)
-    is computed when it is read: each run writes.
+    A file is written aside and moved into place when it is whole, so a retried task leaves no half file. All is written when this is
+    called; what is returned (file, n, bytes) is the list of the files, kept in `path`/.files, and reading it writes nothing.
     """
+    spark = rows.sparkSession
+    reachable(spark, path)
     kind = rows.schema[file].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -52,32 +64,96 @@ def _streamed(rows: DataFrame, path: str, file: str, order: list[str], begin: Ca
                         yield close()
                     aside = f"{base}/.{uuid.uuid4().hex}.part"
                     out = fs.open_output_stream(aside)
-                    now = [row[file], aside, out, begin(out), 0]
+                    now = [row[file], aside, out, begin(out, row), 0]
                 put(now[3], now[2], row, now[4])
                 now[4] += 1
         if now is not None:
             yield close()
 
-    return rows.repartition(file).sortWithinPartitions(file, *order).mapInArrow(run, f"{file} {kind}, n long, bytes long")
+    done = rows.repartition(file).sortWithinPartitions(file, *order).mapInArrow(run, f"{file} {kind}, n long, bytes long")
+    done.write.mode("overwrite").parquet(f"{path}/.files")
+    return spark.read.schema(done.schema).parquet(f"{path}/.files")
 
 
-def tar_files(members: DataFrame, path: str, shard: str = "shard", key: str = "key", member: str = "member", content: str = "content") -> DataFrame:
-    """shard (the file's name), n, bytes: tar files of any size, members by key and name; a member without content becomes an .ERR.txt note."""
+def csv_file(df: DataFrame, path: str, name: str, order: list[str], bom: bool = False) -> DataFrame:
+    """One CSV file of any number of rows, with a header, in order; the list of it. Sorted by Spark and streamed by one task, held by none."""
+    rows = df.select(F.lit(name).alias("__file"), *[F.col(c).alias(f"__{k}") for k, c in enumerate(order)], F.to_csv(F.struct(*[F.col(f"`{c}`").cast("string") for c in df.columns]), {"nullValue": "", "emptyValue": ""}).alias("__line"))
+    header = io.StringIO()
+    csv.writer(header, lineterminator="\n").writerow(df.columns)
+    head = ("\ufeff" if bom else "") + header.getvalue()
+    if df.isEmpty():
+        text_file(head, f"{path}/{name}")
+        return df.sparkSession.createDataFrame([(name, 0, len(head.encode()))], "__file string, n long, bytes long")
+    return _streamed(rows, path, "__file", [f"__{k}" for k in range(len(order))], lambda out, row: out.write(head.encode()), lambda _, out, row, n: out.write(f"{row['__line']}\n".encode()), lambda *_: None)
+
+
+def tar_files(members: DataFrame, path: str, shard: str = "shard", key: str = "key", member: str = "member", content: str = "content", source: str | None = None) -> DataFrame:
+    """shard (the file's name), n, bytes: tar files of any size, members by key and name; a member without content becomes an .ERR.txt note.
+
+    source names a column with the path of a member's file: it is opened by the task that writes the shard and copied in
+    pieces, so contents are neither shuffled nor held; only paths and sizes are. Members without a path (labels, say) bring their content along.
+    """
+    columns = [c for c in (shard, key, member, content, source) if c is not None and c in members.columns]
 
     def put(tar: tarfile.TarFile, out, row: dict, n: int) -> None:
-        name, data = (row[member], row[content]) if row[content] is not None else (f"{row[key]}.ERR.{row[member]}.txt", b"missing")
-        info = tarfile.TarInfo(name)
+        info = tarfile.TarInfo(row[member])
+        place, data = row.get(source) if source else None, row.get(content)
+        if place is not None:
+            fs, at = pafs.FileSystem.from_uri(place)
+            found = fs.get_file_info(at)
+            if found.type == pafs.FileType.File:
+                info.size = found.size
+                with fs.open_input_stream(at) as whole:
+                    tar.addfile(info, whole)
+                return
+            data = None
+        if data is None:
+            info.name, data = f"{row[key]}.ERR.{row[member]}.txt", b"missing"
+        data = data.encode() if isinstance(data, str) else data
         info.size = len(data)
         tar.addfile(info, io.BytesIO(data))
 
-    return _streamed(members.select(shard, key, member, content), path, shard, [key, member], lambda out: tarfile.open(fileobj=out, mode="w|"), put, lambda tar, out, n: tar.close())
+    return _streamed(members.select(*columns), path, shard, [key, member], lambda out, row: tarfile.open(fileobj=out, mode="w|"), put, lambda tar, out, n: tar.close())
+
+
+def npy_files(frames: DataFrame, path: str, clip: str, order: str, values: str, least: int = 1, fill: float | None = 0.0, dtype: str = "<f4") -> tuple[DataFrame, DataFrame]:
+    """(files, errors): <clip>.npy of each clip's frames as (frames, rows, columns), padded with fill to the most rows; and clip, error of those that aren't written.
+
+    values: array<array<double>>. How many frames there are and how large the largest is are counted first, so a file's header is right
+    from the start and its frames go by one at a time. numpy.load(..., mmap_mode="r") opens the files. Without fill, frames of unlike
+    numbers of rows are an error; so are unlike numbers of columns and fewer than `least` frames.
+    """
+    rows = F.size(values)
+    sized = frames.withColumns({"__rows": F.greatest(rows, F.lit(0)), "__columns": F.when(rows > 0, F.size(F.get(values, F.lit(0))))})
+    wide = F.array_max(F.transform(values, lambda r: F.size(r))) != F.array_min(F.transform(values, lambda r: F.size(r)))
+    about = sized.groupBy(clip).agg(F.count("*").cast("long").alias("__n"), F.max("__rows").alias("__most"), F.min("__rows").alias("__least"), F.max("__columns").alias("__max"), F.min("__columns").alias("__min"), F.coalesce(F.bool_or(wide), F.lit(False)).alias("__wide"))
+    wrong = F.when(F.col("__n") < least, F.format_string("%d frames", "__n")).when(F.col("__wide") | (F.col("__max") != F.col("__min")), F.format_string("columns differ: %d to %d", "__min", "__max"))
+    if fill is None:
+        wrong = wrong.when(F.col("__most") != F.col("__least"), F.lit("numbers of rows differ"))
+    about = written(about.withColumn("error", wrong), "clips")
+    good = about.where("error is null").select(F.col(clip).alias("__clip"), "__n", "__most", F.coalesce("__max", F.lit(0)).alias("__wide"))
+    whole = frames.select(F.col(clip).alias("__of"), F.col(order).alias("__order"), F.col(values).alias("__values")).join(maybe_broadcast(good), F.col("__of").eqNullSafe(F.col("__clip")))
+    whole = whole.withColumn("file", F.concat(F.coalesce(F.col("__of").cast("string"), F.lit("null")), F.lit(".npy"))).drop("__of", "__clip")
+
+    def begin(out, row: dict) -> tuple[int, int]:
+        shape = (row["__n"], row["__most"] if row["__wide"] else 0, row["__wide"])
+        np.lib.format.write_array_header_1_0(out, {"descr": np.lib.format.dtype_to_descr(np.dtype(dtype)), "fortran_order": False, "shape": shape})
+        return shape[1:]
+
+    def put(shape: tuple[int, int], out, row: dict, n: int) -> None:
+        frame = np.full(shape, 0.0 if fill is None else fill, dtype)
+        if row["__values"] and shape[1]:
+            frame[: len(row["__values"])] = row["__values"]
+        out.write(frame.tobytes())
+
+    return _streamed(whole, path, "file", ["__order"], begin, put, lambda *_: None), about.where("error is not null").select(clip, "error")
 
 
 def _json_object(rows: DataFrame, path: str, file: str, key: str, entry: str, head: str, tail: str) -> DataFrame:
     def put(_, out, row: dict, n: int) -> None:
         out.write(f"{',' if n else ''}\n{json.dumps(row[key], ensure_ascii=False)}: {row[entry]}".encode())
 
-    return _streamed(rows.select(file, key, entry), path, file, [key], lambda out: out.write(head.encode()), put, lambda _, out, n: out.write(f"\n{tail}".encode()))
+    return _streamed(rows.select(file, key, entry), path, file, [key], lambda out, row: out.write(head.encode()), put, lambda _, out, n: out.write(f"\n{tail}".encode()))
 
 
 def split_json(samples: DataFrame, path: str, split: str = "split", key: str = "key", entry: str = "entry", meta: dict | None = None) -> DataFrame:
