@@ -75,16 +75,27 @@ def _streamed(rows: DataFrame, path: str, file: str, order: list[str], begin: Ca
     return spark.read.schema(done.schema).parquet(f"{path}/.files")
 
 
-def csv_file(df: DataFrame, path: str, name: str, order: list[str], bom: bool = False) -> DataFrame:
-    """One CSV file of any number of rows, with a header, in order; the list of it. Sorted by Spark and streamed by one task, held by none."""
-    rows = df.select(F.lit(name).alias("__file"), *[F.col(c).alias(f"__{k}") for k, c in enumerate(order)], F.to_csv(F.struct(*[F.col(f"`{c}`").cast("string") for c in df.columns]), {"nullValue": "", "emptyValue": ""}).alias("__line"))
+def csv_files(df: DataFrame, path: str, file: str, order: list[str], bom: bool = False) -> DataFrame:
+    """One CSV file, of any number of rows, for each value of the column `file`, with a header, in order; the list of them. Sorted by Spark and
+    streamed, held by no task. Clean copies of point files, say: csv_files(quality.clean_points(...), ...)."""
+    columns = [c for c in df.columns if c != file]
+    rows = df.select(F.col(file).alias("__file"), *[F.col(c).alias(f"__{k}") for k, c in enumerate(order)], F.to_csv(F.struct(*[F.col(f"`{c}`").cast("string") for c in columns]), {"nullValue": "", "emptyValue": ""}).alias("__line"))
+    head = _csv_head(columns, bom)
+    return _streamed(rows, path, "__file", [f"__{k}" for k in range(len(order))], lambda out, row: out.write(head), lambda _, out, row, n: out.write(f"{row['__line']}\n".encode()), lambda *_: None)
+
+
+def _csv_head(columns: list[str], bom: bool) -> bytes:
     header = io.StringIO()
-    csv.writer(header, lineterminator="\n").writerow(df.columns)
-    head = ("\ufeff" if bom else "") + header.getvalue()
+    csv.writer(header, lineterminator="\n").writerow(columns)
+    return (("\ufeff" if bom else "") + header.getvalue()).encode()
+
+
+def csv_file(df: DataFrame, path: str, name: str, order: list[str], bom: bool = False) -> DataFrame:
+    """One CSV file of a whole table; only a header where it has no rows."""
     if df.isEmpty():
-        text_file(head, f"{path}/{name}")
-        return df.sparkSession.createDataFrame([(name, 0, len(head.encode()))], "__file string, n long, bytes long")
-    return _streamed(rows, path, "__file", [f"__{k}" for k in range(len(order))], lambda out, row: out.write(head.encode()), lambda _, out, row, n: out.write(f"{row['__line']}\n".encode()), lambda *_: None)
+        text_file(_csv_head(df.columns, bom).decode(), f"{path}/{name}")
+        return df.sparkSession.createDataFrame([(name, 0, len(_csv_head(df.columns, bom)))], "__file string, n long, bytes long")
+    return csv_files(df.withColumn("__name", F.lit(name)), path, "__name", order, bom)
 
 
 def tar_files(members: DataFrame, path: str, shard: str = "shard", key: str = "key", member: str = "member", content: str = "content", source: str | None = None) -> DataFrame:
