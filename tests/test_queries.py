@@ -28,6 +28,25 @@ def rows(records, columns):
     return sorted((tuple(norm(r[k]) for k in range(len(columns))) for r in records), key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
+#: Partitions so small that adaptive execution puts several together, or leaves several, in plans over the smallest tables too.
+SMALL = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.autoBroadcastJoinThreshold": "1k"}
+
+
+@pytest.fixture
+def small_partitions(spark):
+    before = {k: spark.conf.get(k) for k in SMALL}
+    for k, v in SMALL.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_query_over_small_partitions(spark, sf001, con, small_partitions, name):
+    test_query(spark, sf001, con, name)
+
+
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_query(spark, sf001, con, name):
     df = queries.QUERIES[name](spark, sf001)
