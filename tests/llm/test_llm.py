@@ -657,7 +657,7 @@ def test_queries_match_sql(spark, sf001):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf001}/{t}.parquet'")
     for name, sql in queries.ORACLE.items():
         got = queries.QUERIES[name](spark, sf001).toPandas()
