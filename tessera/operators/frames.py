@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.timeparse import micros, stamp
+from tessera.operators.ranges import numbered_within
 
 
 def numbered_frames(files: DataFrame, keys: list[str], name: str) -> DataFrame:
@@ -46,6 +47,14 @@ def thinned(points: DataFrame, keys: list[str], point: str, most: int = 80_000,
     return points.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= most).drop("__n")
 
 
+def cubes(frames: DataFrame, group: str, order: str, values: str, per_cube: int = 256) -> DataFrame:
+    """group, cube (from 0), order, values: per_cube frames in order in each cube, the last may have fewer. A group may hold any share of the frames."""
+    placed = numbered_within(frames.select(group, order, values), group, order)
+    entry = F.array_sort(F.collect_list(F.struct("__pos", order, values)))
+    each = placed.groupBy(group, F.floor(F.col("__pos") / per_cube).cast("long").alias("cube")).agg(entry.alias("__c"))
+    return each.select(group, "cube", *[F.col(f"__c.{c}").alias(c) for c in (order, values)])
+
+
 def parameter_sets(rows: DataFrame, columns: list[str], order: str) -> DataFrame:
     """name, value, first_at (least order), n of the distinct settings: sort by value, or by first_at for the order of appearance."""
     each = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns]))

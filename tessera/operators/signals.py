@@ -58,6 +58,14 @@ def zscore(x: str, keys: list[str]) -> Column:
     return F.when(sd < 1e-8, F.lit(0.0)).otherwise((F.col(x) - F.avg(x).over(part)) / (sd + 1e-8))
 
 
+def zscored(df: DataFrame, *columns: str) -> DataFrame:
+    """df with `columns` as scores over all rows: one aggregate, whose one row meets all rows where they are, and no window over the whole table."""
+    parts = F.struct(*[F.struct(F.avg(c).alias("mean"), F.stddev_pop(c).alias("sd")).alias(c) for c in columns])
+    of = df.agg(parts.alias("__of"))
+    put = {c: F.when(F.col(f"__of.{c}.sd") < 1e-8, F.lit(0.0)).otherwise((F.col(c) - F.col(f"__of.{c}.mean")) / (F.col(f"__of.{c}.sd") + 1e-8)) for c in columns}
+    return df.join(F.broadcast(of)).withColumns(put).drop("__of")
+
+
 def fused(a: str, b: str, keys: list[str]) -> Column:
     return F.abs(zscore(a, keys) + zscore(b, keys))
 

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.names import SPLITS
+from tessera.operators.ranges import maybe_broadcast, numbered, numbered_within, written
 
 
 def stratified_runs(runs: DataFrame, strata: list[str], run: str, seed: str | None = "42", counts: tuple[int, int, int] = (4, 1, 1)) -> DataFrame:
@@ -46,50 +45,97 @@ def score(assigned: DataFrame, tier1: str, tier2: str, tier3: str, targets: dict
     return both.select(missing.alias("missing_t1"), F.col("t2").alias("t2_cover"), F.col("t3").alias("t3_cover"), "deviation", value.alias("score"))
 
 
-def search(groups: DataFrame, gid: str, size: str, labels: tuple[str, str, str], ratios: tuple[float, float, float] = (0.7, 0.15, 0.15), trials: int = 20_000, seed: int = 100, most_groups: int = 100_000) -> DataFrame:
-    """split of each group, score: the best of `trials` random greedy packings; trials are spread over the cluster.
-
-    groups: gid, size and one array of labels a tier (one row a recording run, at most most_groups). Each task keeps its best
-    trial; the final choice is the highest score, then the lowest trial.
+def _coded(groups: DataFrame, gid: str, size: str, labels: tuple[str, str, str]) -> tuple[DataFrame, DataFrame]:
+    """(groups with __pos by gid, __size and the codes of their labels a tier; tier, n: how many labels each tier has)."""
+    rows = numbered(groups.select(F.col(gid), F.coalesce(F.col(size).cast("double"), F.lit(0.0)).alias("__size"), *[F.col(c).alias(f"__l{k}") for k, c in enumerate(labels)]), gid)
+    each = rows.select("__pos", F.explode(F.array(*[F.struct(F.lit(k).alias("tier"), F.col(f"__l{k}").cast("array<string>").alias("labels")) for k in range(3)])).alias("t"))
+    each = each.select("__pos", "t.tier", F.explode("t.labels").alias("label")).where("label is not null").distinct()
+    codes = numbered_within(each.select("tier", "label").distinct(), "tier", "label")
+    mine = each.join(maybe_broadcast(codes.select("tier", "label", F.col("__pos").alias("code"))), ["tier", "label"])
+    lists = mine.groupBy("__pos").agg(*[F.array_sort(F.collect_list(F.when(F.col("tier") == k, F.col("code")))).alias(f"__c{k}") for k in range(3)])
+    return rows.select(gid, "__size", "__pos").join(lists, "__pos", "left"), codes.groupBy("tier").agg(F.max("__n").alias("n"))
+
+
+class _Block:
+    """Some groups in order, as arrays: sizes, and of each tier the labels that the groups have."""
+
+    def __init__(self, pdf: pd.DataFrame, n_labels: list[int], ratios: tuple[float, float, float]):
+        self.pdf = pdf.sort_values("__pos")
+        self.sizes = self.pdf["__size"].to_numpy(float)
+        self.target = self.sizes.sum() * np.array(ratios)
+        self.tiers = []
+        for k, n in enumerate(n_labels):
+            lists = [np.asarray(x if x is not None else (), np.int64) for x in self.pdf[f"__c{k}"]]
+            self.tiers.append((np.repeat(np.arange(len(lists)), [len(x) for x in lists]), np.concatenate([*lists, np.zeros(0, np.int64)]), n))
+
+    def packed(self, number: int, seed: int, trials: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """(split of each group, what is left of each split's target) of some trials, that all take their next group at once."""
+        n = len(self.sizes)
+        rngs = [np.random.default_rng([seed, t, number] if number else [seed, t]) for t in trials]
+        order = np.stack([r.permutation(n) for r in rngs])
+        noise = np.stack([r.random((n, 3)) for r in rngs]) * 0.01
+        left, at, rows = np.tile(self.target, (len(trials), 1)), np.zeros((len(trials), n), np.int8), np.arange(len(trials))
+        for k in range(n):
+            g = order[:, k]
+            s = np.argmax(left + noise[:, k], axis=1)
+            at[rows, g] = s
+            left[rows, s] -= self.sizes[g]
+        return at, left
+
+    def covered(self, at: np.ndarray) -> list[bytes]:
+        """Of each tier the bits (split by split) of the labels that the splits have."""
+        out = []
+        for owner, code, n in self.tiers:
+            hit = np.zeros(3 * n, bool)
+            hit[at[owner].astype(np.int64) * n + code] = True
+            out.append(np.packbits(hit).tobytes())
+        return out
+
+
+def search(groups: DataFrame, gid: str, size: str, labels: tuple[str, str, str], ratios: tuple[float, float, float] = (0.7, 0.15, 0.15), trials: int = 20_000, seed: int = 100, block: int = 100_000, chunks: int | None = None) -> DataFrame:
+    """split of each group, score, trial: the best of `trials` random greedy packings, by score, then the lowest trial.
+
+    groups: gid, size and one array of labels a tier (one row a recording run). They stay in the cluster: `block` of them, in order of
+    gid, are a block, which takes its share of every split's target, so blocks are packed side by side; each is sent to `chunks` tasks
+    (as many as cores, unless told), which share the trials. A trial's score is of all blocks together: the labels that its splits cover
+    are bits that are or-ed, what is left of the targets is added. The groups of the best trial are then packed once more. Up to
+    `block` groups that is one greedy pass over all. Null sizes count 0, null labels are none; no groups give no rows.
     """
     if abs(sum(ratios) - 1) > 1e-6:
         raise ValueError("ratios must add up to 1")
-    spark = groups.sparkSession
-    table = groups.select(gid, size, *labels).orderBy(gid).limit(most_groups + 1).toPandas()
-    if len(table) > most_groups:
-        raise ValueError(f"more than {most_groups} groups")
-    sizes = table[size].to_numpy(float)
-    matrices = []
-    for c in labels:
-        codes = {v: k for k, v in enumerate(sorted({x for xs in table[c] for x in xs}))}
-        m = np.zeros((len(table), len(codes)), bool)
-        for r, xs in enumerate(table[c]):
-            m[r, [codes[x] for x in xs]] = True
-        matrices.append(m)
-    target = sizes.sum() * np.array(ratios)
-    shared = spark.sparkContext.broadcast((sizes, matrices, target))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sizes, (m1, m2, m3), target = shared.value
-        best: tuple | None = None
-        for batch in batches:
-            for trial in batch["id"]:
-                rng = np.random.default_rng([seed, int(trial)])
-                left, at = target.copy(), np.zeros(len(sizes), np.int8)
-                for g, noise in zip(rng.permutation(len(sizes)), rng.random((len(sizes), 3)) * 0.01, strict=True):
-                    s = int(np.argmax(left + noise))
-                    at[g] = s
-                    left[s] -= sizes[g]
-                cover = [[m[at == s].any(0).sum() for s in range(3)] for m in (m1, m2, m3)]
-                missing = 3 * m1.shape[1] - sum(cover[0])
-                value = -1e12 - 1e9 * missing if missing else 1000.0 * sum(cover[1]) + 100.0 * sum(cover[2]) - np.abs(left).sum()
-                if best is None or (value, -trial) > (best[0], -best[1]):
-                    best = float(value), int(trial), at
-        if best:
-            yield pd.DataFrame({"score": [best[0]], "trial": [best[1]], "assignment": [best[2].astype(int).tolist()]})
-
-    top = spark.range(trials).mapInPandas(run, "score double, trial long, assignment array<int>").orderBy(F.desc("score"), "trial").limit(1)
-    ids = F.array(*map(F.lit, table[gid].tolist())) if len(table) else F.array().cast("array<string>")
-    pick = F.explode(F.arrays_zip(ids.alias("gid"), F.col("assignment").alias("s")))
-    names = F.array(*map(F.lit, SPLITS))
-    return top.select("score", "trial", pick.alias("p")).select(F.col("p.gid").alias(gid), F.get(names, F.col("p.s")).alias("split"), "score", "trial")
+    chunks = max(1, min(trials, chunks or groups.sparkSession.sparkContext.defaultParallelism))
+    coded, counts = _coded(groups, gid, size, labels)
+    found = {r["tier"]: r["n"] for r in counts.collect()}  # three numbers
+    n_labels = [found.get(k, 0) for k in range(3)]
+    coded = written(coded.withColumn("__block", F.floor(F.col("__pos") / block)), "split-groups")
+
+    def tried(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        number, chunk = int(key[0]), int(key[1])
+        b = _Block(pdf, n_labels, ratios)
+        mine = list(range(chunk, trials, chunks))
+        step = max(1, 500_000 // max(1, len(pdf)))
+        out = []
+        for k in range(0, len(mine), step):
+            at, left = b.packed(number, seed, mine[k : k + step])
+            out += [(t, left[r].tolist(), b.covered(at[r])) for r, t in enumerate(mine[k : k + step])]
+        return pd.DataFrame(out, columns=["trial", "left", "cover"])
+
+    def together(pdf: pd.DataFrame) -> pd.DataFrame:
+        left = np.abs(np.sum(np.stack(pdf["left"].to_list()), axis=0)).sum()
+        bits = [np.unpackbits(np.bitwise_or.reduce([np.frombuffer(c[k], np.uint8) for c in pdf["cover"]]), count=3 * n) for k, n in enumerate(n_labels)]
+        n1, n2, n3 = (int(b.sum()) for b in bits)
+        missing = 3 * n_labels[0] - n1
+        return pd.DataFrame({"trial": [int(pdf["trial"].iloc[0])], "score": [float(-1e12 - 1e9 * missing if missing else 1000.0 * n2 + 100.0 * n3 - left)]})
+
+    dealt = coded.drop(gid).withColumn("__chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+    pieces = dealt.groupBy("__block", "__chunk").applyInPandas(tried, "trial long, left array<double>, cover array<binary>")
+    top = pieces.groupBy("trial").applyInPandas(together, "trial long, score double").orderBy(F.desc("score"), "trial").first()
+    trial, score = (top["trial"], top["score"]) if top else (0, 0.0)
+
+    def chosen(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        b = _Block(pdf, n_labels, ratios)
+        at = b.packed(int(key[0]), seed, [trial])[0][0]
+        return pd.DataFrame({"__pos": b.pdf["__pos"].to_numpy(), "split": np.array(SPLITS, object)[at], "score": score, "trial": trial})
+
+    splits = coded.drop(gid).groupBy("__block").applyInPandas(chosen, "__pos long, split string, score double, trial long")
+    return coded.select(gid, "__pos").join(splits, "__pos").drop("__pos")

@@ -337,7 +337,7 @@ Z = "(SELECT h, (click - avg(click) OVER ()) / (stddev_pop(click) OVER () + 1e-8
 
 def _z(spark, d):
     df = _hourly(spark, d).where("click is not null and view is not null").withColumn("one", F.lit(1))
-    return df.select("one", "h", signals.zscore("click", ["one"]).alias("a"), signals.zscore("view", ["one"]).alias("b"))
+    return signals.zscored(df, "click", "view").select("one", "h", F.col("click").alias("a"), F.col("view").alias("b"))
 
 
 @query(f"WITH z AS {Z.format(h=HOURLY)}, m AS (SELECT h, (a > 0.5 AND b > 0.5)::INT AS m FROM z) SELECT h, max(m) OVER (ORDER BY h ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) = 1 AS mask FROM m")
@@ -515,11 +515,13 @@ def amplitude_phase_db(spark, d):
     return df.select("vec_id", r6(numeric.total(F.col("a"))).alias("amplitude"), r6(numeric.total(F.col("p"))).alias("phase"), r6(numeric.total(F.transform("a", lambda x: F.coalesce(numeric.decibel(x), F.lit(0.0))))).alias("db"))
 
 
-@query("SELECT label, count(*) AS frames, array_to_string(list_sort(list(vec_id)), ',') AS ids, round(list_sum(list_transform(flatten(list(embedding)), lambda x: abs(x::DOUBLE))), 3) AS total FROM embeddings GROUP BY 1")
+@query("""
+WITH p AS (SELECT label, vec_id, embedding, (row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1) // 64 AS cube FROM embeddings)
+SELECT label, cube::BIGINT AS cube, count(*) AS frames, array_to_string(list_sort(list(vec_id)), ',') AS ids, round(list_sum(list_transform(flatten(list(embedding)), lambda x: abs(x::DOUBLE))), 3) AS total FROM p GROUP BY ALL""")
 def doppler_cube(spark, d):
-    cube = table(spark, d, "embeddings").groupBy("label").agg(F.array_sort(F.collect_list(F.struct("vec_id", "embedding"))).alias("c"))
-    flat = F.flatten(F.transform("c", lambda x: x["embedding"]))
-    return cube.select("label", F.size("c").cast("long").alias("frames"), F.array_join(F.transform("c", lambda x: x["vec_id"].cast("string")), ",").alias("ids"), F.round(numeric.total(F.transform(flat, lambda x: F.abs(x))), 3).alias("total"))
+    cube = frames.cubes(table(spark, d, "embeddings"), "label", "vec_id", "embedding", 64)
+    total = numeric.total(F.transform(F.flatten("embedding"), lambda x: F.abs(x)))
+    return cube.select("label", "cube", F.size("vec_id").cast("long").alias("frames"), F.array_join(F.transform("vec_id", lambda x: x.cast("string")), ",").alias("ids"), F.round(total, 3).alias("total"))
 
 
 @query("""
