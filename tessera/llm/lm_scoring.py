@@ -88,10 +88,11 @@ def _exp(z: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray]:
     return z, z @ np.ones(z.shape[1], z.dtype)
 
 
-def _softmax(z: np.ndarray, bound: float) -> np.ndarray:
-    """In place."""
+def _slope(z: np.ndarray, place: np.ndarray, bound: float, n: int) -> np.ndarray:
+    """How the mean over n rows of -log softmax at a place changes with z; in place."""
     z, total = _exp(z, bound)
-    z /= total[:, None]
+    z *= (1 / (total * n))[:, None]
+    z[np.arange(len(z)), place] -= 1 / n
     return z
 
 
@@ -113,6 +114,7 @@ class Network:
         self.flat = flat.astype(np.float32)
         self.parts = self._split(self.flat)
         self.speed = np.full_like(self.flat, 1e-6)  # sums of squared gradients
+        self.room = np.empty(0, np.float32)
 
     def _split(self, flat: np.ndarray) -> list[np.ndarray]:
         ends = np.cumsum([math.prod(s) for s in self.shape.sizes()])
@@ -125,8 +127,19 @@ class Network:
 
     def _hidden(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         e, w1, b1 = self.parts[:3]
-        x = e[context].reshape(len(context), -1)
-        return x, np.tanh(x @ w1 + b1)
+        x = e.take(context, axis=0).reshape(len(context), -1)
+        h = x @ w1
+        h += b1
+        return x, np.tanh(h, out=h)
+
+    def _linear(self, h: np.ndarray, w: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """h @ w + b in memory that the next call takes again: fresh pages would cost as much as the product."""
+        n, m = len(h), w.shape[1]
+        if len(self.room) < n * m:
+            self.room = np.empty(n * m, np.float32)
+        z = np.matmul(h, w, out=self.room[: n * m].reshape(n, m))
+        z += b
+        return z
 
     def _bounds(self) -> tuple[float, float]:
         """Bounds of the values before the two softmaxes: the hidden layer is within -1 and 1."""
@@ -146,9 +159,9 @@ class Network:
         _, h = self._hidden(context)
         own, classes = self._by_class(target)
         first, second = self._bounds()
-        out = _log_softmax_at(h @ w2 + b2, own, first)
+        out, within = _log_softmax_at(self._linear(h, w2, b2), own, first), target % self.shape.size
         for c, rows in classes:
-            out[rows] += _log_softmax_at(h[rows] @ w3[c] + b3[c], target[rows] % self.shape.size, second)
+            out[rows] += _log_softmax_at(self._linear(h.take(rows, axis=0), w3[c], b3[c]), within[rows], second)
         return out
 
     def step(self, context: np.ndarray, target: np.ndarray, rate: float) -> None:
@@ -158,17 +171,14 @@ class Network:
         x, h = self._hidden(context)
         own, classes = self._by_class(target)
         first, second = self._bounds()
-        p = _softmax(h @ w2 + b2, first)
-        p[np.arange(len(p)), own] -= 1
-        p /= len(p)
-        gw2[:], gb2[:] = h.T @ p, p.sum(0)
+        n, within = len(h), target % self.shape.size
+        p = _slope(self._linear(h, w2, b2), own, first, n)
+        gw2[:], gb2[:] = h.T @ p, np.ones(n, p.dtype) @ p
         dh = p @ w2.T
         for c, rows in classes:
-            hc = h[rows]
-            p = _softmax(hc @ w3[c] + b3[c], second)
-            p[np.arange(len(rows)), target[rows] % self.shape.size] -= 1
-            p /= len(h)
-            gw3[c], gb3[c] = hc.T @ p, p.sum(0)
+            hc = h.take(rows, axis=0)
+            p = _slope(self._linear(hc, w3[c], b3[c]), within[rows], second, n)
+            gw3[c], gb3[c] = hc.T @ p, np.ones(len(rows), p.dtype) @ p
             dh[rows] += p @ w3[c].T
         dh *= 1 - h * h
         gw1[:], gb1[:] = x.T @ dh, dh.sum(0)
@@ -297,7 +307,7 @@ def train(rows: DataFrame, shape: Shape, start: np.ndarray, rate: float = 0.1, r
                     context, target = net.contexts(whole), whole[shape.reach : len(whole) - shape.reach]
                     order = np.random.default_rng(seen).permutation(real)
                     for s in range(0, len(order), STEP):
-                        net.step(context[order[s : s + STEP]], target[order[s : s + STEP]], rate)
+                        net.step(context.take(order[s : s + STEP], axis=0), target.take(order[s : s + STEP]), rate)
                     seen += len(real)
             if seen:
                 yield done()
