@@ -13,7 +13,8 @@ names; the versions committed by others, and what they read, stay as they are.
 unfinished writers lose files.
 
 Compaction is by size tiers: tier t holds files of target / fan^(t+1) up to target / fan^t. Files of one tier are grouped in
-order until a group fills the target; each group is merged by one task, without a shuffle, many groups a job.
+order until a group fills the target; each group is merged by one task, without a shuffle, many groups a job. A group that doesn't fill
+the target waits until it has ``fan`` files, so in a steady stream of arrivals a row is written again once a tier, not once an arrival.
 
 Null, empty and repeated rows, null ids included, are stored as they are; an empty table is a version without shards or with one
 empty shard. Columns may have any names but ``__shard``, which ``read`` adds, and the one named as arrival_col, which is not kept.
@@ -134,7 +135,7 @@ class ShardStore:
         return done
 
     def plan(self, shards: list[dict]) -> list[list[dict]]:
-        """Groups to merge: files of one tier, in order, up to the target; a group of one stays as it is."""
+        """Groups to merge: files of one tier, in order, up to the target. A tier's last group, which has room left, waits for fan files; a group of one stays as it is."""
         groups: list[list[dict]] = []
         tiers: dict[int, list[dict]] = {}
         for s in shards:
@@ -148,11 +149,12 @@ class ShardStore:
                     group, size = [], 0
                 group.append(s)
                 size += s["bytes"]
-            groups.append(group)
+            if len(group) >= self.fan:
+                groups.append(group)
         return [g for g in groups if len(g) >= 2]
 
     def compact(self, per_job: int = 200, before: dict | None = None) -> int:
-        """Merges until no tier has two files that fit together, a version a round; returns the version."""
+        """Merges until no tier has fan files or a group that fills the target, a version a round; returns the version."""
         while True:
             now, before = before or self.manifest(), None
             groups = self.plan(now["shards"])

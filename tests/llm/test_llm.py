@@ -490,6 +490,24 @@ def test_sharding(spark, docs, texts, empty):
     assert store.vacuum(keep=1, age=0) > 0 and store.read().count() == len(texts)
 
 
+@pytest.mark.parametrize("fan", [2, 4, 8])
+def test_sharding_rewrites_a_row_once_a_tier(spark, fan):
+    """Compaction after each of 600 like arrivals: what is written again grows with the tiers, and few files are left."""
+    store = sharding.ShardStore(spark, scratch(spark, "shards"), target=64_000, fan=fan)
+    shards, again, most = [], 0, 0
+    for k in range(600):
+        shards.append({"shard": f"s{k}", "bytes": 1000 + k % 7, "tier": store.tier(1000 + k % 7)})
+        while groups := store.plan(shards):
+            for g in groups:
+                size = sum(s["bytes"] for s in g)
+                again += size
+                shards = [s for s in shards if s not in g] + [{"shard": f"m{k}-{g[0]['shard']}", "bytes": size, "tier": store.tier(size)}]
+        most = max(most, sum(s["bytes"] < store.target / 2 for s in shards))
+    assert sum(s["bytes"] for s in shards) == sum(1000 + k % 7 for k in range(600))
+    tiers = store.tier(1000) + 1
+    assert again <= 600 * 1006 * tiers and most <= fan * (tiers + 1)
+
+
 def test_sharding_losing_writers(spark, docs, texts):
     """Writers with a stale manifest fail, and every committed version still reads."""
     root = scratch(spark, "shards")
