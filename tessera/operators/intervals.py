@@ -10,6 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.ranges import ranged
+
+#: More than any place in an order: taken off the place of a range that comes before all others.
+FIRST = 1 << 62
+
 
 def _buckets(lo: Column, hi: Column, width: int) -> Column:
     return F.explode(F.sequence(F.floor(lo / width), F.floor(hi / width)))
@@ -80,17 +85,22 @@ def asof(left: DataFrame, right: DataFrame, keys: list[str], t: str, direction:
 def overlap_best(left: DataFrame, right: DataFrame, keys: list[str], a: tuple[str, str], b: tuple[str, str], name: str, width: int) -> DataFrame:
     """For each left row the right row whose range overlaps: an equal range first, then the shortest, then by name.
 
-    Of right rows with one range only the least by name can win, so these alone are joined; the best of a left row is a running
-    minimum, so pairs are neither sorted nor kept. Equal left rows are one. All columns need an order.
+    Ranges are compared, not rows: each range of the keys once on either side, on the right with its least name. Right ranges get
+    their place in the order that decides once, so the best of a left range is the least of one long a pair, which tasks keep in a hash
+    table; pairs are neither sorted nor kept. Rows without a match are left out, repeated left rows stay. All columns but the keys need an order.
     """
     more = [c for c in right.columns if c not in {*keys, *b, name}]
-    other = right.groupBy(*keys, *b).agg(F.min(F.struct(name, *more)).alias("__r")).withColumn("__b", _buckets(F.col(b[0]), F.col(b[1]), width))
-    rows = left.withColumn("__id", F.struct(*left.columns)).withColumn("__b", _buckets(F.col(a[0]), F.col(a[1]), width))
-    pairs = rows.join(other, [*keys, "__b"]).where((F.col(a[0]) <= F.col(b[1])) & (F.col(b[0]) <= F.col(a[1])))
+    other = right.groupBy(*keys, *b).agg(F.min(F.struct(name, *more)).alias("__r"))
+    other = ranged(other.withColumn("__rank", F.struct(F.col(b[1]) - F.col(b[0]), f"__r.{name}", *b)), "__rank")
+    other = other.withColumn("__pos", F.shiftleft(F.col("__part").cast("long"), 33) + F.col("__row")).drop("__rank", "__part", "__row")
+    ranges = left.select(*keys, *a).distinct().withColumn("__b", _buckets(F.col(a[0]), F.col(a[1]), width))
+    at = other.select(*keys, *b, "__pos").withColumn("__b", _buckets(F.col(b[0]), F.col(b[1]), width))
+    pairs = ranges.join(at, [*keys, "__b"]).where((F.col(a[0]) <= F.col(b[1])) & (F.col(b[0]) <= F.col(a[1])))
     equal = (F.col(a[0]) == F.col(b[0])) & (F.col(a[1]) == F.col(b[1]))
-    rank = F.struct((~equal).alias("x"), (F.col(b[1]) - F.col(b[0])).alias("n"), F.col(f"__r.{name}").alias("name"), F.struct(*b, "__r").alias("r"))
-    best = pairs.groupBy("__id").agg(F.min(rank).alias("__best"))
-    return best.select("__id.*", *[F.col(f"__best.r.{c}") for c in b], F.col(f"__best.r.__r.{name}"), *[F.col(f"__best.r.__r.{c}") for c in more])
+    best = pairs.groupBy(*keys, *a).agg(F.min(F.when(equal, F.col("__pos") - FIRST).otherwise(F.col("__pos"))).alias("__best"))
+    best = best.withColumn("__pos", F.when(F.col("__best") < 0, F.col("__best") + FIRST).otherwise(F.col("__best"))).drop("__best")
+    found = best.join(other.drop(*keys), "__pos").select(*keys, *a, *b, f"__r.{name}", *[f"__r.{c}" for c in more])
+    return left.join(found, [*keys, *a]).select(*left.columns, *b, name, *more)
 
 
 def positional(left: DataFrame, right: DataFrame, keys: list[str], left_order: list[str], right_order: list[str]) -> DataFrame:

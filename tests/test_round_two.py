@@ -53,6 +53,15 @@ def test_overlap_best(spark):
     assert got == want
 
 
+def test_overlap_best_odd_ranges(spark):
+    """Repeated left rows stay; null bounds match nothing; a reversed right range is matched by what reaches over both its ends; ties go by name, then bounds."""
+    a = spark.createDataFrame([(1, "g", 0, 9), (1, "g", 0, 9), (2, None, 0, 9), (3, "g", None, 9), (4, "g", 40, 41), (5, "h", 3, 6), (6, "h", 5, 6)], "id int, g string, a0 int, a1 int")
+    b = spark.createDataFrame([("y", "g", 2, 4), ("x", "g", 7, 9), ("x", "g", 5, 7), ("w", "g", 0, None), ("v", None, 0, 9), ("r", "h", 5, 4), ("s", "h", 4, 8)], "name string, g string, b0 int, b1 int")
+    got = sorted((r.id, r.name, r.b0, r.b1) for r in intervals.overlap_best(a, b, ["g"], ("a0", "a1"), ("b0", "b1"), "name", 4).collect())
+    assert got == [(1, "x", 5, 7), (1, "x", 5, 7), (5, "r", 5, 4), (6, "s", 4, 8)]
+    assert intervals.overlap_best(a, b.limit(0), ["g"], ("a0", "a1"), ("b0", "b1"), "name", 4).count() == 0
+
+
 def test_two_set_columns(spark):
     side = lambda xs: spark.createDataFrame([(x,) for x in xs], "k string")
     got = sorted(tuple(r) for r in quality.two_set_columns(side("acdfx"), side("bcx"), "k").select("pos", "only_in_a", "only_in_b", "common").collect())
