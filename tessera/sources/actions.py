@@ -15,6 +15,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.sources.places import opened
 from tessera.sources.sinks import reachable
 
 PLAN = "id long, action string, source string, target string, waits boolean, status string"
@@ -54,8 +55,8 @@ def _each(rows: DataFrame, act: Callable) -> DataFrame:
             for r in b.itertuples():
                 status = r.status
                 if status is None or pd.isna(status):
-                    fs, source = pafs.FileSystem.from_uri(r.source)
-                    target = pafs.FileSystem.from_uri(r.target)[1] if r.target else None
+                    fs, source = opened(r.source)
+                    target = opened(r.target)[1] if r.target else None
                     # where a rename waits for all sources to be out of the way
                     aside = f"{source.rpartition('/')[0]}/.{r.id & (1 << 64) - 1:016x}.moving"
                     status = act(fs, r, source, target, aside)

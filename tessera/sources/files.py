@@ -24,7 +24,7 @@ IMAGES = ("jpg", "jpeg", "png")
 
 
 def listing(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """path, length and mtime of all files below root, without their content."""
+    """path, length and mtime of all files below root, without their content. Spark lists no empty files, so folders that hold nothing else don't appear."""
     df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
     return df.select("path", "length", F.col("modificationTime").alias("mtime"))
 
@@ -177,6 +177,26 @@ def armband(spark: SparkSession, path: str, least: int = 10) -> DataFrame:
     return df.withColumn("error", F.when(F.count("*").over(Window.partitionBy("file")) < least, F.lit("too few rows")))
 
 
+def sample_times(spark: SparkSession, path: str, column: str = "board_ts", zone: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(file, t in microseconds; file, n_bad, examples) of the time column of sample files that have one header.
+
+    A file whose values are all numbers has epoch seconds, and null where a value is missing. Any other has stamps or ISO dates and times, local to
+    zone (UTC without one); there a value that is neither, or missing, makes the whole file an error, with five such values in order. Sort by t to have them in order.
+    """
+    df = spark.read.option("header", "true").option("enforceSchema", "false").csv(path)
+    rows = df.select(F.col("_metadata.file_path").alias("file"), F.trim(F.col(f"`{column}`")).alias("text"))
+    number = F.when(~F.lower("text").isin("nan", ""), F.col("text")).try_cast("double")
+    missing = F.col("text").isNull() | F.lower("text").isin("nan", "")
+    kind = rows.groupBy("file").agg(F.bool_and(missing | (number.isNotNull() & (F.abs(number) < float("inf")))).alias("numeric"))
+    rows = rows.join(kind, "file")
+    us = F.when(F.col("numeric"), F.rint(number * 1e6).cast("long")).otherwise(timeparse.normalised(F.col("text"), zone))
+    rows = rows.withColumn("t", us).withColumn("bad", ~F.col("numeric") & F.col("t").isNull())
+    wrong = rows.where("bad").groupBy("file", F.coalesce("text", F.lit("")).alias("text")).agg(F.count("*").alias("n"))
+    first = wrong.withColumn("k", F.row_number().over(Window.partitionBy("file").orderBy("text")))
+    errors = first.groupBy("file").agg(F.sum("n").alias("n_bad"), F.array_sort(F.collect_list(F.when(F.col("k") <= 5, F.col("text")))).alias("examples"))
+    return rows.join(errors.select("file"), "file", "left_anti").select("file", "t"), errors
+
+
 def points(spark: SparkSession, path: str) -> DataFrame:
     """file, x, y, z, intensity of point CSVs: by header aliases where the first row isn't numbers, else by place; bad and all-zero rows go."""
     raw = spark.read.option("header", "false").schema("a string, b string, c string, d string").csv(path).withColumn("file", F.col("_metadata.file_path"))

@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from tessera.sources.places import opened
+
 #: A partition has about so many bytes of rows, in whole chunks.
 PARTITION_BYTES = 64 << 20
 #: Rows of one Arrow batch.
@@ -59,7 +61,7 @@ class Bytes:
     """Little-endian reads at any place of a file."""
 
     def __init__(self, path: str):
-        fs, at = pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
+        fs, at = opened(path)
         self.file = fs.open_input_file(at)
 
     def __enter__(self):
@@ -352,7 +354,7 @@ class Source(DataSource):
     @cached_property
     def files(self) -> list[str]:
         path = self.options["path"]
-        fs, at = pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
+        fs, at = opened(path)
         found = fs.get_file_info(pafs.FileSelector(at, recursive=True)) if fs.get_file_info(at).type == pafs.FileType.Directory else [fs.get_file_info(at)]
         prefix = path[: len(path) - len(at)] if path.endswith(at) else ""
         names = sorted(f.path for f in found if f.type == pafs.FileType.File and (len(found) == 1 or f.path.lower().endswith((".h5", ".hdf5"))))

@@ -14,10 +14,11 @@ from xml.etree import ElementTree
 
 import numpy as np
 import pandas as pd
-import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.sources.places import opened
+
 ROWS = 65_536
 #: Numpy types of XDF channel formats.
 XDF_TYPES = {"float32": "<f4", "double64": "<f8", "int8": "<i1", "int16": "<i2", "int32": "<i4", "int64": "<i8"}
@@ -211,7 +212,7 @@ def event_format(head: bytes) -> tuple[str, int]:
 
 def part_of_file(path: str, at: int, n: int) -> bytes:
     """Bytes of a file anywhere that pyarrow opens, from a place on; fewer where it ends."""
-    fs, name = pafs.FileSystem.from_uri(path) if ":" in path else (pafs.LocalFileSystem(), path)
+    fs, name = opened(path)
     with fs.open_input_file(name) as f:
         return f.read_at(n, at) if at < f.size() else b""
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.ranges import maybe_broadcast, written
+from tessera.sources.places import opened
 
 
 def csv_text(df: DataFrame, order: list, most: int = 100_000, bom: bool = False) -> str:
@@ -44,7 +45,7 @@ def _streamed(rows: DataFrame, path: str, file: str, order: list[str], begin: Ca
     kind = rows.schema[file].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, base = pafs.FileSystem.from_uri(path)
+        fs, base = opened(path)
         fs.create_dir(base, recursive=True)
         now = None
 
@@ -53,6 +54,8 @@ def _streamed(rows: DataFrame, path: str, file: str, order: list[str], begin: Ca
             end(state, out, n)
             size = out.tell()
             out.close()
+            if "/" in name:
+                fs.create_dir(f"{base}/{name}".rpartition("/")[0], recursive=True)
             fs.move(aside, f"{base}/{name}")
             return pa.RecordBatch.from_pylist([{file: name, "n": n, "bytes": size}])
 
@@ -75,15 +78,22 @@ def _streamed(rows: DataFrame, path: str, file: str, order: list[str], begin: Ca
     return spark.read.schema(done.schema).parquet(f"{path}/.files")
 
 
-def csv_files(df: DataFrame, path: str, file: str, order: list[str], bom: bool = False) -> DataFrame:
+def csv_files(df: DataFrame, path: str, file: str, order: list[str], bom: bool = False, keep: list[str] | None = None) -> DataFrame:
     """One CSV file, of any number of rows, for each value of the column `file`, with a header, in order; the list of them. Sorted by Spark and
-    streamed, held by no task. Clean copies of point files, say: csv_files(quality.clean_points(...), ...)."""
-    columns = [c for c in df.columns if c != file]
-    rows = df.select(F.col(file).alias("__file"), *[F.col(c).alias(f"__{k}") for k, c in enumerate(order)], F.to_csv(F.struct(*[F.col(f"`{c}`").cast("string") for c in columns]), {"nullValue": "", "emptyValue": ""}).alias("__line"))
+    streamed, held by no task. Clean copies of point files, say: csv_files(quality.clean_points(...), ...). Quotes in values are doubled;
+    keep: the columns written, else all. A file name may have folders in it."""
+    columns = keep or [c for c in df.columns if c != file]
+    rows = df.select(F.col(file).alias("__file"), *[F.col(c).alias(f"__{k}") for k, c in enumerate(order)], F.to_csv(F.struct(*[F.col(f"`{c}`").cast("string") for c in columns]), {"nullValue": "", "emptyValue": "", "escape": '"'}).alias("__line"))
     head = _csv_head(columns, bom)
     return _streamed(rows, path, "__file", [f"__{k}" for k in range(len(order))], lambda out, row: out.write(head), lambda _, out, row, n: out.write(f"{row['__line']}\n".encode()), lambda *_: None)
 
 
+def text_files(lines: DataFrame, path: str, file: str, order: list[str], line: str) -> DataFrame:
+    """One text file for each value of `file`: its lines in order, each ended; the list of them."""
+    rows = lines.select(F.col(file).alias("__file"), *[F.col(c).alias(f"__{k}") for k, c in enumerate(order)], F.col(line).alias("__line"))
+    return _streamed(rows, path, "__file", [f"__{k}" for k in range(len(order))], lambda out, row: out, lambda _, out, row, n: out.write(f"{row['__line']}\n".encode()), lambda *_: None)
+
+
 def _csv_head(columns: list[str], bom: bool) -> bytes:
     header = io.StringIO()
     csv.writer(header, lineterminator="\n").writerow(columns)
@@ -110,7 +120,7 @@ def tar_files(members: DataFrame, path: str, shard: str = "shard", key: str = "k
         info = tarfile.TarInfo(row[member])
         place, data = row.get(source) if source else None, row.get(content)
         if place is not None:
-            fs, at = pafs.FileSystem.from_uri(place)
+            fs, at = opened(place)
             found = fs.get_file_info(at)
             if found.type == pafs.FileType.File:
                 info.size = found.size
@@ -182,7 +192,7 @@ def camera_json(frames: DataFrame, path: str, cam: str = "cam", key: str = "key"
 
 def text_file(text: str, path: str) -> None:
     """A small report, written aside and moved into place."""
-    fs, at = pafs.FileSystem.from_uri(path)
+    fs, at = opened(path)
     fs.create_dir(at.rpartition("/")[0], recursive=True)
     with fs.open_output_stream(f"{at}.part") as out:
         out.write(text.encode())
