@@ -5,6 +5,8 @@ Every operator partitions by the signal's keys and is a window or an aggregate,
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -89,21 +91,34 @@ def grid(windows: DataFrame, dt: float) -> DataFrame:
     return rows.withColumn("g", F.col("t_start") + F.col("i") * F.lit(dt)).where(F.col("g") < F.col("t_end"))
 
 
-def interpolate(samples: DataFrame, points: DataFrame, keys: list[str], t: str, x: str, g: str, width: float) -> DataFrame:
-    """points with v: linear interpolation of x at g, clamped at the ends; 0 where a signal has fewer than two samples.
+def interpolate(samples: DataFrame, points: DataFrame, keys: list[str], t: str, x: str, g: str, signal: str | None = None, names: tuple[str, ...] = ("v",)) -> DataFrame:
+    """points with v: linear interpolation of x at g, clamped at the ends; 0 where a signal has fewer than two samples. Points of keys without samples are left out.
 
-    Samples become segments [t, next t), which meet the points by (keys, bucket) and bounds.
+    With `signal`, a column of samples, one column for each of names: the signals of those names, 0 where the keys lack one. Each sample brings the next
+    one along, and points find the last sample before them by a window over both: points move once, by the keys, in no join and no broadcast, whose size
+    Spark would judge by the rows before a grid is exploded.
     """
-    whole = Window.partitionBy(*keys)
-    seg = samples.select(*keys, F.col(t).alias("__t"), F.col(x).alias("__x")).withColumns({"__t2": F.lead("__t").over(by(keys, "__t")), "__x2": F.lead("__x").over(by(keys, "__t")), "__n": F.count("*").over(whole), "__lo": F.min("__t").over(whole), "__hi": F.max("__t").over(whole)})
-    ends = seg.groupBy(*keys).agg(F.max("__n").alias("__n"), F.max("__lo").alias("__lo"), F.max("__hi").alias("__hi"))
-    asked = points.join(ends, keys).withColumn("__c", F.least(F.greatest(F.col(g), F.col("__lo")), F.col("__hi")))
-    asked = asked.withColumn("__b", F.floor(F.col("__c") / width))
-    seg = seg.select(*keys, "__t", "__x", "__t2", "__x2").where("__t2 is not null")
-    seg = seg.withColumn("__b", F.explode(F.sequence(F.floor(F.col("__t") / width), F.floor(F.col("__t2") / width))))
-    got = asked.join(seg, [*keys, "__b"], "left").where("__n < 2 or (__t <= __c and (__c < __t2 or (__t2 = __hi and __c = __hi)))")
-    v = F.when(F.col("__n") < 2, F.lit(0.0)).otherwise(F.col("__x") + (F.col("__x2") - F.col("__x")) * (F.col("__c") - F.col("__t")) / (F.col("__t2") - F.col("__t")))
-    return got.withColumn("v", v).drop("__t", "__x", "__t2", "__x2", "__b", "__c", "__n", "__lo", "__hi")
+    known = [F.col(k).isNotNull() for k in keys]
+    which = F.lit(names[0]) if signal is None else F.col(signal)
+    of = samples.where(reduce(lambda p, q: p & q, known, F.col(t).isNotNull())).select(*keys, which.alias("__k"), F.col(t).alias("__t"), F.col(x).alias("__x"))
+    own = by([*keys, "__k"], "__t", "__x")
+    of = of.withColumns({"__t2": F.lead("__t").over(own), "__x2": F.lead("__x").over(own), "__n": F.count("*").over(Window.partitionBy(*keys, "__k"))})
+    of = of.where("__t2 is null or __t2 > __t").select(*keys, "__t", F.lit(0).alias("__q"), F.struct("__k", "__t", "__x", "__t2", "__x2", "__n").alias("__s"))
+    rest = [c for c in points.columns if c not in keys]
+    asked = points.where(reduce(lambda p, q: p & q, known)).select(*keys, F.col(g).alias("__t"), F.lit(1).alias("__q"), F.lit(None).cast(of.schema["__s"].dataType).alias("__s"), F.struct(*rest).alias("__row"))
+    both = of.withColumn("__row", F.lit(None).cast(asked.schema["__row"].dataType)).unionByName(asked)
+    order = by(keys, "__t", "__q")
+    up, whole = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    found = {}
+    for k, name in enumerate(names):
+        s = F.when(F.col("__s.__k") == name, F.col("__s"))
+        found[f"__s{k}"] = F.coalesce(F.last(s, ignorenulls=True).over(up), F.first(s, ignorenulls=True).over(whole))
+    both = both.withColumns(found).where("__q = 1").select(*keys, "__row.*", *found)
+    for k, name in enumerate(names):
+        s = {c: F.col(f"__s{k}.__{c}") for c in ("t", "x", "t2", "x2", "n")}
+        part = (F.greatest(F.col(g), s["t"]) - s["t"]) / (s["t2"] - s["t"])
+        both = both.withColumn(name, F.when(s["n"].isNull() | (s["n"] < 2), F.lit(0.0)).when(s["t2"].isNull(), s["x"]).otherwise(s["x"] + (s["x2"] - s["x"]) * part))
+    return both.where(reduce(lambda p, q: p | q, [F.col(c).isNotNull() for c in found])).select(*points.columns, *names)
 
 
 def dilated(mask: Column, keys: list[str], order: str, b: int) -> Column:
@@ -132,9 +147,10 @@ def pearson(a: str, b: str) -> Column:
 
 
 def shift_scan(a: DataFrame, b: DataFrame, keys: list[str], i: str, va: str, vb: str, most: int, least: int) -> DataFrame:
-    """corr of a at i with b at i + shift for each whole shift within +-most; -1e9 where fewer than `least` rows meet."""
+    """corr of a at i with b at i + shift for each whole shift within +-most; -1e9 where fewer than `least` rows meet. The join merges, since Spark
+    knows the shifted rows' size only before explode."""
     shifted = a.withColumn("shift", F.explode(F.sequence(F.lit(-most), F.lit(most)))).withColumn("__i", F.col(i) + F.col("shift"))
-    pairs = shifted.select(*keys, "shift", F.col("__i").alias(i), va).join(b.select(*keys, i, vb), [*keys, i])
+    pairs = shifted.select(*keys, "shift", F.col("__i").alias(i), va).join(b.select(*keys, i, vb).hint("merge"), [*keys, i])
     got = pairs.groupBy(*keys, "shift").agg(F.count("*").alias("n"), pearson(va, vb).alias("__c"))
     return got.withColumn("corr", F.when(F.col("n") >= least, F.col("__c")).otherwise(F.lit(NONE_VALID))).drop("__c")
 

@@ -95,8 +95,7 @@ def on_grid(a: DataFrame, b: DataFrame, keys: list[str], dt: float, warmup: floa
     points = signals.grid(window.where("error is null"), dt).select(*keys, "g")
     if score_first:
         both = both.withColumn("motion", signals.zscore("motion", [*keys, "signal"]))
-    for k in "ab":
-        points = signals.interpolate(both.where(F.col("signal") == k).drop("signal"), points, keys, "t", "motion", "g", 1.0).withColumnRenamed("v", k)
+    points = signals.interpolate(both, points, keys, "t", "motion", "g", "signal", ("a", "b"))
     if not score_first:
         points = points.withColumns({k: signals.zscore(k, keys) for k in "ab"})
     return points, window.where("error is not null").select(*keys, "error")
