@@ -39,6 +39,10 @@ def test_peak_table_broadcasts_no_grid(spark, sf001):
     assert broadcast_grids(ran(spark, sf001, "peak_table")) == []
 
 
+def test_piecewise_run_offsets_broadcasts_no_grid(spark, sf001):
+    assert broadcast_grids(ran(spark, sf001, "piecewise_run_offsets")) == []
+
+
 def test_interpolated_signals_of_odd_runs(spark):
     rng = np.random.default_rng(5)
     rows = [(r, s, float(t), float(v)) for r, s, n in (("x", "a", 40), ("x", "b", 7), ("y", "a", 1), ("y", "b", 9)) for t, v in zip(np.sort(rng.uniform(0, 50, n)), rng.normal(size=n))]
