@@ -1,9 +1,9 @@
 """Secret scans with DataFrame functions only: three fixed patterns, and character Markov models over every long run of characters.
 
 Two first-order character models, one of random strings and one of ordinary words and identifiers, are trained by counting
-character pairs of labelled tokens: some made by rule, and some of the documents themselves, from about SAMPLE of them chosen by a
-hash of their id. Tokens of base spans are random; words of letters in documents without base spans, and long runs without a digit that
-touch no base span, are ordinary, in capitals too. One half of the documents' tokens trains. The other half's long ordinary runs, with
+character pairs of labelled tokens: some made by rule, and those of all documents. Tokens of base spans are random; words of letters in
+documents without base spans, and long runs without a digit that touch no base span, are ordinary, in capitals too. All words train, and of the other
+tokens those of one half of the documents. The other half's long ordinary runs, with
 identifiers made by rule that took no part in training, set a threshold for the ratio a character, which one in a thousand may exceed; it is the same
 rule at every size, since the identifiers are always there. Every run of MARKOV_LEAST characters or more is judged, inside base
 spans and out: it is a secret where its log-likelihood ratio is over MARKOV_OVER and, a character, over that threshold.
@@ -39,8 +39,6 @@ FALSE_ALARMS = 0.001
 WORDS = 20_000
 #: An ordinary pair of small letters counts so much in capitals.
 CAPITALS = 0.1
-#: About so many documents, at every size of input, give labelled tokens.
-SAMPLE = 20_000
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 K = len(ALPHABET) + 1  # 0 stands for any other character and for the start
@@ -55,7 +53,7 @@ PLAIN = (
 
 
 def samples(spark: SparkSession, n: int = 4000, first: int = 0) -> DataFrame:
-    """token, random, n (1): 2n labelled tokens made by rule, other ones for each `first` that is n away. n bounds the training sample at every size of input."""
+    """token, random, n (1): 2n labelled tokens made by rule, other ones for each `first` that is n away."""
     i = F.col("id").cast("string")
     word = lambda k: F.element_at(F.array(*map(F.lit, PLAIN)), (F.pmod(F.xxhash64(i, F.lit(k)), F.lit(len(PLAIN))) + 1).cast("int"))
     number = F.pmod(F.xxhash64(i, F.lit(9)), F.lit(100)).cast("string")
@@ -87,10 +85,9 @@ class Model:
         return (ratio > MARKOV_OVER) & (ratio > self.each * F.length(token))
 
 
-def labelled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
-    """token, random, held, word, n: labelled tokens of about `sample` documents and how often they occur; held are for the threshold, word says that a token is a word of prose."""
-    step = max(1, math.ceil(docs.count() / sample))
-    rows = docs.where(F.pmod(F.xxhash64(id_col), F.lit(step)) == 0).select(F.coalesce(F.col(text_col), F.lit("")).alias("t"), F.pmod(F.xxhash64(id_col, F.lit(1)), F.lit(2)).alias("h"))
+def labelled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """token, random, held, word, n: labelled tokens of all documents and how often they occur; held are for the threshold, word says that a token is a word of prose."""
+    rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("t"), F.pmod(F.xxhash64(id_col, F.lit(1)), F.lit(2)).alias("h"))
     token = lambda t, random, word: F.struct(t.alias("token"), F.lit(random).alias("random"), F.lit(word).alias("word"))
 
     def tokens(base: Column) -> Column:
@@ -99,7 +96,7 @@ def labelled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sa
         words = F.when(F.size(base) == 0, F.regexp_extract_all(F.col("t"), F.lit("[A-Za-z]{3,}"), 0)).otherwise(F.array().cast("array<string>"))
         return F.concat(secret, F.transform(plain, lambda s: token(s["token"], False, False)), F.transform(words, lambda w: token(w, False, True)))
 
-    found = rows.select(F.explode(let(base_spans(F.col("t")), tokens)).alias("s"), (F.col("h") == 1).alias("held")).select("s.*", "held")
+    found = rows.select(F.explode(let(base_spans(F.col("t")), tokens)).alias("s"), "h").select("s.*", ((F.col("h") == 1) & ~F.col("s.word")).alias("held"))
     return found.groupBy("token", "random", "held", "word").agg(F.count("*").alias("n"))
 
 
@@ -122,10 +119,10 @@ def weights(rows: DataFrame, smooth: float = 0.5) -> tuple[float, ...]:
     return tuple(out)
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Model:
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """A model of the tokens made by rule and of those of docs (which may have none)."""
     made = 4000
-    tokens = stored(labelled(docs, id_col, text_col, sample), "labelled-tokens")
+    tokens = stored(labelled(docs, id_col, text_col), "labelled-tokens")
     # prose counts for as many words at every size, or identifiers would become ever stranger
     total = tokens.where("not held and word").agg(F.sum("n")).first()[0] or 1
     trained = tokens.where("not held").select("token", "random", F.when(F.col("word"), F.col("n") * (WORDS / total)).otherwise(F.col("n").cast("double")).alias("n"))
