@@ -16,7 +16,7 @@ import sys
 if not __package__:  # started as a file
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from jobs.common import LOG, main
@@ -49,6 +49,39 @@ def assigned(samples: DataFrame, config: dict) -> DataFrame:
     return packing.member_offsets(rows, "__file", "doc_id", "member", "n_bytes").drop("__file", "__size")
 
 
+def with_texts(places: DataFrame, docs: DataFrame, config: dict) -> DataFrame:
+    """places with their texts, dealt by split and shard and in the members' order, as the files are.
+
+    A document's strata and run name its split and its id its shard, so texts go to their shard at once and meet their places there, in one window over both:
+    they move once, and those without a place in the split not at all. Rows of one document stand together, of repeated ones the first is written.
+    """
+    firsts = places.groupBy("split", "shard").agg(F.min("doc_id").alias("first"))
+    bounds = firsts.groupBy("split").agg(F.array_sort(F.collect_list("first")).alias("__b"))  # a row a split, an id a file; shards count from 0 by id
+    runs = places.select(F.col("strata").alias("__s"), F.col("run").alias("__r"), "split").distinct().join(F.broadcast(bounds), "split")
+    texts = docs.select("doc_id", F.col(config["strata"]).alias("strata"), F.col(config["run"]).alias("run"), "text").where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    texts = texts.join(maybe_broadcast(runs), F.col("strata").eqNullSafe(F.col("__s")) & F.col("run").eqNullSafe(F.col("__r"))).drop("__s", "__r")
+    texts = texts.withColumn("shard", _last_at("__b", "doc_id").cast(places.schema["shard"].dataType))  # -1 meets no place
+    texts = texts.select("split", "shard", "doc_id", F.md5("text").alias("md5"), "text")
+    rest = [c for c in COLUMNS if c not in texts.columns]
+    both = places.select(*texts.columns[:4], F.struct(*rest).alias("__p")).unionByName(texts, allowMissingColumns=True).repartition("split", "shard")
+    # the place comes first, then its texts, of which the window takes the first
+    order = Window.partitionBy("split", "shard", "doc_id", "md5").orderBy(F.col("text").isNotNull())
+    met = both.withColumns({"__k": F.row_number().over(order), "__p": F.first("__p").over(order)}).where("__k = 2 and __p is not null")
+    return met.select("*", "__p.*").select(*COLUMNS).sortWithinPartitions("split", "shard", "doc_id")
+
+
+def _last_at(bounds: str, key: str) -> Column:
+    """The place, from 0, of the last of the ascending bounds that is at most key (-1: none), by halving."""
+
+    def halved(at: Column) -> Column:
+        middle = F.floor((at["low"] + at["high"]) / 2).cast("int")
+        under = F.get(bounds, middle) <= F.col(key)
+        return F.struct(F.when(under, middle).otherwise(at["low"]).alias("low"), F.when(under, at["high"]).otherwise(middle).alias("high"))
+
+    start = F.struct(F.lit(-1).alias("low"), F.size(bounds).alias("high"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(31)), start, lambda at, _: F.when(at["high"] - at["low"] > 1, halved(at)).otherwise(at))["low"]
+
+
 def written_shards(spark: SparkSession, like: DataFrame, out: str) -> DataFrame:
     """What the job wrote: the columns of `like`, also where there is no file."""
     return spark.read.schema(like.select(*COLUMNS).schema).parquet(out)
@@ -60,11 +93,7 @@ def shard_corpus(spark: SparkSession, documents: str, labels: str, out: str, con
     read = {"documents": docs.count(), "labels": reviews.count()}
     LOG.info("read %d documents from %s, %d reviews from %s", read["documents"], documents, read["labels"], labels)
     places = written(assigned(kept(docs, reviews, config), config), "places")
-    texts = docs.select("doc_id", F.md5("text").alias("md5"), "text")
-    rows = places.join(texts, ["doc_id", "md5"]).repartition("split", "shard")
-    # the same dealing and order as the files': rows of one document stand together, of repeated ones the first is written
-    once = F.row_number().over(Window.partitionBy("split", "shard", "doc_id").orderBy("md5"))
-    rows = rows.withColumn("__k", once).where("__k = 1").select(*COLUMNS).sortWithinPartitions("split", "shard", "doc_id")
+    rows = with_texts(places, docs, config)
     rows.write.mode("overwrite").partitionBy("split", "shard").parquet(out)
     got = written_shards(spark, rows, out).groupBy("split").agg(F.count("*").alias("n"), F.countDistinct("shard").alias("shards"), F.sum("n_bytes").alias("bytes")).orderBy("split").collect()
     for r in got:

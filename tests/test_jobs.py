@@ -1,8 +1,10 @@
 """The jobs: command line, reruns, growing input, failures between two writes, odd tables."""
 
+import base64
 import json
 import os
 import pathlib
+import random
 import subprocess
 import sys
 
@@ -162,3 +164,19 @@ def test_coverage_after_a_failure(spark, arriving, tmp_path, monkeypatch):
 def test_jobs_import_nothing_of_llm():
     for path in [*(ROOT / "jobs").glob("*.py"), pathlib.Path(__file__)]:
         assert not [x for x in path.read_text().splitlines() if x.strip().startswith(("import", "from")) and ("llm" in x or "corpus_pipeline" in x)]
+
+
+def test_shards_move_texts_once(spark, tmp_path):
+    text = lambda k: base64.b85encode(random.Random(k).randbytes(16_000)).decode()
+    docs = spark.createDataFrame([(k, text(k), "en", f"r{k % 9}") for k in range(300)], "doc_id long, text string, lang string, source string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    moved = lambda: spark.sparkContext._jsc.sc().statusStore().executorList(False).apply(0).totalShuffleWrite()
+    limit, before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), moved()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where there are many documents
+    try:
+        done, out = shards(spark, docs, labels, tmp_path, "once", shard_bytes=400_000)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    size = sum(x["bytes"] for x in done["written"].values())
+    assert out.count() == 300 and size == 300 * 20_000
+    assert moved() - before < 1.5 * size
