@@ -64,15 +64,16 @@ def settings(spark: SparkSession, **values: str) -> Iterator[None]:
             spark.conf.set(k, v)
 
 
-def stored(df: DataFrame, name: str, *done: DataFrame) -> DataFrame:
+def stored(df: DataFrame, name: str, *done: DataFrame, by: str | None = None) -> DataFrame:
     """Writes df to the shared folder and reads it back: cuts lineage and survives lost executors.
 
     What the plan shuffled is deleted once it is written, and so are the stored tables in `done`, which nothing reads any more.
+    Each value of the column `by` has a folder of its own.
     """
     spark = df.sparkSession
     path = scratch(spark, name)
     with settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
-        df.write.parquet(path)
+        df.write.parquet(path, partitionBy=by)
     dropped(*done)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path

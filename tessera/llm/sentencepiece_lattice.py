@@ -15,13 +15,14 @@ Null and empty texts have no pieces. Repeated rows are encoded one by one.
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import heapq
 import itertools
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -29,12 +30,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import most_frequent, stored
+from .common import most_frequent, settings, stored
 
 SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
 #: Digests are sums of word digests times powers of STEP, mod PRIME: products of two stay in a long.
 PRIME, STEP = 2**31 - 1, 48_271
+#: A block is a run of whole documents of one partition, ended at so many characters: what numbers its words and is put together at once.
+BLOCK = 32_000_000
+#: A place is partition << 43 | block of the partition << 28 | number of the word in the block.
+NUMBER_BITS, BLOCK_BITS = 28, 15
 
 
 @cache
@@ -176,7 +181,7 @@ def merge_edges(word: str, spans: list[int], ids: list[int], score: list[float],
 def decode_ids(ids: list[int], name: str = MODEL, first: bool = True) -> str:
     """The text of ids; the space that encoding put before a text goes if first."""
     table = _decoder(name)
-    text = b"".join([table[i] for i in ids]).decode("utf-8", "replace").replace(SPACE, " ")
+    text = b"".join(map(table.__getitem__, ids)).decode("utf-8", "replace").replace(SPACE, " ")
     return text[1:] if first and text.startswith(" ") else text
 
 
@@ -185,44 +190,57 @@ def _decoder(name: str) -> dict[int, bytes]:
     return {i: p.encode() for p, i, _ in pieces(name)} | {i: bytes([b]) for b, i in enumerate(byte_ids(name))}
 
 
+def found_edges(words: DataFrame, count: int, name: str, per_task: int) -> DataFrame:
+    """words (count rows, each word once) with their edges (null: none), in tasks of per_task words."""
+    longest = max(len(p) for p, _, _ in pieces(name))
+    keyed = words.repartition(max(1, math.ceil(count / per_task)), "word")
+    return keyed.join(lattice(keyed, piece_table(words.sparkSession, name), longest), "word", "left")
+
+
+def folder(name: str) -> Callable[[pa.Array, pa.Array], Iterator[tuple[str, list[int]]]]:
+    """A fold of words and edges, two columns of a batch: (word, ids) of each."""
+    as_bytes = byte_ids(name)
+    single = {p.replace(SPACE, " "): [i] for p, i, _ in pieces(name) if len(p) == 1}
+    score = [0.0] * processor(name).get_piece_size()
+    for _, i, x in pieces(name):
+        score[i] = x
+
+    def fold(words: pa.Array, edges: pa.Array) -> Iterator[tuple[str, list[int]]]:
+        code = edges.flatten().to_numpy()
+        start = code >> 40
+        spans = (start << 32 | start + (code >> 32 & 0xFF)).tolist()
+        edge = (code & 0xFFFFFFFF).tolist()
+        ends = np.cumsum(edges.value_lengths().fill_null(0).to_numpy()).tolist()
+        at = 0
+        for word, end in zip(words.to_pylist(), ends, strict=True):
+            yield word, merge_edges(word, spans[at:end], edge[at:end], score, single, as_bytes)
+            at = end
+
+    return fold
+
+
+def grouping(spark: SparkSession, rows: int) -> contextlib.AbstractContextManager:
+    """A task has so many groups at most, so they fit the aggregate's hash table; its default goes over to sorting from 128 groups on."""
+    return settings(spark, spark__sql__objectHashAggregate__sortBased__fallbackThreshold=str(rows))
+
+
 def encode_words(docs: DataFrame, text_col: str = "text", name: str = MODEL, per_task: int = 50_000) -> DataFrame:
     """word, n, ids, pieces, digest, round_trip (decoding gives the word back): one row for each distinct word of all documents. Stored."""
-    spark = docs.sparkSession
-    longest = max(len(p) for p, _, _ in pieces(name))
     words = stored(distinct_words(docs, text_col, name), "words")
-    keyed = words.repartition(max(1, math.ceil(words.count() / per_task)), "word")
-    found = keyed.join(lattice(keyed, piece_table(spark, name), longest), "word", "left").select("word", "n", "edges")
-
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        as_bytes = byte_ids(name)
-        single = {p.replace(SPACE, " "): [i] for p, i, _ in pieces(name) if len(p) == 1}
-        score = [0.0] * processor(name).get_piece_size()
-        for _, i, x in pieces(name):
-            score[i] = x
+    found = found_edges(words, words.count(), name, per_task).select("word", "n", "edges")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fold = folder(name)
         for b in batches:
-            code = b.column(2).flatten().to_numpy()
-            start = code >> 40
-            spans = (start << 32 | start + (code >> 32 & 0xFF)).tolist()
-            edge = (code & 0xFFFFFFFF).tolist()
-            ends = np.cumsum(b.column(2).value_lengths().fill_null(0).to_numpy()).tolist()
             out: list[list] = [[], [], [], []]
-            at = 0
-            for word, end in zip(b.column(0).to_pylist(), ends, strict=True):
-                ids = merge_edges(word, spans[at:end], edge[at:end], score, single, as_bytes)
-                at = end
+            for word, ids in fold(b.column(0), b.column(2)):
                 for column, x in zip(out, (ids, len(ids), word_digest(ids), decode_ids(ids, name, first=False) == word), strict=True):
                     column.append(x)
             columns = [pa.array(x, t) for x, t in zip(out, (pa.list_(pa.int32()), pa.int64(), pa.int64(), pa.bool_()), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *columns], names=["word", "n", "ids", "pieces", "digest", "round_trip"])
 
-    # a task has per_task words, so their groups fit the aggregate's hash table; its default goes over to sorting from 128 groups on
-    key = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(4 * per_task))
-    try:
-        return stored(found.mapInArrow(fold, "word string, n long, ids array<int>, pieces long, digest long, round_trip boolean"), "encoded-words")
-    finally:
-        spark.conf.set(key, before)
+    with grouping(docs.sparkSession, 4 * per_task):
+        return stored(found.mapInArrow(run, "word string, n long, ids array<int>, pieces long, digest long, round_trip boolean"), "encoded-words")
 
 
 def word_digest(ids: list[int]) -> int:
@@ -314,92 +332,190 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", nam
     return got.select("doc_id", "n_words", "n_pieces", "ids_digest", (F.col("bad") == 0).alias("round_trip"))
 
 
-def round_trips(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str = MODEL, hot: int = 150_000) -> DataFrame:
-    """doc_id, n_words, n_pieces, ids (all ids in order), decoded_sha256 (of the text decoded from them), round_trip (it is the text; null is empty).
+def to_planes(x: np.ndarray) -> bytes:
+    """Numbers as all their lowest bytes, then all next ones: what is zero in all of them takes no room once compressed."""
+    return x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+
+
+def from_planes(b: bytes, kind: str) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def to_varints(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all numbers, how many of each): seven bits a byte, the low ones first, the high bit where more follow."""
+    n = 1 + sum((x >> 7 * k != 0).astype(np.int64) for k in range(1, 5))
+    at = np.arange(5)
+    raw = (x[:, None] >> 7 * at & 127 | (at < n[:, None] - 1) * 128).astype(np.uint8)
+    return raw[at < n[:, None]], n
+
+
+def from_varints(b: bytes) -> np.ndarray:
+    raw = np.frombuffer(b, np.uint8)
+    ends = np.flatnonzero(raw < 128)
+    starts = np.r_[0, ends[:-1] + 1] if len(ends) else ends
+    n, low = ends - starts + 1, (raw & 127).astype(np.int64)
+    out = low[starts]
+    for k in range(1, int(n.max(initial=1))):
+        more = np.flatnonzero(n > k)
+        out[more] |= low[starts[more] + k] << 7 * k
+    return out
 
-    The most frequent words (no more than `hot` rows) get their ids where their documents are, by broadcast; the ids of all others
-    come by a shuffle on the word and are filled in by row. The texts are read twice rather than stored: docs has to give the same
-    partitions each time, as a stored table does. A document whose words are not all there is an error.
+
+def numbered_texts(docs: DataFrame, id_col: str, text_col: str, name: str = MODEL, block: int = BLOCK) -> DataFrame:
+    """Rows of two kinds. 0, each document: block, doc_id, n_words, codes (its words' numbers in the block, frequent ones low), sha (of its
+    text). 1, each distinct word of a block: word, place. The only pass over the texts, so they needn't be the same when read again."""
+
+    class Numbers(dict):
+        def __missing__(self, word: str) -> int:
+            self[word] = n = len(self)
+            return n
+
+    columns = {"block": pa.int64(), "doc_id": pa.int64(), "n_words": pa.int64(), "codes": pa.binary(), "sha": pa.binary(), "word": pa.string(), "place": pa.int64(), "kind": pa.int32()}
+
+    def rows(n: int, **given) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(given[c], t) if c in given else pa.nulls(n, t) for c, t in columns.items()], names=list(columns))
+
+    def ended(part: int, k: int, numbers: dict[str, int], held: list[tuple[int, bytes, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        if len(numbers) >> NUMBER_BITS or k >> BLOCK_BITS or part >> 63 - BLOCK_BITS - NUMBER_BITS:
+            raise ValueError("too many words, blocks or partitions for a place of 63 bits")
+        at = part << BLOCK_BITS | k
+        count = sum(np.bincount(c, minlength=len(numbers)) for c in (np.concatenate([x[2] for x in held[i : i + 512]]) for i in range(0, len(held), 512)))
+        order = np.argsort(-count, kind="stable")
+        rank = np.empty(len(numbers), np.int64)
+        rank[order] = np.arange(len(numbers))
+        for i in range(0, len(held), 512):
+            some = held[i : i + 512]
+            n = np.array([len(c) for _, _, c in some], np.int64)
+            raw, sizes = to_varints(rank[np.concatenate([c for _, _, c in some])])
+            bounds = np.r_[0, np.cumsum(sizes)][np.r_[0, np.cumsum(n)]].tolist()
+            whole = raw.tobytes()
+            yield rows(len(some), block=[at] * len(some), doc_id=[d for d, _, _ in some], n_words=n, codes=[whole[x:y] for x, y in itertools.pairwise(bounds)], sha=[h for _, h, _ in some], kind=[0] * len(some))
+        words, first = list(numbers), at << NUMBER_BITS
+        for i in range(0, len(words), 50_000):
+            some = [words[w] for w in order[i : i + 50_000].tolist()]
+            yield rows(len(some), word=some, place=np.arange(first + i, first + i + len(some)), kind=[1] * len(some))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, k, size, numbers, held = 0, 0, 0, Numbers(), []
+        for b in batches:
+            for part, doc, scalar in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):  # noqa: B007
+                text = scalar.as_py() or ""
+                ws = words_of(text, name)
+                held.append((doc, hashlib.sha256(text.encode()).digest(), np.fromiter(map(numbers.__getitem__, ws), np.uint32, len(ws))))
+                size += len(text)
+                if size >= block:
+                    yield from ended(part, k, numbers, held)
+                    k, size, numbers, held = k + 1, 0, Numbers(), []
+        if held:
+            yield from ended(part, k, numbers, held)
+
+    texts = docs.select(F.spark_partition_id().cast("long").alias("part"), F.col(id_col).cast("long"), F.col(text_col))
+    return texts.mapInArrow(run, "block long, doc_id long, n_words long, codes binary, sha binary, word string, place long, kind int")
+
+
+def block_ids(places: DataFrame, name: str = MODEL, per_task: int = 50_000) -> DataFrame:
+    """block, numbers (steps from one to the next), sizes, ids, compressed: the ids of the words of each block, in parts. Stored.
+
+    places (word, place) is a stored table, dropped once it is read. Each distinct word goes through the lattice once, and takes its places along.
     """
-    spark = docs.sparkSession
-    table = encode_words(docs, text_col, name)
+    spark = places.sparkSession
     kind = "<u2" if processor(name).get_piece_size() <= 1 << 16 else "<u4"
-    top = [(r["word"], r["ids"]) for r in most_frequent(table, "n", hot).select("word", "ids").toLocalIterator()]
-    sizes = np.array([0, *(len(i) for _, i in top)], np.int64)
-    shared = spark.sparkContext.broadcast(({w: k for k, (w, _) in enumerate(top)}, np.cumsum(sizes), np.array([x for _, i in top for x in i], kind)))
-
-    def placed(text: str | None) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """(words, place of each among the broadcast ones or -1, number of its ids)"""
-        known, ends, _ = shared.value
-        ws = words_of(text, name)
-        at = np.fromiter((known.get(w, -1) for w in ws), np.int64, len(ws))
-        return ws, at, np.where(at >= 0, ends[at + 1] - ends[at], 0)
-
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, ends, flat = shared.value
-        for b in batches:
-            out: list[list] = [[], [], [], []]
-            for text in b.column(2):
-                ws, at, n = placed(text.as_py())
-                own = flat[np.repeat(ends[at] - np.cumsum(n) + n, n) + np.arange(n.sum())]
-                sha = hashlib.sha256((text.as_py() or "").encode()).digest()
-                for column, x in zip(out, (len(ws), int((at < 0).sum()), own.tobytes(), sha), strict=True):
-                    column.append(x)
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(x, t) for x, t in zip(out, kinds, strict=True))], names=["row", "doc_id", "n_words", "missing", "part", "sha"])
+    with grouping(spark, 8 * per_task):
+        words = places.repartition(max(1, math.ceil(places.count() / (4 * per_task))), "word").groupBy("word").agg(F.collect_list("place").alias("places"))
+        words = stored(words, "words", places)
+    found = found_edges(words, words.count(), name, per_task).select("word", "places", "edges")
+
+    def packed(places: list[np.ndarray], sizes: list[np.ndarray], ids: list[np.ndarray]) -> pa.RecordBatch:
+        import zstandard
+
+        place, n, flat = np.concatenate(places), np.concatenate(sizes), np.concatenate(ids)
+        order, starts = np.argsort(place), np.cumsum(n) - n
+        place, n, starts = place[order], n[order], starts[order]
+        flat = flat[np.repeat(starts - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        ends, block = np.cumsum(n), place >> NUMBER_BITS
+        cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
+        out: list[list] = [[], [], [], []]
+        press = zstandard.ZstdCompressor(level=3).compress
+        for a, b in itertools.pairwise(cuts):
+            steps = np.diff(place[a:b] & (1 << NUMBER_BITS) - 1, prepend=0)
+            for column, x in zip(out, (block[a], *(press(to_varints(y)[0].tobytes()) for y in (steps, n[a:b])), press(to_planes(flat[ends[a] - n[a] : ends[b - 1]]))), strict=True):
+                column.append(x)
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["block", "numbers", "sizes", "ids"])
 
-    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fold = folder(name)
+        held: tuple[list, list, list] = ([], [], [])
+        size = 0
         for b in batches:
-            rows, pos, into, rare = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)], []
-            for row, text in zip(b.column(0).to_pylist(), b.column(2), strict=True):
-                ws, at, n = placed(text.as_py())
-                miss = np.flatnonzero(at < 0)
-                rows.append(np.full(len(miss), row))
-                pos.append(miss)
-                into.append((np.cumsum(n) - n)[miss])
-                rare += [ws[k] for k in miss.tolist()]
-            yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(x), pa.int64()) for x in (rows, pos, into)), pa.array(rare, pa.string())], names=["row", "pos", "into", "word"])
-
-    def full(t: pa.Table) -> pa.RecordBatch:
-        t = t.combine_chunks()
-        column = {c: t.column(c).combine_chunks() for c in t.column_names}
-        row, pos = column["row"].to_numpy(), column["pos"].to_numpy()
-        first, other = np.flatnonzero(pos < 0), np.flatnonzero(pos >= 0)
-        doc = np.cumsum(pos < 0) - 1
-        heads = t.take(pa.array(first))
-        if not (doc[:1] == 0).all() or (row[first][doc] != row).any() or (np.bincount(doc[other], minlength=len(first)) != heads.column("missing").to_numpy()).any():
-            raise ValueError("the words of a document are not all there: docs gave other partitions when read again")
-        parts = heads.column("part").to_pylist()
-        held = np.frombuffer(b"".join(parts), kind).astype(np.int32)
-        n = np.array([len(p) for p in parts], np.int64) // np.dtype(kind).itemsize
-        more = column["ids"].take(pa.array(other))
-        m = more.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-        at = (np.cumsum(n) - n)[doc[other]] + column["into"].take(pa.array(other)).to_numpy(zero_copy_only=False).astype(np.int64)
-        ids = np.insert(held, np.repeat(at, m), more.flatten().to_numpy())  # in order where places are equal
-        n += np.bincount(doc[other], m, minlength=len(first)).astype(np.int64)
-        ends = np.r_[0, np.cumsum(n)]
-        decoded = [hashlib.sha256(decode_ids(ids[a:b].tolist(), name).encode()).digest() for a, b in itertools.pairwise(ends.tolist())]
-        same = [a == b for a, b in zip(decoded, heads.column("sha").to_pylist(), strict=True)]
-        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
-        out = [heads.column("doc_id").combine_chunks(), heads.column("n_words").combine_chunks(), pa.array(n), lists, pa.array([x.hex() for x in decoded], pa.string()), pa.array(same, pa.bool_())]
-        return pa.RecordBatch.from_arrays(out, names=["doc_id", "n_words", "n_pieces", "ids", "decoded_sha256", "round_trip"])
-
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []
-        for b in batches:  # sorted by row: whole documents go together
-            t = pa.Table.from_batches([b])
-            last = int(np.flatnonzero(b.column("pos").to_numpy() < 0).max(initial=-1))
-            if last >= 0:
-                held.append(t.slice(0, last))
-                if sum(x.num_rows for x in held):
-                    yield full(pa.concat_tables(held))
-                held, t = [], t.slice(last)
-            held.append(t)
-        if sum(x.num_rows for x in held):
-            yield full(pa.concat_tables(held))
-
-    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    heads = texts.mapInArrow(whole, "row long, doc_id long, n_words long, missing long, part binary, sha binary").withColumn("pos", F.lit(-1).cast("long"))
-    rare = texts.mapInArrow(others, "row long, pos long, into long, word string").join(table.select("word", "ids"), "word").drop("word")
-    both = heads.unionByName(rare, allowMissingColumns=True).repartition("row").sortWithinPartitions("row", "pos")
-    return both.mapInArrow(fill, "doc_id long, n_words long, n_pieces long, ids array<int>, decoded_sha256 string, round_trip boolean")
+            ids = [x for _, x in fold(b.column(0), b.column(2))]
+            n = np.fromiter(map(len, ids), np.int64, len(ids))
+            m = b.column(1).value_lengths().to_numpy().astype(np.int64)
+            flat, own = np.fromiter(itertools.chain.from_iterable(ids), kind, int(n.sum())), np.repeat(np.arange(len(ids)), m)
+            sizes, starts = n[own], (np.cumsum(n) - n)[own]
+            held[0].append(b.column(1).flatten().to_numpy())
+            held[1].append(sizes)
+            held[2].append(flat[np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())])
+            size += len(own) + len(held[2][-1])
+            if size > 5_000_000:
+                yield packed(*held)
+                held, size = ([], [], []), 0
+        if size:
+            yield packed(*held)
+
+    with grouping(spark, 4 * per_task):
+        return stored(found.mapInArrow(run, "block long, numbers binary, sizes binary, ids binary"), "block-ids", words)
+
+
+def round_trips(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str = MODEL, hot: int = 150_000, block: int = BLOCK) -> DataFrame:
+    """doc_id, n_words, n_pieces, ids (all ids in order), decoded_sha256 (of the text decoded from them), round_trip (it is the text; null is empty).
+
+    Documents are numbers of words by block, which meet the ids of the block's words: words move once a block, not once an
+    occurrence. hot is without effect: no words are broadcast any more. A block whose words are not all there is an error.
+    """
+    spark = docs.sparkSession
+    kind = "<u2" if processor(name).get_piece_size() <= 1 << 16 else "<u4"
+    with settings(spark, spark__sql__parquet__compression__codec="zstd", spark__sql__maxConcurrentOutputFileWriters="2"):  # both kinds of rows at once, unsorted
+        numbered = stored(numbered_texts(docs, id_col, text_col, name, block), "numbered-texts", by="kind")
+        heads, places = (numbered.where(F.col("kind") == k) for k in (0, 1))
+        places = places.select("word", "place")
+        places._stored_at = f"{numbered._stored_at}/kind=1"
+        parts = block_ids(places, name)
+    schema = pa.schema({"doc_id": pa.int64(), "n_words": pa.int64(), "n_pieces": pa.int64(), "ids": pa.list_(pa.int32()), "decoded_sha256": pa.string(), "round_trip": pa.bool_()})
+
+    def filled(heads: pa.Table, parts: pa.Table) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        column = lambda t, c: t.column(c).to_pylist()
+        join = lambda xs, k: np.concatenate([np.empty(0, k), *xs])
+        unpress = zstandard.ZstdDecompressor().decompress
+        number = join([np.cumsum(from_varints(unpress(x))) for x in column(parts, "numbers")], np.int64)
+        sizes = join([from_varints(unpress(x)) for x in column(parts, "sizes")], np.int64)
+        flat = join([from_planes(unpress(x), kind).astype(np.int32) for x in column(parts, "ids")], np.int32)
+        starts, n_of = np.zeros(len(number), np.int64), np.full(len(number), -1)
+        if number.max(initial=-1) >= len(number):
+            raise ValueError("the words of a block are not all there")
+        starts[number], n_of[number] = np.cumsum(sizes) - sizes, sizes
+        codes, n_words = column(heads, "codes"), np.array(column(heads, "n_words"), np.int64)
+        docs_, shas = heads.column("doc_id").combine_chunks(), column(heads, "sha")
+        until, at = np.cumsum(n_words), 0
+        while at < len(codes):  # documents of a million words, or one, at a time
+            to = max(at + 1, int(np.searchsorted(until, until[at] - n_words[at] + 1_000_000, "right")))
+            code = from_varints(b"".join(codes[at:to]))
+            if code.max(initial=-1) >= len(number) or n_of[code].min(initial=0) < 0:
+                raise ValueError("the words of a block are not all there")
+            n = n_of[code]
+            ends = np.cumsum(n)
+            ids = flat[np.repeat(starts[code] - ends + n, n) + np.arange(n.sum())]
+            bounds = np.r_[0, np.r_[0, ends][np.cumsum(n_words[at:to])]]
+            own = ids.tolist()
+            decoded = [hashlib.sha256(decode_ids(own[a:b], name).encode()).digest() for a, b in itertools.pairwise(bounds.tolist())]
+            same = [a == b for a, b in zip(decoded, shas[at:to], strict=True)]
+            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
+            out = [docs_.slice(at, to - at), pa.array(n_words[at:to]), pa.array(np.diff(bounds)), lists, pa.array([x.hex() for x in decoded], pa.string()), pa.array(same, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(out, schema=schema)
+            at = to
+
+    def fill(heads: pa.Table, parts: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(filled(heads, parts), schema)
+
+    return heads.select("block", "doc_id", "n_words", "codes", "sha").groupBy("block").cogroup(parts.groupBy("block")).applyInArrow(fill, "doc_id long, n_words long, n_pieces long, ids array<int>, decoded_sha256 string, round_trip boolean")
