@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import most_frequent, settings, stored
+from .common import map_arrow, most_frequent, settings, stored
 
 SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
@@ -362,8 +362,8 @@ def from_varints(b: bytes) -> np.ndarray:
 
 
 def numbered_texts(docs: DataFrame, id_col: str, text_col: str, name: str = MODEL, block: int = BLOCK) -> DataFrame:
-    """Rows of two kinds. 0, each document: block, doc_id, n_words, codes (its words' numbers in the block, frequent ones low), sha (of its
-    text). 1, each distinct word of a block: word, place. The only pass over the texts, so they needn't be the same when read again."""
+    """Rows of two kinds. 0, each document: block, doc_id, n_words, codes (its words' numbers in the block, frequent ones low), sha (half
+    of its text's). 1, each distinct word of a block: word, place. The only pass over the texts, so they needn't be the same when read again."""
 
     class Numbers(dict):
         def __missing__(self, word: str) -> int:
@@ -401,7 +401,7 @@ def numbered_texts(docs: DataFrame, id_col: str, text_col: str, name: str = MODE
             for part, doc, scalar in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):  # noqa: B007
                 text = scalar.as_py() or ""
                 ws = words_of(text, name)
-                held.append((doc, hashlib.sha256(text.encode()).digest(), np.fromiter(map(numbers.__getitem__, ws), np.uint32, len(ws))))
+                held.append((doc, hashlib.sha256(text.encode()).digest()[:16], np.fromiter(map(numbers.__getitem__, ws), np.uint32, len(ws))))
                 size += len(text)
                 if size >= block:
                     yield from ended(part, k, numbers, held)
@@ -410,13 +410,14 @@ def numbered_texts(docs: DataFrame, id_col: str, text_col: str, name: str = MODE
             yield from ended(part, k, numbers, held)
 
     texts = docs.select(F.spark_partition_id().cast("long").alias("part"), F.col(id_col).cast("long"), F.col(text_col))
-    return texts.mapInArrow(run, "block long, doc_id long, n_words long, codes binary, sha binary, word string, place long, kind int")
+    return map_arrow(texts, run, "block long, doc_id long, n_words long, codes binary, sha binary, word string, place long, kind int")
 
 
 def block_ids(places: DataFrame, name: str = MODEL, per_task: int = 50_000) -> DataFrame:
-    """block, numbers (steps from one to the next), sizes, ids, compressed: the ids of the words of each block, in parts. Stored.
+    """block, numbers (steps from one to the next), sizes, ids, compressed: the ids of the words of each block, in parts.
 
-    places (word, place) is a stored table, dropped once it is read. Each distinct word goes through the lattice once, and takes its places along.
+    places (word, place) is a stored table, dropped once it is read. Each distinct word goes through the lattice once, and takes its places
+    along; what is stored is the ids and places of each, which are dealt to the blocks as they are read.
     """
     spark = places.sparkSession
     kind = "<u2" if processor(name).get_piece_size() <= 1 << 16 else "<u4"
@@ -444,26 +445,32 @@ def block_ids(places: DataFrame, name: str = MODEL, per_task: int = 50_000) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fold = folder(name)
+        for b in batches:
+            ids = pa.array([np.array(x, kind).tobytes() for _, x in fold(b.column(0), b.column(2))], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(1), ids], names=["places", "ids"])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple[list, list, list] = ([], [], [])
         size = 0
         for b in batches:
-            ids = [x for _, x in fold(b.column(0), b.column(2))]
-            n = np.fromiter(map(len, ids), np.int64, len(ids))
-            m = b.column(1).value_lengths().to_numpy().astype(np.int64)
-            flat, own = np.fromiter(itertools.chain.from_iterable(ids), kind, int(n.sum())), np.repeat(np.arange(len(ids)), m)
+            ids = b.column(1).to_pylist()
+            m = b.column(0).value_lengths().to_numpy().astype(np.int64)
+            n = np.fromiter(map(len, ids), np.int64, len(ids)) // np.dtype(kind).itemsize
+            flat, own = np.frombuffer(b"".join(ids), kind), np.repeat(np.arange(len(ids)), m)
             sizes, starts = n[own], (np.cumsum(n) - n)[own]
-            held[0].append(b.column(1).flatten().to_numpy())
+            held[0].append(b.column(0).flatten().to_numpy())
             held[1].append(sizes)
             held[2].append(flat[np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())])
             size += len(own) + len(held[2][-1])
-            if size > 5_000_000:
+            if size > 3_000_000:
                 yield packed(*held)
                 held, size = ([], [], []), 0
         if size:
             yield packed(*held)
 
     with grouping(spark, 4 * per_task):
-        return stored(found.mapInArrow(run, "block long, numbers binary, sizes binary, ids binary"), "block-ids", words)
+        coded = stored(map_arrow(found, run, "places array<long>, ids binary", None), "coded-words", words)
+    return map_arrow(coded, deal, "block long, numbers binary, sizes binary, ids binary", None)
 
 
 def round_trips(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str = MODEL, hot: int = 150_000, block: int = BLOCK) -> DataFrame:
@@ -498,8 +505,8 @@ def round_trips(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         codes, n_words = column(heads, "codes"), np.array(column(heads, "n_words"), np.int64)
         docs_, shas = heads.column("doc_id").combine_chunks(), column(heads, "sha")
         until, at = np.cumsum(n_words), 0
-        while at < len(codes):  # documents of a million words, or one, at a time
-            to = max(at + 1, int(np.searchsorted(until, until[at] - n_words[at] + 1_000_000, "right")))
+        while at < len(codes):  # documents of 200,000 words, or one, at a time
+            to = max(at + 1, int(np.searchsorted(until, until[at] - n_words[at] + 200_000, "right")))
             code = from_varints(b"".join(codes[at:to]))
             if code.max(initial=-1) >= len(number) or n_of[code].min(initial=0) < 0:
                 raise ValueError("the words of a block are not all there")
@@ -509,7 +516,7 @@ def round_trips(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             bounds = np.r_[0, np.r_[0, ends][np.cumsum(n_words[at:to])]]
             own = ids.tolist()
             decoded = [hashlib.sha256(decode_ids(own[a:b], name).encode()).digest() for a, b in itertools.pairwise(bounds.tolist())]
-            same = [a == b for a, b in zip(decoded, shas[at:to], strict=True)]
+            same = [a[:16] == b for a, b in zip(decoded, shas[at:to], strict=True)]
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
             out = [docs_.slice(at, to - at), pa.array(n_words[at:to]), pa.array(np.diff(bounds)), lists, pa.array([x.hex() for x in decoded], pa.string()), pa.array(same, pa.bool_())]
             yield pa.RecordBatch.from_arrays(out, schema=schema)
